@@ -148,6 +148,14 @@ def run_batch(
         metrics.unpersist()
         alerts.unpersist()
         return BatchOutcome(batch_id, comparison=prepared.comparison, metrics=m, alerts=alert_rows, duration_sec=duration)
+    except Exception as exc:
+        # A failed batch leaves a failure row (not a commit marker) and re-raises.
+        fail_row = spark.createDataFrame(
+            [(spec.name, batch_id, False, None, time.time() - started, None, None, None, None, None, None, str(exc)[:1000])],
+            RUN_LOG_SCHEMA,
+        ).withColumn("started_at", F.lit(started).cast("timestamp"))
+        write_rows(fail_row, spec.run_log_path)
+        raise
     finally:
         flagged.unpersist()
 
@@ -163,3 +171,26 @@ def run_summary(spark: SparkSession, spec: TableSpec) -> DataFrame:
         F.sum("invalid_records").alias("invalid_records"),
         F.avg("data_quality_score").alias("avg_quality_score"),
     )
+
+
+def read_layer(spark: SparkSession, spec: TableSpec, layer: str = "clean") -> DataFrame:
+    """Read a layer with the newest registered schema.
+
+    Files written before a column was added show NULL for it.  The schema
+    comes from the registry, so no job has to open every file footer (what
+    ``mergeSchema`` would do at scale)."""
+    from pyspark.sql.types import IntegerType, MapType, ArrayType, StringType, StructField, StructType, TimestampType
+
+    registered = SchemaRegistry(spark, spec.registry_path).get(spec.name) or spec.registered_schema
+    fields = list(registered.fields) if registered is not None else []
+    extra = [StructField(BATCH_ID, StringType())]
+    if layer == "quarantine":
+        fields = [StructField(f.name, StringType()) if f.name in ("order_date",) else f for f in fields]
+        extra += [
+            StructField("quarantine_timestamp", TimestampType()),
+            StructField("_failed_rules", ArrayType(StringType())),
+            StructField("_rescued", MapType(StringType(), StringType())),
+        ]
+    parts = [StructField(c, IntegerType()) for c in spec.partition_by]
+    path = spec.clean_path if layer == "clean" else spec.quarantine_path
+    return spark.read.schema(StructType(fields + extra + parts)).parquet(path)

@@ -26,8 +26,21 @@ def with_partitions(df: DataFrame, date_column: str | None = "order_date", now:
     return df.withColumns({"year": F.year(d), "month": F.month(d), "day": F.dayofmonth(d)})
 
 
+def _hashable(dt) -> bool:
+    from pyspark.sql.types import ArrayType, MapType, StructType
+
+    if isinstance(dt, MapType):
+        return False
+    if isinstance(dt, ArrayType):
+        return _hashable(dt.elementType)
+    if isinstance(dt, StructType):
+        return all(_hashable(f.dataType) for f in dt.fields)
+    return True
+
+
 def _spread(df: DataFrame, partition_by: list[str], spread: int) -> DataFrame:
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if c not in partition_by]), F.lit(spread))
+    cols = [F.col(f"`{f.name}`") for f in df.schema.fields if f.name not in partition_by and _hashable(f.dataType)]
+    salt = F.pmod(F.xxhash64(*cols), F.lit(spread)) if cols else F.lit(0)
     return df.repartition(*[F.col(c) for c in partition_by], salt)
 
 
@@ -72,27 +85,16 @@ def write_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.coalesce(1).write.mode("append").format(fmt).save(path)
 
 
-def remove_batch(spark, path: str, batch_id: str, partition_by: list[str] | tuple[str, ...] = ("year", "month", "day")) -> None:
-    """Drop the rows of one half-written batch.
+def rewrite_partitions(spark, path: str, keep: DataFrame, touched: list, partition_by=("year", "month", "day")) -> None:
+    """Replace the ``touched`` partitions of ``path`` with the rows of ``keep``.
 
-    Only the partitions the batch touched are rewritten (dynamic partition
-    overwrite) with everybody else's rows; a touched partition that held
-    nothing but this batch is deleted.  The kept rows are checkpointed first,
-    so the overwrite never reads the files it replaces.
+    ``keep`` must not depend on the files being replaced (checkpoint it
+    first).  Partitions with rows in ``keep`` are overwritten (dynamic
+    partition overwrite); touched partitions left without rows are deleted.
+    ``touched`` is a list of partition value tuples -- one per day, small.
     """
-    try:
-        table = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return
-    if BATCH_ID not in table.columns:
-        return
     parts = list(partition_by)
-    touched = table.filter(F.col(BATCH_ID) == batch_id).select(*parts).distinct()
-    in_touched = table.join(touched, parts, "left_semi")
-    keep = in_touched.filter(F.col(BATCH_ID) != batch_id).checkpoint(eager=True)
-    # Partition lists are small (a batch touches few days).
-    touched_rows = touched.collect()
-    kept_rows = {tuple(r) for r in keep.select(*parts).distinct().collect()}
+    kept = {tuple(r) for r in keep.select(*parts).distinct().collect()}
     (
         keep.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -101,9 +103,37 @@ def remove_batch(spark, path: str, batch_id: str, partition_by: list[str] | tupl
     )
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for r in touched_rows:
-        if tuple(r) in kept_rows:
+    for values in touched:
+        if tuple(values) in kept:
             continue
-        sub = "/".join(f"{c}={'__HIVE_DEFAULT_PARTITION__' if r[c] is None else r[c]}" for c in parts)
+        sub = "/".join(
+            f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(parts, values)
+        )
         p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
         p.getFileSystem(conf).delete(p, True)
+
+
+def remove_batch(spark, path: str, batch_id: str, partition_by: list[str] | tuple[str, ...] = ("year", "month", "day")) -> None:
+    """Drop the rows of one half-written batch.
+
+    Only the partitions the batch touched are rewritten, with everybody
+    else's rows; the kept rows are checkpointed first, so the overwrite never
+    reads the files it replaces.
+    """
+    try:
+        table = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - nothing written yet
+        return
+    if BATCH_ID not in table.columns:
+        return
+    parts = list(partition_by)
+    mine = table.filter(F.col(BATCH_ID) == batch_id)
+    if mine.isEmpty():
+        return
+    touched = [tuple(r) for r in mine.select(*parts).distinct().collect()]
+    # Null-safe on the partition values: the default partition (NULL) matches too.
+    t = mine.select(*[F.col(c).alias(f"_t_{c}") for c in parts]).distinct()
+    cond = [table[c].eqNullSafe(t[f"_t_{c}"]) for c in parts]
+    in_touched = table.join(t, cond, "left_semi")
+    keep = in_touched.filter(F.col(BATCH_ID) != batch_id).checkpoint(eager=True)
+    rewrite_partitions(spark, path, keep, touched, parts)
