@@ -162,7 +162,11 @@ def reprocess_quarantine(
     flagged = validate(typed, rules).flagged
     if unique_key:
         clean_keys = spark.read.parquet(spec.clean_path).select(unique_key).distinct()
-        existing = flagged.join(clean_keys, unique_key, "left_semi").withColumn(VALID, F.lit(False))
+        existing = (
+            flagged.join(clean_keys, unique_key, "left_semi")
+            .withColumn(VALID, F.lit(False))
+            .withColumn("_failed_rules", F.array_union(F.col("_failed_rules"), F.array(F.lit(f"{unique_key}_exists_in_clean"))))
+        )
         fresh = flagged.join(clean_keys, unique_key, "left_anti")
         flagged = fresh.unionByName(existing)
     flagged = flagged.checkpoint(eager=True)
