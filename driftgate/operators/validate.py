@@ -169,7 +169,12 @@ def _first_occurrence(df: DataFrame, rule: Rule, row_id: list[str], i: int) -> t
     order_cols = list(rule.params.get("order_by", [])) + list(row_id)
     if not order_cols:
         raise RuleError(f"rule {rule.name}: no order_by and no row id")
-    order = F.struct(*[F.col(f"`{c}`") for c in order_cols])
+    fixed = ("bigint", "int", "smallint", "tinyint", "double", "float", "date", "timestamp", "timestamp_ntz", "boolean")
+    if len(order_cols) == 1 and df.schema[order_cols[0]].dataType.simpleString() in fixed:
+        # one fixed-width column: a plain min keeps the aggregate hash-based
+        order = F.col(f"`{order_cols[0]}`")
+    else:
+        order = F.struct(*[F.col(f"`{c}`") for c in order_cols])
     keyed = df.withColumn(f"_uo{i}", order)
     firsts = (
         keyed.select(key.alias(f"_uk{i}"), F.col(f"_uo{i}"))

@@ -101,8 +101,16 @@ def run_batch(
     row_id: list[str] | None = None,
     quarantine_text_columns: tuple[str, ...] = ("order_date",),
     quarantine_ts: Column | None = None,
+    timings: dict | None = None,
 ) -> BatchOutcome:
     started = time.time()
+    mark = [time.perf_counter()]
+
+    def step(name: str) -> None:
+        if timings is not None:
+            now = time.perf_counter()
+            timings[name] = round(now - mark[0], 3)
+            mark[0] = now
     if _committed(spark, spec, batch_id):
         return BatchOutcome(batch_id, skipped=True)
     if raw.isEmpty():  # S7: no full count
@@ -111,24 +119,29 @@ def run_batch(
     registry = SchemaRegistry(spark, spec.registry_path)
     registered = registry.get(spec.name) or spec.registered_schema
     prepared = prepare(raw, registered, rules, mode=mode, row_id=row_id)
+    step("prepare")
     flagged = prepared.validated.flagged.withColumn(BATCH_ID, F.lit(batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
     validated = Validated(flagged, prepared.validated.rules, prepared.validated.applied, prepared.validated.rule_errors)
     try:
         for path in (spec.clean_path, spec.quarantine_path):
             remove_batch(spark, path, batch_id, spec.partition_by)
+        step("remove_half_written")
 
         clean = with_partitions(validated.valid.drop(RESCUED), spec.date_column)
         write_partitioned(clean, spec.clean_path, spec.partition_by)
+        step("write_clean")
 
         metrics = collect_metrics(
             raw, validated, spec.name, [c.to_dict() for c in prepared.comparison.changes]
         ).persist()
         m = metrics.select("total_records", "valid_records", "invalid_records", "duplicate_records", "data_quality_score").first().asDict()
+        step("metrics")
         if m["invalid_records"] > 0:  # S10: skipped when nothing failed
             quarantine = with_partitions(
                 to_quarantine(validated.invalid, quarantine_ts, quarantine_text_columns), spec.date_column
             )
             write_partitioned(quarantine, spec.quarantine_path, spec.partition_by)
+        step("write_quarantine")
 
         alerts = check_thresholds(metrics, spec.thresholds).persist()
         write_rows(metrics.withColumn("batch_id", F.lit(batch_id)), spec.metrics_path, "json")
@@ -145,6 +158,7 @@ def run_batch(
             RUN_LOG_SCHEMA,
         ).withColumn("started_at", F.lit(started).cast("timestamp"))
         write_rows(log_row, spec.run_log_path)  # the commit marker, written last
+        step("logs_registry_runlog")
         metrics.unpersist()
         alerts.unpersist()
         return BatchOutcome(batch_id, comparison=prepared.comparison, metrics=m, alerts=alert_rows, duration_sec=duration)

@@ -21,6 +21,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -32,6 +33,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("DRIFTGATE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Partitioned writes are bound by the number of files, not bytes, when
+        # every day holds little data: keep enough tasks writing in parallel.
+        # On a cluster the advisory partition size governs.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
+        # Local disk only: no ".crc" sidecar per file (a cluster writes to a
+        # distributed file system or object store, which has no such files).
+        .config("spark.hadoop.fs.file.impl", "org.apache.hadoop.fs.RawLocalFileSystem")
+        .config("spark.hadoop.fs.file.impl.disable.cache", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

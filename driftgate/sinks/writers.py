@@ -1,10 +1,11 @@
 """Lake sinks.
 
 Clean and quarantine rows are appended as Parquet partitioned by
-year/month/day.  Rows are first repartitioned by the partition columns plus
-a spread key: one day is written by several tasks when it is large (no
-single task writes a hot day) and each task writes few partitions (no
-small-file explosion).  Every row carries ``_batch_id`` so a batch can be
+year/month/day.  Rows are first range-partitioned on (year, month, day,
+row hash): the sampled range bounds put each small day in one task (one
+file per day, written in order) and cut a large day into several hash
+ranges, so no single task writes a hot day and no task opens a file for
+every day.  Every row carries ``_batch_id`` so a batch can be
 found and removed again (idempotent retries, see ``remove_batch``).
 """
 
@@ -38,10 +39,10 @@ def _hashable(dt) -> bool:
     return True
 
 
-def _spread(df: DataFrame, partition_by: list[str], spread: int) -> DataFrame:
+def _spread(df: DataFrame, partition_by: list[str]) -> DataFrame:
     cols = [F.col(f"`{f.name}`") for f in df.schema.fields if f.name not in partition_by and _hashable(f.dataType)]
-    salt = F.pmod(F.xxhash64(*cols), F.lit(spread)) if cols else F.lit(0)
-    return df.repartition(*[F.col(c) for c in partition_by], salt)
+    salt = F.xxhash64(*cols) if cols else F.lit(0)
+    return df.repartitionByRange(*[F.col(c) for c in partition_by], salt)
 
 
 def write_partitioned(
@@ -49,12 +50,11 @@ def write_partitioned(
     path: str,
     partition_by: list[str] | tuple[str, ...] = ("year", "month", "day"),
     mode: str = "append",
-    spread: int = 4,
 ) -> None:
     """Parquet (Snappy), partitioned, appended."""
     parts = list(partition_by)
     (
-        _spread(df, parts, spread)
+        _spread(df, parts)
         .write.mode(mode)
         .option("compression", "snappy")
         .partitionBy(*parts)
