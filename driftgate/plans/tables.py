@@ -149,7 +149,11 @@ def reprocess_quarantine(
     table).  Promoted rows are appended to the clean layer; the quarantine
     partitions that held them are rewritten without them.  Returns the
     promoted rows (lazy)."""
-    q = spark.read.parquet(spec.quarantine_path).withColumnRenamed("quarantine_timestamp", "_quarantine_ts")
+    q = (
+        spark.read.option("mergeSchema", "true")
+        .parquet(spec.quarantine_path)
+        .withColumnRenamed("quarantine_timestamp", "_quarantine_ts")
+    )
     parts = list(spec.partition_by)
     touched = [tuple(r) for r in q.select(*parts).distinct().collect()]  # one row per day partition
     meta = ["_failed_rules", "_rescued", BATCH_ID, *parts]

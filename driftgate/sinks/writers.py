@@ -121,7 +121,10 @@ def remove_batch(spark, path: str, batch_id: str, partition_by: list[str] | tupl
     reads the files it replaces.
     """
     try:
-        table = spark.read.parquet(path)
+        # mergeSchema: files written before a column was added must keep the
+        # newer columns when rewritten (types never diverge: every write is
+        # conformed to the registry first).
+        table = spark.read.option("mergeSchema", "true").parquet(path)
     except Exception:  # noqa: BLE001 - nothing written yet
         return
     if BATCH_ID not in table.columns:

@@ -133,3 +133,21 @@ def test_empty_batch_guard(spark, tmp_dir):
     out = run_batch(spark, read_raw(spark, path), _spec(tmp_dir + "/lake"), orders_rules(), "empty")
     assert out.empty
     assert not os.path.exists(_spec(tmp_dir + "/lake").clean_path)
+
+
+def test_recovery_keeps_columns_added_later(spark, tmp_dir):
+    """Rewriting partitions during recovery must not drop a column newer files have."""
+    from driftgate.sinks.writers import BATCH_ID, remove_batch
+
+    spec = _spec(tmp_dir + "/lake")
+    a = write_csv(tmp_dir + "/in1", "a.csv", HEADER, baseline_rows(5))
+    header, rows = new_column_rows()
+    # same days as file a, with shipping_method
+    rows = [r.replace("ORD0", "NEW0") for r in rows]
+    b = write_csv(tmp_dir + "/in2", "b.csv", header, rows)
+    run_batch(spark, read_raw(spark, a), spec, orders_rules(), "old")
+    run_batch(spark, read_raw(spark, b), spec, orders_rules(), "new")
+    remove_batch(spark, spec.clean_path, "old")
+    left = spark.read.option("mergeSchema", "true").parquet(spec.clean_path)
+    assert left.filter(F.col(BATCH_ID) == "old").count() == 0
+    assert left.filter(F.col("shipping_method").isNotNull()).count() == 10
