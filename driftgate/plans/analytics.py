@@ -109,7 +109,8 @@ def revenue_by_day(clean: DataFrame) -> DataFrame:
 
 
 def _avg_money(x: Column) -> Column:
-    return half_up_ratio(cents(F.sum(x)), F.count(x))
+    # cents / (100 * n) = the average in money units, rounded half-up to a cent
+    return half_up_ratio(cents(F.sum(x)), F.count(x) * 100)
 
 
 # Q8
@@ -313,7 +314,7 @@ def customer_segments(clean: DataFrame, as_of: str | _dt.date) -> DataFrame:
         per_customer.groupBy(seg.alias("customer_segment"))
         .agg(
             F.count(F.lit(1)).alias("customer_count"),
-            half_up_ratio(cents(F.sum("total_spent")), F.count("total_spent")).alias("avg_lifetime_value"),
+            half_up_ratio(cents(F.sum("total_spent")), F.count("total_spent") * 100).alias("avg_lifetime_value"),
             half_up_ratio(F.sum("order_count"), F.count("order_count")).alias("avg_orders_per_customer"),
         )
         .orderBy(F.desc("avg_lifetime_value"), F.asc("customer_segment"))

@@ -237,7 +237,7 @@ ORACLE.update(
         "revenue_by_region": _clean(
             f"SELECT region, CAST(count(DISTINCT order_id) AS BIGINT) AS total_orders, "
             f"CAST(count(DISTINCT customer_id) AS BIGINT) AS unique_customers, {money(f'SUM({REV})')} AS total_revenue, "
-            f"{hu(cents(f'SUM({REV})'), f'count({REV})')} AS avg_order_value "
+            f"{hu(cents(f'SUM({REV})'), f'count({REV}) * 100')} AS avg_order_value "
             "FROM clean_orders WHERE status = 'completed' GROUP BY region ORDER BY total_revenue DESC, region"
         ),
         "top_products": _clean(
@@ -251,7 +251,7 @@ ORACLE.update(
         ),
         "daily_trend_30d": _clean(
             f"SELECT order_date, CAST(count(*) AS BIGINT) AS order_count, {money(f'SUM({REV})')} AS daily_revenue, "
-            f"{hu(cents(f'SUM({REV})'), f'count({REV})')} AS avg_order_value FROM clean_orders "
+            f"{hu(cents(f'SUM({REV})'), f'count({REV}) * 100')} AS avg_order_value FROM clean_orders "
             f"WHERE order_date >= {AS_OF} - INTERVAL '30' DAY GROUP BY order_date ORDER BY order_date DESC"
         ),
         "repeat_customers": _clean(
@@ -317,7 +317,7 @@ ORDER BY week_start DESC""",
   FROM clean_orders WHERE status = 'completed' GROUP BY customer_id)""",
         )
         + f"""SELECT customer_segment, CAST(count(*) AS BIGINT) AS customer_count,
-       {hu(cents('SUM(total_spent)'), 'count(total_spent)')} AS avg_lifetime_value,
+       {hu(cents('SUM(total_spent)'), 'count(total_spent) * 100')} AS avg_lifetime_value,
        {hu('SUM(order_count)', 'count(order_count)')} AS avg_orders_per_customer
 FROM (SELECT *, CASE WHEN order_count >= 10 AND total_spent >= 1000 THEN 'VIP'
                      WHEN order_count >= 5 AND total_spent >= 500 THEN 'Loyal'
@@ -335,7 +335,7 @@ GROUP BY customer_segment ORDER BY avg_lifetime_value DESC, customer_segment""",
             f"""daily_sales_summary AS (
   SELECT order_date, region, CAST(count(DISTINCT order_id) AS BIGINT) AS total_orders,
          CAST(count(DISTINCT customer_id) AS BIGINT) AS unique_customers, CAST(SUM(quantity) AS BIGINT) AS total_items,
-         {money(f'SUM({REV})')} AS total_revenue, {hu(cents(f'SUM({REV})'), f'count({REV})')} AS avg_order_value
+         {money(f'SUM({REV})')} AS total_revenue, {hu(cents(f'SUM({REV})'), f'count({REV}) * 100')} AS avg_order_value
   FROM clean_orders WHERE status = 'completed' GROUP BY order_date, region)""",
         )
         + "SELECT * FROM daily_sales_summary ORDER BY order_date DESC, total_revenue DESC, region LIMIT 100",

@@ -83,7 +83,7 @@ def describe(spark: SparkSession, table: str) -> dict[str, DataFrame]:
 def daily_sales_summary_sql(clean_table: str) -> str:
     """The S19 view body in Spark SQL (averages rounded half-up exactly)."""
     cents = "CAST(SUM(price * quantity) * 100 AS DECIMAL(38,0))"
-    n = "CAST(COUNT(price * quantity) AS DECIMAL(38,0))"
+    n = "CAST(COUNT(price * quantity) * 100 AS DECIMAL(38,0))"  # cents / (100 n) = average
     return f"""
 SELECT order_date, region,
        COUNT(DISTINCT order_id) AS total_orders,
@@ -154,6 +154,9 @@ def reprocess_quarantine(
         .parquet(spec.quarantine_path)
         .withColumnRenamed("quarantine_timestamp", "_quarantine_ts")
     )
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
     parts = list(spec.partition_by)
     touched = [tuple(r) for r in q.select(*parts).distinct().collect()]  # one row per day partition
     meta = ["_failed_rules", "_rescued", BATCH_ID, *parts]

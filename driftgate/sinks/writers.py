@@ -138,5 +138,8 @@ def remove_batch(spark, path: str, batch_id: str, partition_by: list[str] | tupl
     t = mine.select(*[F.col(c).alias(f"_t_{c}") for c in parts]).distinct()
     cond = [table[c].eqNullSafe(t[f"_t_{c}"]) for c in parts]
     in_touched = table.join(t, cond, "left_semi")
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
     keep = in_touched.filter(F.col(BATCH_ID) != batch_id).checkpoint(eager=True)
     rewrite_partitions(spark, path, keep, touched, parts)

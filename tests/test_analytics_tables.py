@@ -141,3 +141,21 @@ def test_stream_equals_batch_and_restart(spark, tmp_dir):
     q2.awaitTermination(300)
     assert read_layer(spark, spec, "clean").count() == 34
     assert ingest_outcomes(spark, spec).first()["succeeded"] == 2
+
+
+def test_money_averages_against_plain_average(spark):
+    """avg_order_value / avg_lifetime_value equal round(avg(...), 2) computed the plain way."""
+    from decimal import ROUND_HALF_UP, Decimal
+
+    rows = [("c1", "completed", Decimal("10.01"), 3, "EU"), ("c1", "completed", Decimal("0.02"), 1, "EU"),
+            ("c2", "completed", Decimal("99.99"), 2, "EU"), ("c3", "pending", Decimal("5.00"), 1, "US")]
+    df = spark.createDataFrame(rows, "customer_id string, status string, price decimal(10,2), quantity int, region string") \
+        .withColumn("order_id", F.col("customer_id")).withColumn("order_date", F.lit(dt.date(2001, 1, 1)))
+    got = A.revenue_by_region(df).first()
+    vals = [Decimal("10.01") * 3, Decimal("0.02"), Decimal("99.99") * 2]
+    expect = (sum(vals) / len(vals)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+    assert got["avg_order_value"] == float(expect)
+    seg = {r["customer_segment"]: r for r in A.customer_segments(df, dt.date(2001, 8, 1)).collect()}
+    per_customer = [Decimal("10.01") * 3 + Decimal("0.02"), Decimal("99.99") * 2]
+    assert seg["Regular"]["avg_lifetime_value"] == float(per_customer[0])
+    assert seg["New"]["avg_lifetime_value"] == float(per_customer[1])
