@@ -60,6 +60,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder; a machine-local one cannot survive executor loss")
         configured = tempfile.mkdtemp(prefix="driftgate-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
