@@ -16,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftgate.operators.alerts import check_thresholds
-from driftgate.operators.metrics import collect_metrics, null_counts, numeric_summary
-from driftgate.operators.schema_diff import diff_batches, infer_batch_types
+from driftgate.operators.evolve import conform
+from driftgate.operators.metrics import collect_metrics, duplicate_count, null_counts, numeric_summary
+from driftgate.operators.schema_diff import batch_compatibility, diff_batches, infer_batch_types
 from driftgate.operators.validate import FAILED
 from driftgate.plans import analytics as A
 from driftgate.plans import orders as O
@@ -82,11 +83,30 @@ def _rescued_values(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _schema_drift_by_batch(spark: SparkSession, sf: str) -> DataFrame:
+def _batch_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Every column of every daily batch as text (a CSV read without inference)."""
     raw = dt.raw_orders(spark, sf)
     cols = [f.name for f in O.ORDERS_SCHEMA.fields]
     text = raw.select(F.col("_ingest_ts").cast("date").alias("batch"), *[F.col(c).cast("string").alias(c) for c in cols])
-    return diff_batches(infer_batch_types(text, "batch"), O.ORDERS_SCHEMA)
+    return infer_batch_types(text, "batch")
+
+
+def _schema_drift_by_batch(spark: SparkSession, sf: str) -> DataFrame:
+    return diff_batches(_batch_types(spark, sf), O.ORDERS_SCHEMA)
+
+
+def _batch_compatibility(spark: SparkSession, sf: str) -> DataFrame:
+    return batch_compatibility(_batch_types(spark, sf), O.ORDERS_SCHEMA)
+
+
+def _conformed_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """E4-E7 'match': the raw batch cast onto the registered schema, new columns dropped."""
+    typed = conform(dt.raw_orders(spark, sf), O.ORDERS_SCHEMA, keep_new=False)
+    return _money_out(typed.drop("_ingest_ts", *dt.LINE_ORDER))
+
+
+def _duplicate_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return duplicate_count(dt.raw_orders(spark, sf))
 
 
 def _numeric_summary(spark: SparkSession, sf: str) -> DataFrame:
@@ -118,6 +138,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "quality_alerts": _quality_alerts,
         "rescued_values": _rescued_values,
         "schema_drift_by_batch": _schema_drift_by_batch,
+        "batch_compatibility": _batch_compatibility,
+        "conformed_rows": _conformed_rows,
+        "duplicate_rows": _duplicate_rows,
         "numeric_summary": _numeric_summary,
         # the query book (Q1-Q21)
         "clean_count": _clean(A.clean_count),

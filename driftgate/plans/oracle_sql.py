@@ -341,3 +341,28 @@ GROUP BY customer_segment ORDER BY avg_lifetime_value DESC, customer_segment""",
         + "SELECT * FROM daily_sales_summary ORDER BY order_date DESC, total_revenue DESC, region LIMIT 100",
     }
 )
+
+ORACLE["conformed_rows"] = _quar(
+    "SELECT order_id, customer_id, product_name, quantity, CAST(price AS DOUBLE) AS price, order_date, "
+    "status, region, shipping_method FROM typed"
+)
+ORACLE["duplicate_rows"] = _quar(
+    f"SELECT CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(_RAW_COLS)} FROM raw_orders)) AS BIGINT) "
+    "AS duplicate_records FROM raw_orders"
+)
+# The safe widenings (old -> new).
+_SAFE = "('int','bigint'), ('float','double'), ('smallint','int'), ('smallint','bigint'), ('int','double')"
+ORACLE["batch_compatibility"] = _with(
+    PIPELINE_CTES,
+    "text_batch AS (SELECT CAST(_ingest_ts AS DATE) AS batch, "
+    + ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in _RAW_COLS)
+    + " FROM raw_orders)",
+    "inferred AS (SELECT batch, " + ", ".join(f"{_infer_sql(c)} AS t_{c}" for c in _RAW_COLS) + " FROM text_batch GROUP BY batch)",
+    "changes AS ("
+    + " UNION ALL ".join(
+        f"SELECT batch, '{t}' AS old_type, t_{c} AS new_type FROM inferred WHERE t_{c} <> '{t}'" for c, t in _REG_TYPES.items()
+    )
+    + ")",
+) + f"""SELECT i.batch, CAST(count(c.batch) AS INTEGER) AS change_count,
+       bool_and(c.batch IS NULL OR (c.old_type, c.new_type) IN ({_SAFE})) AS is_backward_compatible
+FROM inferred i LEFT JOIN changes c ON c.batch = i.batch GROUP BY i.batch"""
