@@ -23,11 +23,12 @@ from dataclasses import dataclass, field
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators.alerts import check_thresholds
 from ..operators.evolve import RESCUED, evolve, evolved_schema
 from ..operators.metrics import collect_metrics
-from ..operators.registry import SchemaRegistry
+from ..operators.registry import SchemaRegistry, add_catalog_columns, catalog_schema
 from ..operators.rules import RuleSet
 from ..operators.schema_diff import Comparison, detect
 from ..operators.validate import Validated, validate
@@ -117,7 +118,10 @@ def run_batch(
         return BatchOutcome(batch_id, empty=True)
 
     registry = SchemaRegistry(spark, spec.registry_path)
-    registered = registry.get(spec.name) or spec.registered_schema
+    registered = None
+    if spec.catalog_table:
+        registered = catalog_schema(spark, spec.catalog_table)  # S12
+    registered = registered or registry.get(spec.name) or spec.registered_schema
     prepared = prepare(raw, registered, rules, mode=mode, row_id=row_id)
     step("prepare")
     flagged = prepared.validated.flagged.withColumn(BATCH_ID, F.lit(batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
@@ -150,7 +154,12 @@ def run_batch(
             write_rows(alerts.withColumn("batch_id", F.lit(batch_id)), spec.alerts_path, "parquet")
 
         if prepared.comparison.is_new_table or (mode == "evolve" and prepared.comparison.has_changes):
-            registry.publish(spec.name, evolved_schema(prepared.comparison, mode), batch_id)  # E8 / §2.11-15
+            evolved = evolved_schema(prepared.comparison, mode)
+            registry.publish(spec.name, evolved, batch_id)  # E8 / a new table registers version 1
+            if spec.catalog_table and spark.catalog.tableExists(spec.catalog_table) and registered is not None:
+                known = {f.name.lower() for f in registered.fields}
+                added = StructType([f for f in evolved.fields if f.name.lower() not in known])
+                add_catalog_columns(spark, spec.catalog_table, added)  # S13
 
         duration = time.time() - started
         log_row = spark.createDataFrame(

@@ -29,6 +29,9 @@ class TableSpec:
     date_column: str | None = "order_date"
     raw_prefix: str = "raw"
     thresholds: Thresholds = field(default_factory=Thresholds)
+    # When set, the registered schema is this catalog table's (S12) and new
+    # columns are added to it with ALTER TABLE ... ADD COLUMNS.
+    catalog_table: str | None = None
 
     def layer(self, layer: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{self.name}"

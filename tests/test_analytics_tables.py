@@ -159,3 +159,22 @@ def test_money_averages_against_plain_average(spark):
     per_customer = [Decimal("10.01") * 3 + Decimal("0.02"), Decimal("99.99") * 2]
     assert seg["Regular"]["avg_lifetime_value"] == float(per_customer[0])
     assert seg["New"]["avg_lifetime_value"] == float(per_customer[1])
+
+
+def test_catalog_table_is_the_registry(spark, tmp_dir):
+    """With a catalog table, drift is measured against it and new columns are added to it."""
+    from pyspark.sql.types import StructType
+
+    from tests.fixtures import new_column_rows
+
+    typed = StructType([f for f in ORDERS_SCHEMA.fields if f.name != "shipping_method"])
+    spec = TableSpec("orders", tmp_dir + "/lake", None, catalog_table="cat_orders")
+    spark.sql("DROP TABLE IF EXISTS cat_orders")
+    spark.sql(T.create_table_sql("cat_orders", typed, spec.clean_path, "`_batch_id` string"))
+    header, rows = new_column_rows()
+    out = run_batch(spark, read_raw(spark, write_csv(tmp_dir + "/in", "b.csv", header, rows)), spec, orders_rules(), "c1")
+    assert ("new_column", "shipping_method") in [(c.change_type, c.column_name) for c in out.comparison.changes]
+    cols = [c.name for c in spark.catalog.listColumns("cat_orders")]
+    assert "shipping_method" in cols
+    T.discover_partitions(spark, "cat_orders")
+    assert spark.table("cat_orders").filter("shipping_method IS NOT NULL").count() == 10
