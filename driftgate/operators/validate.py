@@ -141,16 +141,13 @@ def validate(
 
     work = df
     uniques = [r for r in applied if r.rule_type == UNIQUE]
-    helper_cols: list[str] = []
     if uniques:
         if row_id is None:
             work = work.withColumn(ROW_ID, F.monotonically_increasing_id())
-            helper_cols.append(ROW_ID)
             row_id = [ROW_ID]
         for i, r in enumerate(uniques):
             work, passed = _first_occurrence(work, r, row_id, i)
             predicates[r.name] = passed
-            helper_cols.extend([f"_uk{i}", f"_uf{i}", f"_uo{i}"])
 
     failed = F.array_compact(
         F.array(*[F.when(~predicates[r.name], F.lit(r.name)) for r in applied])
