@@ -1,18 +1,21 @@
 """Incremental file ingest (S5, S6) with Structured Streaming.
 
-New files under the raw prefix are picked up by the file source and each
-micro-batch runs the batch pipeline inside ``foreachBatch``.  The source
-skips names starting with ``_`` or ``.``; ``pathGlobFilter`` keeps one
-extension; an empty file gives an empty micro-batch, which the pipeline's
-empty-input guard returns from.  ``maxFilesPerTrigger=1`` keeps "one file =
-one batch" like the per-file job of the original design; raise it for
-throughput.  The streaming checkpoint (under the lake's logs folder, a
-shared path) records which files were done, and the pipeline's run log makes
-a re-delivered micro-batch a no-op, so a restart neither skips nor doubles
-a file.
-
-UNIQUE runs inside ``foreachBatch`` -- a streaming DataFrame cannot take the
-aggregate + join -- with the same per-batch scope as the batch job.
+The stream discovers files; each file is then read as the batch job reads
+it.  A file source with one fixed schema maps CSV columns by position, so a
+file whose columns were reordered, added or dropped -- the drift this
+library exists to catch -- would be misread.  Instead the ``binaryFile``
+source lists new files under the raw prefix (only path and length are
+selected, so file contents are not read by the stream), the admission rule
+(S3: extension, non-empty, not hidden) is applied as a column, and inside
+``foreachBatch`` every admitted file is read with its own header
+(``read_raw``) and goes through ``run_batch``.  ``maxFilesPerTrigger``
+bounds the file list of a micro-batch (the only thing collected).
+
+Exactly once: the streaming checkpoint (under the lake's logs folder, a
+shared path) records which files were listed; the batch id of a file is
+its path, and the run log makes a re-delivered file a no-op, so a restart
+neither skips nor doubles a file.  UNIQUE runs per file, with the same
+per-batch scope as the batch job.
 """
 
 from __future__ import annotations
@@ -27,13 +30,17 @@ from pyspark.sql.types import StructType
 from ..operators.rules import RuleSet
 from ..plans.pipeline import RUN_LOG_SCHEMA, run_batch
 from ..settings import TableSpec
-from ..sources.files import as_text_schema
+from ..sources.admission import admitted
+from ..sources.files import read_raw
+
+
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 @dataclass
 class IngestConfig:
     fmt: str = "csv"
-    text_columns: bool = True  # read every column as text, type via the registry
+    infer: bool = True  # header + inferred types per file (the batch job's read)
     max_files_per_trigger: int = 1
     available_now: bool = True
     query_name: str = "ingest"
@@ -44,26 +51,33 @@ def start_file_ingest(
     spark: SparkSession,
     spec: TableSpec,
     rules: RuleSet,
-    source_schema: StructType,
+    source_schema: StructType | None = None,
     config: IngestConfig = IngestConfig(),
 ) -> StreamingQuery:
-    """Start (and with ``available_now`` drain) the ingest stream."""
-    schema = as_text_schema(source_schema) if (config.text_columns and config.fmt != "parquet") else source_schema
-    reader = (
-        spark.readStream.format(config.fmt)
-        .schema(schema)
-        .option("maxFilesPerTrigger", config.max_files_per_trigger)
+    """Start (and with ``available_now`` drain) the ingest stream.
+
+    ``source_schema``: read every file with this schema instead of its
+    header (no per-file drift then); default: per-file header + inference.
+    """
+    listing = (
+        spark.readStream.format("binaryFile")
+        .schema(BINARY_FILE_SCHEMA)
         .option("pathGlobFilter", f"*.{config.fmt}")
+        .option("recursiveFileLookup", "true")
+        .option("maxFilesPerTrigger", config.max_files_per_trigger)
+        .load(spec.raw_path)
+        .select("path", "length")
     )
-    if config.fmt == "csv":
-        reader = reader.option("header", True)
-    stream = reader.load(spec.raw_path)
     checkpoint = config.checkpoint or f"{spec.logs_path}/_checkpoints/{config.query_name}"
 
-    def process(batch: DataFrame, epoch_id: int) -> None:
-        run_batch(spark, batch, spec, rules, batch_id=f"{config.query_name}-{epoch_id}")
+    def process(files: DataFrame, epoch_id: int) -> None:
+        # the stream lists only under the raw prefix; admission (S3) checks the rest
+        ok = files.filter(admitted(F.col("path"), F.col("length"), ""))
+        for row in ok.select("path").orderBy("path").collect():  # at most max_files_per_trigger
+            raw = read_raw(spark, row["path"], fmt=config.fmt, schema=source_schema, infer=config.infer)
+            run_batch(spark, raw, spec, rules, batch_id=f"file:{row['path']}")
 
-    writer = stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).queryName(config.query_name)
+    writer = listing.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).queryName(config.query_name)
     writer = writer.trigger(availableNow=True) if config.available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
 

@@ -123,7 +123,7 @@ def test_stream_equals_batch_and_restart(spark, tmp_dir):
     write_csv(raw, "c.csv", HEADER, invalid_rows())
     write_csv(raw, "_tmp.csv", HEADER, baseline_rows(3, start=500))  # hidden: never read
     write_csv(raw, "e.csv", HEADER, [])  # empty file: empty batch
-    q = start_file_ingest(spark, spec, orders_rules(), ORDERS_SCHEMA, IngestConfig(query_name="t_ingest"))
+    q = start_file_ingest(spark, spec, orders_rules(), config=IngestConfig(query_name="t_ingest"))
     q.awaitTermination(300)
     clean = read_layer(spark, spec, "clean")
     assert clean.count() == 34
@@ -137,12 +137,32 @@ def test_stream_equals_batch_and_restart(spark, tmp_dir):
         map(tuple, read_layer(spark, batch_spec, "clean").select(cols).collect()), key=str
     )
     # a restart on the same checkpoint replays nothing
-    q2 = start_file_ingest(spark, spec, orders_rules(), ORDERS_SCHEMA, IngestConfig(query_name="t_ingest"))
+    q2 = start_file_ingest(spark, spec, orders_rules(), config=IngestConfig(query_name="t_ingest"))
     q2.awaitTermination(300)
     assert read_layer(spark, spec, "clean").count() == 34
     assert ingest_outcomes(spark, spec).first()["succeeded"] == 2
 
 
+def test_stream_reads_each_file_by_its_header(spark, tmp_dir):
+    """A drifted file (new column, reordered columns) is read by name, not position."""
+    from tests.fixtures import new_column_rows
+
+    spec = TableSpec("orders", tmp_dir + "/lake", ORDERS_SCHEMA)
+    header, rows = new_column_rows()
+    write_csv(spec.raw_path, "b.csv", header, rows)
+    # same rows with the columns in another order
+    cols = HEADER.split(",")
+    order = [cols[i] for i in (7, 6, 5, 4, 3, 2, 1, 0)]
+    reordered = [",".join(dict(zip(cols, r.split(",")))[c] for c in order) for r in baseline_rows(5, start=700)]
+    write_csv(spec.raw_path, "d.csv", ",".join(order), reordered)
+    q = start_file_ingest(spark, spec, orders_rules(), config=IngestConfig(query_name="t_ingest2"))
+    q.awaitTermination(300)
+    clean = read_layer(spark, spec, "clean")
+    assert clean.count() == 15
+    assert clean.filter("shipping_method IS NOT NULL").count() == 10
+    assert clean.filter("order_id = 'ORD700'").select("region").first()[0] in ("US-EAST", "US-WEST", "EU-WEST", "ASIA-PACIFIC")
+
+
 def test_money_averages_against_plain_average(spark):
     """avg_order_value / avg_lifetime_value equal round(avg(...), 2) computed the plain way."""
     from decimal import ROUND_HALF_UP, Decimal
