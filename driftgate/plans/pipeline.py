@@ -26,15 +26,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.alerts import check_thresholds
-from ..operators.evolve import RESCUED, evolve, evolved_schema
+from ..operators.evolve import RESCUED, SchemaDriftError, evolve, evolved_schema
 from ..operators.metrics import collect_metrics
 from ..operators.registry import SchemaRegistry, add_catalog_columns, catalog_schema
 from ..operators.rules import RuleSet
 from ..operators.schema_diff import Comparison, detect
-from ..operators.validate import Validated, validate
+from ..operators.validate import FAILED, VALID, Validated, validate
 from ..settings import TableSpec
 from ..sinks.writers import BATCH_ID, remove_batch, to_quarantine, with_partitions, write_partitioned, write_rows
 
+SCHEMA_INCOMPATIBLE = "schema_incompatible"
+
 RUN_LOG_SCHEMA = (
     "table_name string, batch_id string, success boolean, started_at timestamp, duration_sec double, "
     "total_records bigint, valid_records bigint, invalid_records bigint, data_quality_score double, "
@@ -103,7 +105,15 @@ def run_batch(
     quarantine_text_columns: tuple[str, ...] = ("order_date",),
     quarantine_ts: Column | None = None,
     timings: dict | None = None,
+    on_incompatible: str = "evolve",
 ) -> BatchOutcome:
+    """Run one batch into the lake.
+
+    ``on_incompatible`` (a change that is not backward compatible: a missing
+    column or an unsafe type change): "evolve" (default) conforms and
+    continues; "quarantine" sends the whole batch to quarantine with the
+    reason ``schema_incompatible``; "fail" raises before anything is written.
+    """
     started = time.time()
     mark = [time.perf_counter()]
 
@@ -124,7 +134,20 @@ def run_batch(
     registered = registered or registry.get(spec.name) or spec.registered_schema
     prepared = prepare(raw, registered, rules, mode=mode, row_id=row_id)
     step("prepare")
-    flagged = prepared.validated.flagged.withColumn(BATCH_ID, F.lit(batch_id)).persist(StorageLevel.MEMORY_AND_DISK)
+    incompatible = not prepared.comparison.is_backward_compatible
+    if incompatible and on_incompatible == "fail":
+        error = SchemaDriftError(f"incompatible schema change: {[c.to_dict() for c in prepared.comparison.changes]}")
+        _log_failure(spark, spec, batch_id, started, error)
+        raise error
+    flagged = prepared.validated.flagged.withColumn(BATCH_ID, F.lit(batch_id))
+    if incompatible and on_incompatible == "quarantine":
+        flagged = flagged.withColumns(
+            {
+                VALID: F.lit(False),
+                FAILED: F.array_union(F.col(FAILED), F.array(F.lit(SCHEMA_INCOMPATIBLE))),
+            }
+        )
+    flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     validated = Validated(flagged, prepared.validated.rules, prepared.validated.applied, prepared.validated.rule_errors)
     try:
         for path in (spec.clean_path, spec.quarantine_path):
@@ -153,7 +176,8 @@ def run_batch(
         if alert_rows:
             write_rows(alerts.withColumn("batch_id", F.lit(batch_id)), spec.alerts_path, "parquet")
 
-        if prepared.comparison.is_new_table or (mode == "evolve" and prepared.comparison.has_changes):
+        publish = prepared.comparison.is_new_table or (mode == "evolve" and prepared.comparison.has_changes)
+        if publish and not (incompatible and on_incompatible == "quarantine"):
             evolved = evolved_schema(prepared.comparison, mode)
             registry.publish(spec.name, evolved, batch_id)  # E8 / a new table registers version 1
             if spec.catalog_table and spark.catalog.tableExists(spec.catalog_table) and registered is not None:
@@ -173,16 +197,20 @@ def run_batch(
         return BatchOutcome(batch_id, comparison=prepared.comparison, metrics=m, alerts=alert_rows, duration_sec=duration)
     except Exception as exc:
         # A failed batch leaves a failure row (not a commit marker) and re-raises.
-        fail_row = spark.createDataFrame(
-            [(spec.name, batch_id, False, None, time.time() - started, None, None, None, None, None, None, str(exc)[:1000])],
-            RUN_LOG_SCHEMA,
-        ).withColumn("started_at", F.lit(started).cast("timestamp"))
-        write_rows(fail_row, spec.run_log_path)
+        _log_failure(spark, spec, batch_id, started, exc)
         raise
     finally:
         flagged.unpersist()
 
 
+def _log_failure(spark: SparkSession, spec: TableSpec, batch_id: str, started: float, exc: BaseException) -> None:
+    fail_row = spark.createDataFrame(
+        [(spec.name, batch_id, False, None, time.time() - started, None, None, None, None, None, None, str(exc)[:1000])],
+        RUN_LOG_SCHEMA,
+    ).withColumn("started_at", F.lit(started).cast("timestamp"))
+    write_rows(fail_row, spec.run_log_path)
+
+
 def run_summary(spark: SparkSession, spec: TableSpec) -> DataFrame:
     """Per table, batches succeeded and failed, rows and average score."""
     log = spark.read.schema(RUN_LOG_SCHEMA).parquet(spec.run_log_path)

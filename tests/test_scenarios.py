@@ -151,3 +151,25 @@ def test_recovery_keeps_columns_added_later(spark, tmp_dir):
     left = spark.read.option("mergeSchema", "true").parquet(spec.clean_path)
     assert left.filter(F.col(BATCH_ID) == "old").count() == 0
     assert left.filter(F.col("shipping_method").isNotNull()).count() == 10
+
+
+def test_incompatible_batch_policies(spark, tmp_dir):
+    """§2.11-9: a batch missing a registered column is evolved, quarantined whole, or refused."""
+    import pytest
+
+    from driftgate.operators.evolve import SchemaDriftError
+
+    dropped = ",".join(c for c in HEADER.split(",") if c != "customer_id")
+    rows = [",".join(v for c, v in zip(HEADER.split(","), r.split(",")) if c != "customer_id") for r in baseline_rows(6)]
+    path = write_csv(tmp_dir + "/in", "m.csv", dropped, rows)
+    spec = _spec(tmp_dir + "/lake")
+    with pytest.raises(SchemaDriftError):
+        run_batch(spark, read_raw(spark, path), spec, orders_rules(), "p-fail", on_incompatible="fail")
+    out = run_batch(spark, read_raw(spark, path), spec, orders_rules(), "p-quar", on_incompatible="quarantine")
+    assert (out.metrics["valid_records"], out.metrics["invalid_records"]) == (0, 6)
+    q = spark.read.parquet(spec.quarantine_path)
+    assert q.filter(F.array_contains("_failed_rules", "schema_incompatible")).count() == 6
+    assert run_summary(spark, spec).first()["failed"] == 1  # the refused batch is logged (S6)
+    evolved = run_batch(spark, read_raw(spark, path), _spec(tmp_dir + "/lake2"), orders_rules(), "p-evolve")
+    # evolve: customer_id added as NULL, so the NOT NULL rule rejects every row
+    assert evolved.metrics["invalid_records"] == 6
