@@ -198,3 +198,28 @@ def test_catalog_table_is_the_registry(spark, tmp_dir):
     assert "shipping_method" in cols
     T.discover_partitions(spark, "cat_orders")
     assert spark.table("cat_orders").filter("shipping_method IS NOT NULL").count() == 10
+
+
+def test_hot_day_is_written_by_several_tasks(spark, tmp_dir):
+    """A day holding a third of the rows is cut into several files; small days stay one file each."""
+    import glob
+
+    from driftgate.sinks.writers import write_partitioned
+
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(dt.date(2024, 1, 1)))
+        .otherwise(F.date_add(F.lit(dt.date(2024, 2, 1)), (F.col("id") % 200).cast("int")))
+        .alias("order_date"),
+        F.col("id").cast("string").alias("order_id"),
+    ).withColumns({"year": F.year("order_date"), "month": F.month("order_date"), "day": F.dayofmonth("order_date")})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        write_partitioned(df, tmp_dir + "/w")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    hot = glob.glob(tmp_dir + "/w/year=2024/month=1/day=1/*.parquet")
+    assert len(hot) > 1
+    small = [len(glob.glob(p + "/*.parquet")) for p in glob.glob(tmp_dir + "/w/year=2024/month=3/day=*")]
+    assert small and max(small) <= 2
+    assert spark.read.parquet(tmp_dir + "/w").count() == n
