@@ -86,12 +86,33 @@ def prepare(
     return Prepared(comparison, conformed, validated)
 
 
+# The run log is partitioned by a hash bucket of the batch id, so the commit
+# check of one batch lists and reads one bucket, not every log file.
+LOG_BUCKETS = 64
+
+
+def _bucket_of(batch_id: str) -> Column:
+    return F.pmod(F.xxhash64(F.lit(batch_id)), F.lit(LOG_BUCKETS)).cast("int")
+
+
+def read_run_log(spark: SparkSession, spec: TableSpec) -> DataFrame:
+    return spark.read.schema(RUN_LOG_SCHEMA + ", bucket int").parquet(spec.run_log_path)
+
+
+def _write_log_row(spark: SparkSession, spec: TableSpec, row: DataFrame, batch_id: str) -> None:
+    row.withColumn("bucket", _bucket_of(batch_id)).coalesce(1).write.mode("append").partitionBy("bucket").parquet(
+        spec.run_log_path
+    )
+
+
 def _committed(spark: SparkSession, spec: TableSpec, batch_id: str) -> bool:
     try:
-        log = spark.read.schema(RUN_LOG_SCHEMA).parquet(spec.run_log_path)
+        log = read_run_log(spark, spec)
     except Exception:  # noqa: BLE001 - no run log yet
         return False
-    return log.filter((F.col("batch_id") == batch_id) & F.col("success")).limit(1).count() > 0
+    bucket = spark.range(1).select(_bucket_of(batch_id)).first()[0]  # partition value for pruning
+    hit = log.filter((F.col("bucket") == bucket) & (F.col("batch_id") == batch_id) & F.col("success"))
+    return not hit.isEmpty()
 
 
 def run_batch(
@@ -190,7 +211,7 @@ def run_batch(
             [(spec.name, batch_id, True, None, duration, m["total_records"], m["valid_records"], m["invalid_records"], m["data_quality_score"], len(prepared.comparison.changes), len(alert_rows), None)],
             RUN_LOG_SCHEMA,
         ).withColumn("started_at", F.lit(started).cast("timestamp"))
-        write_rows(log_row, spec.run_log_path)  # the commit marker, written last
+        _write_log_row(spark, spec, log_row, batch_id)  # the commit marker, written last
         step("logs_registry_runlog")
         metrics.unpersist()
         alerts.unpersist()
@@ -208,12 +229,12 @@ def _log_failure(spark: SparkSession, spec: TableSpec, batch_id: str, started: f
         [(spec.name, batch_id, False, None, time.time() - started, None, None, None, None, None, None, str(exc)[:1000])],
         RUN_LOG_SCHEMA,
     ).withColumn("started_at", F.lit(started).cast("timestamp"))
-    write_rows(fail_row, spec.run_log_path)
+    _write_log_row(spark, spec, fail_row, batch_id)
 
 
 def run_summary(spark: SparkSession, spec: TableSpec) -> DataFrame:
     """Per table, batches succeeded and failed, rows and average score."""
-    log = spark.read.schema(RUN_LOG_SCHEMA).parquet(spec.run_log_path)
+    log = read_run_log(spark, spec)
     return log.groupBy("table_name").agg(
         F.count_if(F.col("success")).alias("succeeded"),
         F.count_if(~F.col("success")).alias("failed"),

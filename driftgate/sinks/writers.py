@@ -81,10 +81,29 @@ def to_quarantine(
 
 
 def write_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """S11 / logs: append small log rows (metrics, alerts, run log)."""
+    """S11 / logs: append small log rows (metrics, alerts)."""
     df.coalesce(1).write.mode("append").format(fmt).save(path)
 
 
+def compact_log(spark, path: str, fmt: str = "parquet", files: int = 1, partition_by: tuple[str, ...] = ()) -> None:
+    """Rewrite an append-only log (one small file per batch) into a few files.
+
+    The rows are checkpointed to ``spark.checkpoint.dir`` first, so the
+    overwrite never reads the files it replaces."""
+    from ..session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(spark)
+    reader = spark.read.format(fmt)
+    if fmt == "parquet":
+        reader = reader.option("mergeSchema", "true")
+    rows = reader.load(path).checkpoint(eager=True)
+    writer = rows.repartition(files, *partition_by) if partition_by else rows.repartition(files)
+    writer = writer.write.mode("overwrite").format(fmt)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.save(path)
+
+
 def rewrite_partitions(spark, path: str, keep: DataFrame, touched: list, partition_by=("year", "month", "day")) -> None:
     """Replace the ``touched`` partitions of ``path`` with the rows of ``keep``.
 

@@ -28,7 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.rules import RuleSet
-from ..plans.pipeline import RUN_LOG_SCHEMA, run_batch
+from ..plans.pipeline import read_run_log, run_batch
 from ..settings import TableSpec
 from ..sources.admission import admitted
 from ..sources.files import read_raw
@@ -84,7 +84,7 @@ def start_file_ingest(
 
 def ingest_outcomes(spark: SparkSession, spec: TableSpec) -> DataFrame:
     """Number of batches that succeeded and failed, per table."""
-    log = spark.read.schema(RUN_LOG_SCHEMA).parquet(spec.run_log_path)
+    log = read_run_log(spark, spec)
     return log.groupBy("table_name").agg(
         F.count_if(F.col("success")).alias("succeeded"),
         F.count_if(~F.col("success")).alias("failed"),

@@ -173,3 +173,17 @@ def test_incompatible_batch_policies(spark, tmp_dir):
     evolved = run_batch(spark, read_raw(spark, path), _spec(tmp_dir + "/lake2"), orders_rules(), "p-evolve")
     # evolve: customer_id added as NULL, so the NOT NULL rule rejects every row
     assert evolved.metrics["invalid_records"] == 6
+
+
+def test_run_log_buckets_and_compaction(spark, tmp_dir):
+    from driftgate.plans.pipeline import read_run_log
+    from driftgate.sinks.writers import compact_log
+
+    spec = _spec(tmp_dir + "/lake")
+    a = write_csv(tmp_dir + "/in", "a.csv", HEADER, baseline_rows(4))
+    for i in range(3):
+        run_batch(spark, read_raw(spark, a), spec, orders_rules(), f"k{i}")
+    assert read_run_log(spark, spec).count() == 3
+    compact_log(spark, spec.run_log_path, partition_by=("bucket",))
+    assert read_run_log(spark, spec).count() == 3
+    assert run_batch(spark, read_raw(spark, a), spec, orders_rules(), "k1").skipped  # still found after compaction
