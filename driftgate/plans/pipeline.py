@@ -176,7 +176,22 @@ def run_batch(
         step("remove_half_written")
 
         clean = with_partitions(validated.valid.drop(RESCUED), spec.date_column)
-        write_partitioned(clean, spec.clean_path, spec.partition_by)
+        quarantine = with_partitions(
+            to_quarantine(validated.invalid, quarantine_ts, quarantine_text_columns), spec.date_column
+        )
+        # How many partitions each layer gets: one small aggregate over the
+        # persisted rows (it also materialises them), deciding the write plan.
+        part_cols = [F.col(c) for c in spec.partition_by]
+        spread = (
+            with_partitions(flagged, spec.date_column)
+            .agg(
+                F.count_distinct(F.when(F.col(VALID), F.struct(*part_cols))).alias("clean_parts"),
+                F.count_distinct(F.when(~F.col(VALID), F.struct(*part_cols))).alias("quarantine_parts"),
+            )
+            .first()
+        )
+        step("materialise")
+        write_partitioned(clean, spec.clean_path, spec.partition_by, distinct_partitions=spread["clean_parts"])
         step("write_clean")
 
         metrics = collect_metrics(
@@ -185,10 +200,9 @@ def run_batch(
         m = metrics.select("total_records", "valid_records", "invalid_records", "duplicate_records", "data_quality_score").first().asDict()
         step("metrics")
         if m["invalid_records"] > 0:  # S10: skipped when nothing failed
-            quarantine = with_partitions(
-                to_quarantine(validated.invalid, quarantine_ts, quarantine_text_columns), spec.date_column
+            write_partitioned(
+                quarantine, spec.quarantine_path, spec.partition_by, distinct_partitions=spread["quarantine_parts"]
             )
-            write_partitioned(quarantine, spec.quarantine_path, spec.partition_by)
         step("write_quarantine")
 
         alerts = check_thresholds(metrics, spec.thresholds).persist()

@@ -45,16 +45,29 @@ def _spread(df: DataFrame, partition_by: list[str]) -> DataFrame:
     return df.repartitionByRange(*[F.col(c) for c in partition_by], salt)
 
 
+# Up to this many partition values a batch is written without a shuffle.
+DIRECT_WRITE_MAX_PARTITIONS = 8
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
     partition_by: list[str] | tuple[str, ...] = ("year", "month", "day"),
     mode: str = "append",
+    distinct_partitions: int | None = None,
 ) -> None:
-    """Parquet (Snappy), partitioned, appended."""
+    """Parquet (Snappy), partitioned, appended.
+
+    ``distinct_partitions`` (when the caller knows it): a batch covering a
+    few days -- the usual daily file -- is written straight from its tasks,
+    with no shuffle (each task writes at most that many files, and a hot day
+    is spread over all tasks); a batch covering many days (a backfill) is
+    range-partitioned first so the file count stays about one per day.
+    """
     parts = list(partition_by)
+    direct = distinct_partitions is not None and distinct_partitions <= DIRECT_WRITE_MAX_PARTITIONS
     (
-        _spread(df, parts)
+        (df if direct else _spread(df, parts))
         .write.mode(mode)
         .option("compression", "snappy")
         .partitionBy(*parts)

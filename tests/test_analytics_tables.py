@@ -223,3 +223,15 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_dir):
     small = [len(glob.glob(p + "/*.parquet")) for p in glob.glob(tmp_dir + "/w/year=2024/month=3/day=*")]
     assert small and max(small) <= 2
     assert spark.read.parquet(tmp_dir + "/w").count() == n
+
+
+def test_direct_write_for_few_days(spark, tmp_dir):
+    """A batch covering few days is written without the range shuffle, with the same rows."""
+    from driftgate.sinks.writers import write_partitioned
+
+    df = spark.range(5000).select(
+        F.lit(dt.date(2024, 5, 1)).alias("order_date"), F.col("id").cast("string").alias("order_id")
+    ).withColumns({"year": F.lit(2024), "month": F.lit(5), "day": F.lit(1)})
+    write_partitioned(df, tmp_dir + "/d", distinct_partitions=1)
+    back = spark.read.parquet(tmp_dir + "/d")
+    assert back.count() == 5000 and back.select("day").distinct().count() == 1
