@@ -31,6 +31,11 @@ def _rev() -> Column:
     return F.col("price") * F.col("quantity")
 
 
+def _distinct(col: str, approx: bool) -> Column:
+    """COUNT(DISTINCT col); ``approx`` uses HyperLogLog++ (no Expand, one pass)."""
+    return F.approx_count_distinct(col) if approx else F.count_distinct(col)
+
+
 def _completed(df: DataFrame) -> DataFrame:
     return df.filter(F.col("status") == COMPLETED)
 
@@ -95,12 +100,12 @@ def duplicate_ids(clean: DataFrame) -> DataFrame:
 
 
 # Q7
-def revenue_by_day(clean: DataFrame) -> DataFrame:
+def revenue_by_day(clean: DataFrame, approx_distinct: bool = False) -> DataFrame:
     return (
         _completed(clean)
         .groupBy("order_date")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
+            _distinct("order_id", approx_distinct).alias("total_orders"),
             F.sum("quantity").cast("bigint").alias("total_items"),
             money(F.sum(_rev())).alias("total_revenue"),
         )
@@ -114,13 +119,13 @@ def _avg_money(x: Column) -> Column:
 
 
 # Q8
-def revenue_by_region(clean: DataFrame) -> DataFrame:
+def revenue_by_region(clean: DataFrame, approx_distinct: bool = False) -> DataFrame:
     return (
         _completed(clean)
         .groupBy("region")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("customer_id").alias("unique_customers"),
+            _distinct("order_id", approx_distinct).alias("total_orders"),
+            _distinct("customer_id", approx_distinct).alias("unique_customers"),
             money(F.sum(_rev())).alias("total_revenue"),
             _avg_money(_rev()).alias("avg_order_value"),
         )
@@ -217,11 +222,11 @@ def column_population(clean: DataFrame, column: str = "shipping_method") -> Data
 
 
 # Q13
-def monthly_revenue(clean: DataFrame) -> DataFrame:
+def monthly_revenue(clean: DataFrame, approx_distinct: bool = False) -> DataFrame:
     return (
         _completed(clean)
         .groupBy("year", "month")
-        .agg(F.count_distinct("order_id").alias("total_orders"), money(F.sum(_rev())).alias("monthly_revenue"))
+        .agg(_distinct("order_id", approx_distinct).alias("total_orders"), money(F.sum(_rev())).alias("monthly_revenue"))
         .orderBy(F.desc("year"), F.desc("month"))
     )
 
@@ -367,13 +372,13 @@ def product_affinity(clean: DataFrame, k: int = 20, min_count: int = 2, block_si
 
 
 # Q21 (the view S19 and its read-back)
-def daily_sales_summary_view(clean: DataFrame) -> DataFrame:
+def daily_sales_summary_view(clean: DataFrame, approx_distinct: bool = False) -> DataFrame:
     return (
         _completed(clean)
         .groupBy("order_date", "region")
         .agg(
-            F.count_distinct("order_id").alias("total_orders"),
-            F.count_distinct("customer_id").alias("unique_customers"),
+            _distinct("order_id", approx_distinct).alias("total_orders"),
+            _distinct("customer_id", approx_distinct).alias("unique_customers"),
             F.sum("quantity").cast("bigint").alias("total_items"),
             money(F.sum(_rev())).alias("total_revenue"),
             _avg_money(_rev()).alias("avg_order_value"),
@@ -381,5 +386,5 @@ def daily_sales_summary_view(clean: DataFrame) -> DataFrame:
     )
 
 
-def daily_sales_summary(clean: DataFrame, k: int = 100) -> DataFrame:
-    return daily_sales_summary_view(clean).orderBy(F.desc("order_date"), F.desc("total_revenue"), F.asc("region")).limit(k)
+def daily_sales_summary(clean: DataFrame, k: int = 100, approx_distinct: bool = False) -> DataFrame:
+    return daily_sales_summary_view(clean, approx_distinct).orderBy(F.desc("order_date"), F.desc("total_revenue"), F.asc("region")).limit(k)
