@@ -163,3 +163,33 @@ def test_valid_plus_invalid_is_total(spark, rows):
     del orders_like
     v = validate(df, rules, row_id=["n"])
     assert v.valid.count() + v.invalid.count() == len(rows)
+
+
+def test_unique_hot_key_join_is_split_by_aqe(spark):
+    """The UNIQUE join-back of a key holding a third of the rows is split by AQE's skew handling."""
+    conf = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.range(300_000).select(
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 5000).cast("string")).alias("k"),
+            F.col("id"),
+        )
+        flagged = validate(df, [Rule.unique("k")], row_id=["id"]).flagged.select("k", VALID)
+        rows = flagged.collect()
+        final_plan = flagged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in final_plan
+        assert sum(1 for r in rows if r[VALID]) == 5001  # one first occurrence per key
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
