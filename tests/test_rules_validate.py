@@ -154,13 +154,12 @@ def test_ruleset_management():
 def test_valid_plus_invalid_is_total(spark, rows):
     """Three-valued logic never loses a row: NULL predicates count as failures."""
     df = spark.createDataFrame([(r[0], r[1], r[2], str(i)) for i, r in enumerate(rows)], "id string, qty int, price double, n string")
-    rules = orders_like = [
+    rules = [
         Rule.not_null("id"),
         Rule.unique("id", order_by=["n"]),
         Rule.range("qty", min=1),
         Rule.range("price", min=0),
     ]
-    del orders_like
     v = validate(df, rules, row_id=["n"])
     assert v.valid.count() + v.invalid.count() == len(rows)
 
