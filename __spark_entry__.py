@@ -10,20 +10,25 @@ included) -> the valid rows -> revenue by region.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from driftgate.operators.alerts import check_thresholds
-from driftgate.operators.evolve import conform
-from driftgate.operators.metrics import collect_metrics, duplicate_count, null_counts, numeric_summary
-from driftgate.operators.schema_diff import batch_compatibility, diff_batches, infer_batch_types
-from driftgate.operators.validate import FAILED
-from driftgate.plans import analytics as A
-from driftgate.plans import orders as O
-from driftgate.plans.oracle_sql import ORACLE
-from driftgate.sources import driver_tables as dt
+# importable from any working directory (the package sits next to this file)
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from driftgate.operators.alerts import check_thresholds  # noqa: E402
+from driftgate.operators.evolve import conform  # noqa: E402
+from driftgate.operators.metrics import collect_metrics, duplicate_count, null_counts, numeric_summary  # noqa: E402
+from driftgate.operators.schema_diff import batch_compatibility, diff_batches, infer_batch_types  # noqa: E402
+from driftgate.operators.validate import FAILED  # noqa: E402
+from driftgate.plans import analytics as A  # noqa: E402
+from driftgate.plans import orders as O  # noqa: E402
+from driftgate.plans.oracle_sql import ORACLE  # noqa: E402
+from driftgate.sources import driver_tables as dt  # noqa: E402
 
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
