@@ -98,18 +98,31 @@ def write_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.coalesce(1).write.mode("append").format(fmt).save(path)
 
 
-def compact_log(spark, path: str, fmt: str = "parquet", files: int = 1, partition_by: tuple[str, ...] = ()) -> None:
+def compact_log(
+    spark,
+    path: str,
+    fmt: str = "parquet",
+    files: int = 1,
+    partition_by: tuple[str, ...] = (),
+    keep_since: tuple[str, object] | None = None,
+) -> None:
     """Rewrite an append-only log (one small file per batch) into a few files.
 
-    The rows are checkpointed to ``spark.checkpoint.dir`` first, so the
-    overwrite never reads the files it replaces."""
+    ``keep_since=(timestamp_column, cutoff)`` also applies retention (S22:
+    e.g. logs older than 180 days are dropped).  The kept rows are
+    checkpointed to ``spark.checkpoint.dir`` first, so the overwrite never
+    reads the files it replaces."""
     from ..session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
     reader = spark.read.format(fmt)
     if fmt == "parquet":
         reader = reader.option("mergeSchema", "true")
-    rows = reader.load(path).checkpoint(eager=True)
+    rows = reader.load(path)
+    if keep_since is not None:
+        column, cutoff = keep_since
+        rows = rows.filter(F.col(column).cast("timestamp") >= F.lit(cutoff).cast("timestamp"))
+    rows = rows.checkpoint(eager=True)
     writer = rows.repartition(files, *partition_by) if partition_by else rows.repartition(files)
     writer = writer.write.mode("overwrite").format(fmt)
     if partition_by:

@@ -187,3 +187,18 @@ def test_run_log_buckets_and_compaction(spark, tmp_dir):
     compact_log(spark, spec.run_log_path, partition_by=("bucket",))
     assert read_run_log(spark, spec).count() == 3
     assert run_batch(spark, read_raw(spark, a), spec, orders_rules(), "k1").skipped  # still found after compaction
+
+
+def test_log_retention_drops_old_rows(spark, tmp_dir):
+    import datetime as dt
+
+    from driftgate.sinks.writers import compact_log, write_rows
+
+    path = tmp_dir + "/logs/metrics"
+    old = spark.createDataFrame([("t", dt.datetime(2020, 1, 1))], "table_name string, execution_timestamp timestamp")
+    new = spark.createDataFrame([("t", dt.datetime(2024, 6, 1))], "table_name string, execution_timestamp timestamp")
+    write_rows(old, path, "json")
+    write_rows(new, path, "json")
+    compact_log(spark, path, fmt="json", keep_since=("execution_timestamp", dt.datetime(2024, 1, 1)))
+    left = spark.read.json(path).collect()
+    assert len(left) == 1 and left[0]["execution_timestamp"].startswith("2024-06-01")
