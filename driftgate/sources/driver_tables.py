@@ -4,8 +4,7 @@
 onto the orders data model.  ``raw_orders`` is the same join as an incoming
 batch with planted defects computed from the keys, so every engine plants the
 same ones.  Both are lazy DataFrames: Catalyst prunes columns down to the
-scans and picks the join strategies by size; only nation and region (fixed
-at 25 and 5 rows in TPC-H at every scale) are broadcast by hint.
+scans and picks every join strategy by checked size (no broadcast hints).
 
 Columns whose name starts with ``_`` are lineage, not business data:
 ``_ingest_ts`` is when the batch holding the row arrived (the day of the
@@ -50,7 +49,10 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     n = table(spark, sf_dir, "nation")
     r = table(spark, sf_dir, "region")
-    geo = F.broadcast(n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name"))
+    # No broadcast hints: Catalyst broadcasts a side only when its measured
+    # size is under spark.sql.autoBroadcastJoinThreshold (AQE re-checks with
+    # runtime sizes) and sort-merge joins it otherwise.
+    geo = n.join(r, n.n_regionkey == r.r_regionkey).select("n_nationkey", "r_name")
     cust = c.select("c_custkey", "c_nationkey").join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     # orders x customer first (the smaller sides), so the lineitem-sized
     # intermediate is shuffled twice (by order key, by part key), not three times.
