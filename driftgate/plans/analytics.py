@@ -266,7 +266,8 @@ def quarantine_issues(quarantine: DataFrame) -> DataFrame:
     issue = (
         F.when(F.col("order_id").isNull(), "Missing Order ID")
         .when(F.col("customer_id").isNull(), "Missing Customer ID")
-        .when(F.col("price").try_cast("decimal(10,2)") < 0, "Negative Price")
+        # a bare DECIMAL is (38,0): a price that rounds to 0 is not "negative"
+        .when(F.col("price").try_cast("decimal(38,0)") < 0, "Negative Price")
         .when(F.col("quantity").try_cast("int") <= 0, "Invalid Quantity")
         .otherwise("Other Issue")
     )
