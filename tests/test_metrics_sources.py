@@ -121,3 +121,18 @@ def test_scans_by_extension(spark, tmp_dir):
     assert read_raw(spark, tmp_dir + "/j.json").count() == 5
     assert read_raw(spark, tmp_dir + "/p.parquet").count() == 5
     assert format_of("x/Y.PARQUET") == "parquet"
+
+
+def test_duplicates_with_a_hot_group_of_copies(spark):
+    """A group of identical copies holding a third of the rows: exact duplicate and NULL counts."""
+    from driftgate.operators.metrics import row_profile
+
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("same")).otherwise(F.col("id").cast("string")).alias("a"),
+        F.when(F.col("id") % 3 == 0, F.lit(None).cast("double")).otherwise(F.col("id").cast("double")).alias("b"),
+    )
+    r = row_profile(df).first()
+    assert r["rows"] == n
+    assert r["duplicate_records"] == n // 3 - 1  # 10,000 copies -> 9,999 duplicates
+    assert r["null_b"] == n // 3 and r["null_a"] == 0
