@@ -80,6 +80,15 @@ def check_thresholds(metrics: DataFrame, thresholds: Thresholds = Thresholds())
     return metrics.select(F.col("table_name"), F.inline(alert_structs(metrics, thresholds)))
 
 
+def _check_order() -> Column:
+    return (
+        F.when(F.col("alert_type") == INVALID_RECORDS, 0)
+        .when(F.col("alert_type") == DUPLICATE_RECORDS, 1)
+        .when(F.col("alert_type") == LOW_SCORE, 2)
+        .otherwise(3)
+    )
+
+
 def digest(alerts: DataFrame) -> DataFrame:
     """M7: per run (table, timestamp): subject with ERROR/WARNING counts and one
     text block per alert.  A run raises at most three alerts, so each group is
@@ -98,6 +107,7 @@ def digest(alerts: DataFrame) -> DataFrame:
         ).alias("subject"),
         F.concat(
             F.lit("Data Quality Alerts:\n\n"),
-            F.concat_ws("\n\n", F.sort_array(F.collect_list(F.struct(F.col("alert_type"), block.alias("b")))).getField("b")),
+            # blocks in the order the checks run: invalid share, duplicates, score
+            F.concat_ws("\n\n", F.sort_array(F.collect_list(F.struct(_check_order().alias("o"), block.alias("b")))).getField("b")),
         ).alias("body"),
     )

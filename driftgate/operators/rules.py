@@ -10,6 +10,7 @@ it with an aggregate + join (see there).
 from __future__ import annotations
 
 import datetime as _dt
+import decimal as _decimal
 import json
 from dataclasses import dataclass, field
 from typing import Any, Iterable
@@ -155,15 +156,37 @@ def _column_type(schema: StructType, column: str | None, rule: str) -> DataType:
     for f in schema.fields:
         if f.name == column:
             return f.dataType
+    if not _case_sensitive():
+        for f in schema.fields:
+            if f.name.lower() == column.lower():
+                return f.dataType
     raise RuleError(f"rule {rule}: column {column!r} not found")
 
 
+def _case_sensitive() -> bool:
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    return spark is not None and spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+
+
+def has_column(schema: StructType, column: str) -> bool:
+    """Name resolution as Spark does it (``spark.sql.caseSensitive``)."""
+    try:
+        _column_type(schema, column, "")
+        return True
+    except RuleError:
+        return False
+
+
 def _comparable(c: Column, dtype: DataType, sample: Any) -> Column:
     """Bring a column to a type comparable with the bound without ANSI errors."""
     if isinstance(sample, bool):
         return c.try_cast("boolean")
     if isinstance(sample, (int, float)):
         return c if isinstance(dtype, NumericType) else c.try_cast("double")
+    if isinstance(sample, _decimal.Decimal):
+        return c if isinstance(dtype, NumericType) else c.try_cast("decimal(38,10)")
     if isinstance(sample, _dt.datetime):
         return c.try_cast("timestamp")
     if isinstance(sample, _dt.date):

@@ -31,7 +31,7 @@ from typing import Any, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rules import ERROR, UNIQUE, Rule, RuleError, RuleSet
+from .rules import ERROR, UNIQUE, Rule, RuleError, RuleSet, has_column
 
 FAILED = "_failed_rules"
 VALID = "_valid"
@@ -115,7 +115,6 @@ def validate(
     """
     rules = rules if isinstance(rules, RuleSet) else RuleSet(tuple(rules))
     schema = df.schema
-    names = set(df.columns)
     applied: list[Rule] = []
     errors: dict[str, str] = {}
     predicates: dict[str, Column] = {}
@@ -124,9 +123,9 @@ def validate(
     for r in rules:
         try:
             if r.rule_type == UNIQUE:
-                if r.column not in names:
+                if r.column is None or not has_column(schema, r.column):
                     raise RuleError(f"rule {r.name}: column {r.column!r} not found")
-                missing = [c for c in r.params.get("order_by", []) if c not in names]
+                missing = [c for c in r.params.get("order_by", []) if not has_column(schema, c)]
                 if missing:
                     raise RuleError(f"rule {r.name}: order_by columns not found: {missing}")
             else:

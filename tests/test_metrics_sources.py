@@ -63,6 +63,8 @@ def test_alerts_strict_thresholds_and_digest(spark):
     d = digest(check_thresholds(m)).first()
     assert d["subject"] == "Data Quality Alert - 2 Errors, 1 Warnings"
     assert d["body"].count("[ERROR]") == 2
+    body = d["body"]  # blocks in check order: invalid share, duplicates, score
+    assert body.index("INVALID_RECORDS") < body.index("DUPLICATE_RECORDS") < body.index("LOW_QUALITY_SCORE")
     # thresholds are strict inequalities
     lenient = Thresholds(max_invalid_percentage=30.0, max_duplicate_percentage=80.0, min_quality_score=0.0)
     assert check_thresholds(m, lenient).count() == 0

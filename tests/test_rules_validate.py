@@ -192,3 +192,19 @@ def test_unique_hot_key_join_is_split_by_aqe(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_range_with_decimal_bounds(spark):
+    from decimal import Decimal
+
+    df = spark.createDataFrame([("a", "10.5"), ("b", "9.99"), ("c", "x")], "id string, v string")
+    v = validate(df, [Rule.range("v", min=Decimal("10.00"), max=Decimal("20.00"))])
+    got = {r["id"]: r[VALID] for r in v.flagged.collect()}
+    assert got == {"a": True, "b": False, "c": False}
+
+
+def test_rule_columns_resolve_like_spark(spark):
+    df = spark.createDataFrame([("a", None), ("b", 2)], "ID string, Qty int")
+    v = validate(df, [Rule.not_null("qty"), Rule.unique("id")])
+    assert not v.rule_errors
+    assert sorted(r[VALID] for r in v.flagged.collect()) == [False, True]
