@@ -31,7 +31,7 @@ from typing import Any, Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .rules import ERROR, UNIQUE, Rule, RuleError, RuleSet, has_column
+from .rules import ERROR, UNIQUE, Rule, RuleError, RuleSet, _column_type, has_column
 
 FAILED = "_failed_rules"
 VALID = "_valid"
@@ -166,7 +166,7 @@ def _first_occurrence(df: DataFrame, rule: Rule, row_id: list[str], i: int) -> t
     if not order_cols:
         raise RuleError(f"rule {rule.name}: no order_by and no row id")
     fixed = ("bigint", "int", "smallint", "tinyint", "double", "float", "date", "timestamp", "timestamp_ntz", "boolean")
-    if len(order_cols) == 1 and df.schema[order_cols[0]].dataType.simpleString() in fixed:
+    if len(order_cols) == 1 and _column_type(df.schema, order_cols[0], rule.name).simpleString() in fixed:
         # one fixed-width column: a plain min keeps the aggregate hash-based
         order = F.col(f"`{order_cols[0]}`")
     else:
