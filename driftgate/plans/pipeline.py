@@ -123,7 +123,7 @@ def run_batch(
     batch_id: str,
     mode: str = "evolve",
     row_id: list[str] | None = None,
-    quarantine_text_columns: tuple[str, ...] = ("order_date",),
+    quarantine_text_columns: tuple[str, ...] | None = None,
     quarantine_ts: Column | None = None,
     timings: dict | None = None,
     on_incompatible: str = "evolve",
@@ -136,6 +136,8 @@ def run_batch(
     reason ``schema_incompatible``; "fail" raises before anything is written.
     """
     started = time.time()
+    if quarantine_text_columns is None:
+        quarantine_text_columns = spec.quarantine_text_columns
     mark = [time.perf_counter()]
 
     def step(name: str) -> None:
@@ -271,7 +273,8 @@ def read_layer(spark: SparkSession, spec: TableSpec, layer: str = "clean") -> Da
     fields = list(registered.fields) if registered is not None else []
     extra = [StructField(BATCH_ID, StringType())]
     if layer == "quarantine":
-        fields = [StructField(f.name, StringType()) if f.name in ("order_date",) else f for f in fields]
+        text = set(spec.quarantine_text_columns)
+        fields = [StructField(f.name, StringType()) if f.name in text else f for f in fields]
         extra += [
             StructField("quarantine_timestamp", TimestampType()),
             StructField("_failed_rules", ArrayType(StringType())),

@@ -139,7 +139,7 @@ def reprocess_quarantine(
     registered: StructType,
     rules: RuleSet,
     batch_id: str,
-    text_columns: tuple[str, ...] = ("order_date",),
+    text_columns: tuple[str, ...] | None = None,
     unique_key: str | None = "order_id",
 ) -> DataFrame:
     """Re-type and re-validate quarantined rows; promote the ones that pass.
@@ -157,6 +157,8 @@ def reprocess_quarantine(
     from ..session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
+    if text_columns is None:
+        text_columns = spec.quarantine_text_columns
     parts = list(spec.partition_by)
     touched = [tuple(r) for r in q.select(*parts).distinct().collect()]  # one row per day partition
     meta = ["_failed_rules", "_rescued", BATCH_ID, *parts]

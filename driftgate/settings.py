@@ -32,6 +32,14 @@ class TableSpec:
     # When set, the registered schema is this catalog table's (S12) and new
     # columns are added to it with ALTER TABLE ... ADD COLUMNS.
     catalog_table: str | None = None
+    # Columns the quarantine keeps as the original text (default: the date column).
+    quarantine_text: tuple[str, ...] | None = None
+
+    @property
+    def quarantine_text_columns(self) -> tuple[str, ...]:
+        if self.quarantine_text is not None:
+            return self.quarantine_text
+        return (self.date_column,) if self.date_column else ()
 
     def layer(self, layer: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{self.name}"

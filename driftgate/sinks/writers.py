@@ -86,6 +86,8 @@ def to_quarantine(
     rejected is taken back from ``_rescued``)."""
     out = invalid.withColumn("quarantine_timestamp", timestamp if timestamp is not None else F.current_timestamp())
     for c in text_columns:
+        if c not in out.columns:
+            continue
         typed = F.col(f"`{c}`").cast("string")
         if rescued_col in out.columns:
             typed = F.coalesce(typed, F.col(rescued_col)[c])

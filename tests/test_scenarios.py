@@ -202,3 +202,39 @@ def test_log_retention_drops_old_rows(spark, tmp_dir):
     compact_log(spark, path, fmt="json", keep_since=("execution_timestamp", dt.datetime(2024, 1, 1)))
     left = spark.read.json(path).collect()
     assert len(left) == 1 and left[0]["execution_timestamp"].startswith("2024-06-01")
+
+
+def test_pipeline_is_generic_events(spark, tmp_dir):
+    """Another dataset: events keyed by event_id, partitioned by the day of ts."""
+    from driftgate.operators.rules import Rule, RuleSet
+
+    rows = [
+        (1, "2024-03-01 10:00:00", "click", 1.5),
+        (1, "2024-03-01 10:05:00", "view", 2.0),  # repeated id
+        (2, "not-a-time", "click", 3.0),  # bad timestamp
+        (3, "2024-03-02 09:00:00", None, -1.0),  # no type, negative value
+        (4, "2024-03-02 11:00:00", "view", 0.5),
+    ]
+    raw = spark.createDataFrame(rows, "event_id bigint, ts string, event_type string, value double")
+    registered = StructType.fromJson(
+        {"type": "struct", "fields": [
+            {"name": "event_id", "type": "long", "nullable": True, "metadata": {}},
+            {"name": "ts", "type": "timestamp", "nullable": True, "metadata": {}},
+            {"name": "event_type", "type": "string", "nullable": True, "metadata": {}},
+            {"name": "value", "type": "double", "nullable": True, "metadata": {}},
+        ]}
+    )
+    spec = TableSpec("events", tmp_dir + "/lake", registered, date_column="ts")
+    rules = RuleSet((
+        Rule.unique("event_id", order_by=["ts"]),
+        Rule.not_null("ts"),
+        Rule.not_null("event_type"),
+        Rule.range("value", min=0),
+    ))
+    out = run_batch(spark, raw, spec, rules, "e1")
+    assert (out.metrics["valid_records"], out.metrics["invalid_records"]) == (2, 3)
+    q = read_layer(spark, spec, "quarantine")
+    assert q.filter("ts = 'not-a-time'").count() == 1  # original text kept
+    clean = read_layer(spark, spec, "clean")
+    assert sorted(r["event_id"] for r in clean.collect()) == [1, 4]
+    assert sorted((r["year"], r["month"], r["day"]) for r in clean.collect()) == [(2024, 3, 1), (2024, 3, 2)]
