@@ -140,11 +140,12 @@ def reprocess_quarantine(
     rules: RuleSet,
     batch_id: str,
     text_columns: tuple[str, ...] | None = None,
-    unique_key: str | None = "order_id",
+    unique_key: str | None = None,
 ) -> DataFrame:
     """Re-type and re-validate quarantined rows; promote the ones that pass.
 
-    A key that already exists in the clean table is not promoted (left-anti
+    A key (of the UNIQUE rule, or ``unique_key``) that already exists in
+    the clean table is not promoted (left-anti
     join on the key: shuffles both sides by key, no broadcast of the clean
     table).  Promoted rows are appended to the clean layer; the quarantine
     partitions that held them are rewritten without them.  Returns the
@@ -159,6 +160,8 @@ def reprocess_quarantine(
     ensure_checkpoint_dir(spark)
     if text_columns is None:
         text_columns = spec.quarantine_text_columns
+    if unique_key is None:  # the key of the rule set's UNIQUE rule, if it has one
+        unique_key = next((r.column for r in rules if r.rule_type == "unique"), None)
     parts = list(spec.partition_by)
     touched = [tuple(r) for r in q.select(*parts).distinct().collect()]  # one row per day partition
     meta = ["_failed_rules", "_rescued", BATCH_ID, *parts]
