@@ -26,24 +26,34 @@ class SchemaDriftError(ValueError):
     pass
 
 
-def _conform_col(c: Column, src: DataType, dst: DataType, keep_new: bool) -> Column:
+def _key_fn():
+    """Column names as Spark resolves them (``spark.sql.caseSensitive``, default off);
+    the setting is read once per call of the public functions."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.getActiveSession()
+    sensitive = spark is not None and spark.conf.get("spark.sql.caseSensitive", "false").lower() == "true"
+    return (lambda name: name) if sensitive else (lambda name: name.lower())
+
+
+def _conform_col(c: Column, src: DataType, dst: DataType, keep_new: bool, _key=str.lower) -> Column:
     if type_name(src) == type_name(dst):
         return c
     if isinstance(src, StructType) and isinstance(dst, StructType):
-        src_fields = {f.name.lower(): f for f in src.fields}
+        src_fields = {_key(f.name): f for f in src.fields}
         parts = []
         for f in dst.fields:
-            sf = src_fields.get(f.name.lower())
+            sf = src_fields.get(_key(f.name))
             if sf is None:
                 parts.append(F.lit(None).cast(f.dataType).alias(f.name))
             else:
-                parts.append(_conform_col(c.getField(sf.name), sf.dataType, f.dataType, keep_new).alias(f.name))
+                parts.append(_conform_col(c.getField(sf.name), sf.dataType, f.dataType, keep_new, _key).alias(f.name))
         if keep_new:
-            dst_names = {f.name.lower() for f in dst.fields}
-            parts.extend(c.getField(f.name).alias(f.name) for f in src.fields if f.name.lower() not in dst_names)
+            dst_names = {_key(f.name) for f in dst.fields}
+            parts.extend(c.getField(f.name).alias(f.name) for f in src.fields if _key(f.name) not in dst_names)
         return F.when(c.isNull(), F.lit(None)).otherwise(F.struct(*parts))
     if isinstance(src, ArrayType) and isinstance(dst, ArrayType) and isinstance(src.elementType, StructType):
-        return F.transform(c, lambda x: _conform_col(x, src.elementType, dst.elementType, keep_new))
+        return F.transform(c, lambda x: _conform_col(x, src.elementType, dst.elementType, keep_new, _key))
     return c.try_cast(dst)
 
 
@@ -55,24 +65,25 @@ def conform(
     lineage_prefix: str = "_",
 ) -> DataFrame:
     """One projection onto ``registered`` (+ new columns when ``keep_new``)."""
-    by_name = {f.name.lower(): f for f in df.schema.fields}
-    reg_names = {f.name.lower() for f in registered.fields}
+    _key = _key_fn()
+    by_name = {_key(f.name): f for f in df.schema.fields}
+    reg_names = {_key(f.name) for f in registered.fields}
     out: list[Column] = []
     rescued: list[Column] = []
     for f in registered.fields:
-        src = by_name.get(f.name.lower())
+        src = by_name.get(_key(f.name))
         if src is None:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))  # E4
             continue
         c = F.col(f"`{src.name}`")
-        typed = _conform_col(c, src.dataType, f.dataType, keep_new)  # E5
+        typed = _conform_col(c, src.dataType, f.dataType, keep_new, _key)  # E5
         out.append(typed.alias(f.name))
         if rescue and type_name(src.dataType) != type_name(f.dataType):
             rescued.append(
                 F.when(c.isNotNull() & typed.isNull(), F.struct(F.lit(f.name).alias("k"), c.cast("string").alias("v")))
             )
     extra = [
-        f for f in df.schema.fields if f.name.lower() not in reg_names and (keep_new or f.name.startswith(lineage_prefix))
+        f for f in df.schema.fields if _key(f.name) not in reg_names and (keep_new or f.name.startswith(lineage_prefix))
     ]
     out.extend(F.col(f"`{f.name}`") for f in extra if f.name != RESCUED)  # E3 (+ lineage columns)
     if rescue:
@@ -105,8 +116,9 @@ def evolved_schema(comparison: Comparison, mode: str = "evolve") -> StructType |
         return comparison.incoming
     if mode != "evolve":
         return comparison.registered
-    reg_names = {f.name.lower() for f in comparison.registered.fields}
-    fields = list(comparison.registered.fields) + [f for f in comparison.incoming.fields if f.name.lower() not in reg_names]
+    _key = _key_fn()
+    reg_names = {_key(f.name) for f in comparison.registered.fields}
+    fields = list(comparison.registered.fields) + [f for f in comparison.incoming.fields if _key(f.name) not in reg_names]
     return StructType(fields)
 
 
