@@ -19,9 +19,14 @@ def test_entry_schema(spark):
 
 
 def test_queries_are_lazy(spark):
-    # building every registered query plans it but runs no data job
+    """Building every registered query plans it but runs no job."""
     from tests.conftest import SF001
 
-    for name, fn in E.queries().items():
-        df = fn(spark, SF001)
-        assert df.columns, name
+    sc = spark.sparkContext
+    sc.setJobGroup("build-queries", "building the registered queries")
+    try:
+        for name, fn in E.queries().items():
+            assert fn(spark, SF001).columns, name
+        assert list(sc.statusTracker().getJobIdsForGroup("build-queries")) == []
+    finally:
+        sc.setJobGroup("", "")
