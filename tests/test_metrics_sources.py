@@ -138,3 +138,9 @@ def test_duplicates_with_a_hot_group_of_copies(spark):
     assert r["rows"] == n
     assert r["duplicate_records"] == n // 3 - 1  # 10,000 copies -> 9,999 duplicates
     assert r["null_b"] == n // 3 and r["null_a"] == 0
+
+
+def test_malformed_key_escape_is_not_admitted(spark):
+    doc = json.dumps({"Records": [{"eventSource": "aws:s3", "s3": {"bucket": {"name": "b"}, "object": {"key": "raw/orders/bad%zz.csv", "size": 3}}}]})
+    out = parse_events(spark.createDataFrame([(doc,)], "body string"), "body", "raw/orders/")
+    assert out.count() == 0  # try_url_decode gives NULL instead of failing the job

@@ -238,3 +238,12 @@ def test_pipeline_is_generic_events(spark, tmp_dir):
     clean = read_layer(spark, spec, "clean")
     assert sorted(r["event_id"] for r in clean.collect()) == [1, 4]
     assert sorted((r["year"], r["month"], r["day"]) for r in clean.collect()) == [(2024, 3, 1), (2024, 3, 2)]
+
+
+def test_match_mode_drops_new_columns_and_keeps_the_registry(spark, tmp_dir):
+    header, rows = new_column_rows()
+    path = write_csv(tmp_dir + "/in", "b.csv", header, rows)
+    spec = _spec(tmp_dir + "/lake")
+    run_batch(spark, read_raw(spark, path), spec, orders_rules(), "m1", mode="match")
+    assert "shipping_method" not in spark.read.parquet(spec.clean_path).columns
+    assert SchemaRegistry(spark, spec.registry_path).latest("orders") is None  # nothing published

@@ -7,6 +7,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
+    ArrayType,
     DecimalType,
     FloatType,
     DoubleType,
@@ -169,3 +170,17 @@ def test_batch_inference_and_diff(spark):
     assert ("d1", DATATYPE_CHANGE, "c") in got and ("d1", DATATYPE_CHANGE, "d") in got
     assert ("d2", DATATYPE_CHANGE, "c") in got and ("d2", DATATYPE_CHANGE, "d") not in got
     assert ("d1", COLUMN_ORDER_CHANGE, None) in got  # a comes last in the batch, first in the registry
+
+
+def test_conform_array_of_structs_and_array_type_change(spark):
+    reg = S(("id", StringType()), ("items", ArrayType(S(("sku", StringType()), ("qty", IntegerType())))))
+    df = spark.createDataFrame(
+        [("1", [("a", "2"), ("b", "x")]), ("2", None)], "id string, items array<struct<sku:string, qty:string>>"
+    )
+    cmp = detect(df.schema, reg)
+    # the array's element type differs: reported as one datatype change of the array column
+    assert [(c.change_type, c.column_name) for c in cmp.changes] == [(DATATYPE_CHANGE, "items")]
+    out = conform(df, reg, keep_new=False)
+    rows = {r["id"]: r["items"] for r in out.collect()}
+    assert [(x["sku"], x["qty"]) for x in rows["1"]] == [("a", 2), ("b", None)]
+    assert rows["2"] is None
