@@ -208,3 +208,11 @@ def test_rule_columns_resolve_like_spark(spark):
     v = validate(df, [Rule.not_null("qty"), Rule.unique("id")])
     assert not v.rule_errors
     assert sorted(r[VALID] for r in v.flagged.collect()) == [False, True]
+
+
+def test_datatype_decimal_and_pattern_on_numbers(spark):
+    df = spark.createDataFrame([("a", "12.34", 120), ("b", "12.3456789012345", 7), ("c", "x", None)], "id string, v string, n int")
+    v = validate(df, [Rule.datatype("v", "decimal(10,2)"), Rule.pattern("n", r"^[0-9]{3}$", name="three_digits")])
+    got = {r["id"]: sorted(r[FAILED]) for r in v.flagged.collect()}
+    # a value that rounds into decimal(10,2) passes; text that is no number fails
+    assert got == {"a": [], "b": ["three_digits"], "c": ["three_digits", "v_datatype"]}
