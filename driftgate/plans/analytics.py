@@ -22,9 +22,14 @@ from pyspark.sql import functions as F
 from ..functions.rounding import cents, half_up_ratio, half_up_signed, money
 
 COMPLETED = "completed"
-# Customer segment names and bounds.
-SEGMENTS = (("VIP", 10, 1000), ("Loyal", 5, 500))
-REGULAR_MIN_ORDERS = 2
+# Customer segments, first match wins -- (name, at least this
+# many orders, at least this much spent; None = no bound).
+SEGMENTS = (
+    ("VIP", 10, 1000),
+    ("Loyal", 5, 500),
+    ("Regular", 2, None),
+    ("New", None, None),
+)
 
 
 def _rev() -> Column:
@@ -313,9 +318,14 @@ def customer_segments(clean: DataFrame, as_of: str | _dt.date) -> DataFrame:
         )
         .withColumn("days_since_last_order", F.datediff(today, F.col("last_order_date")))
     )
-    seg = F.when(F.col("order_count") >= REGULAR_MIN_ORDERS, F.lit("Regular")).otherwise(F.lit("New"))
+    seg = F.lit(None).cast("string")
     for name, min_orders, min_spent in reversed(SEGMENTS):
-        seg = F.when((F.col("order_count") >= min_orders) & (F.col("total_spent") >= min_spent), F.lit(name)).otherwise(seg)
+        cond = F.lit(True)
+        if min_orders is not None:
+            cond = cond & (F.col("order_count") >= min_orders)
+        if min_spent is not None:
+            cond = cond & (F.col("total_spent") >= min_spent)
+        seg = F.when(cond, F.lit(name)).otherwise(seg)
     return (
         per_customer.groupBy(seg.alias("customer_segment"))
         .agg(
