@@ -14,10 +14,16 @@ from ..settings import Thresholds
 
 ALERT_SCHEMA = "alert_type string, severity string, message string, metric_value double, threshold_value double, timestamp timestamp"
 
-# Alert type names.
+# Alert type names and message texts ({threshold} is filled in
+# from Thresholds, %.2f / %s by Spark from the metric), and the digest subject.
 INVALID_RECORDS = "INVALID_RECORDS_THRESHOLD_EXCEEDED"
 DUPLICATE_RECORDS = "DUPLICATE_RECORDS_THRESHOLD_EXCEEDED"
 LOW_SCORE = "LOW_QUALITY_SCORE"
+INVALID_MESSAGE = "Invalid records percentage (%.2f%%) exceeds threshold ({threshold}%%)"
+DUPLICATE_MESSAGE = "Duplicate records percentage (%.2f%%) exceeds threshold ({threshold}%%)"
+LOW_SCORE_MESSAGE = "Data quality score (%s) is below threshold ({threshold})"
+DIGEST_SUBJECT = "Data Quality Alert - %d Errors, %d Warnings"
+DIGEST_HEADER = "Data Quality Alerts:\n\n"
 
 
 def _pct(part: Column, total: Column) -> Column:
@@ -45,7 +51,7 @@ def alert_structs(metrics: DataFrame, thresholds: Thresholds = Thresholds(), ts:
     invalid = _alert(
         INVALID_RECORDS,
         "ERROR",
-        F.format_string(f"Invalid records percentage (%.2f%%) exceeds threshold ({t.max_invalid_percentage}%%)", invalid_pct),
+        F.format_string(INVALID_MESSAGE.format(threshold=t.max_invalid_percentage), invalid_pct),
         invalid_pct,
         t.max_invalid_percentage,
         ts,
@@ -53,7 +59,7 @@ def alert_structs(metrics: DataFrame, thresholds: Thresholds = Thresholds(), ts:
     dup = _alert(
         DUPLICATE_RECORDS,
         "WARNING",
-        F.format_string(f"Duplicate records percentage (%.2f%%) exceeds threshold ({t.max_duplicate_percentage}%%)", dup_pct),
+        F.format_string(DUPLICATE_MESSAGE.format(threshold=t.max_duplicate_percentage), dup_pct),
         dup_pct,
         t.max_duplicate_percentage,
         ts,
@@ -61,7 +67,7 @@ def alert_structs(metrics: DataFrame, thresholds: Thresholds = Thresholds(), ts:
     low = _alert(
         LOW_SCORE,
         "ERROR",
-        F.format_string(f"Data quality score (%s) is below threshold ({t.min_quality_score})", score.cast("string")),
+        F.format_string(LOW_SCORE_MESSAGE.format(threshold=t.min_quality_score), score.cast("string")),
         score,
         t.min_quality_score,
         ts,
@@ -101,12 +107,12 @@ def digest(alerts: DataFrame) -> DataFrame:
     )
     return alerts.groupBy("table_name", "timestamp").agg(
         F.format_string(
-            "Data Quality Alert - %d Errors, %d Warnings",
+            DIGEST_SUBJECT,
             F.count_if(F.col("severity") == "ERROR"),
             F.count_if(F.col("severity") == "WARNING"),
         ).alias("subject"),
         F.concat(
-            F.lit("Data Quality Alerts:\n\n"),
+            F.lit(DIGEST_HEADER),
             # blocks in the order the checks run: invalid share, duplicates, score
             F.concat_ws("\n\n", F.sort_array(F.collect_list(F.struct(_check_order().alias("o"), block.alias("b")))).getField("b")),
         ).alias("body"),
