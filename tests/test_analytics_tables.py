@@ -235,3 +235,19 @@ def test_direct_write_for_few_days(spark, tmp_dir):
     write_partitioned(df, tmp_dir + "/d", distinct_partitions=1)
     back = spark.read.parquet(tmp_dir + "/d")
     assert back.count() == 5000 and back.select("day").distinct().count() == 1
+
+
+def test_approximate_distinct_option(spark):
+    clean = E_clean(spark)
+    exact = {r["region"]: r for r in A.revenue_by_region(clean).collect()}
+    approx = {r["region"]: r for r in A.revenue_by_region(clean, approx_distinct=True).collect()}
+    assert exact.keys() == approx.keys()
+    for k in exact:
+        assert abs(approx[k]["total_orders"] - exact[k]["total_orders"]) <= 0.1 * exact[k]["total_orders"]
+        assert approx[k]["total_revenue"] == exact[k]["total_revenue"]  # sums stay exact
+
+
+def E_clean(spark):
+    from driftgate.sources.driver_tables import clean_orders
+
+    return clean_orders(spark, SF001)
