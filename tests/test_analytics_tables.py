@@ -238,7 +238,7 @@ def test_direct_write_for_few_days(spark, tmp_dir):
 
 
 def test_approximate_distinct_option(spark):
-    clean = E_clean(spark)
+    clean = _clean_sf001(spark)
     exact = {r["region"]: r for r in A.revenue_by_region(clean).collect()}
     approx = {r["region"]: r for r in A.revenue_by_region(clean, approx_distinct=True).collect()}
     assert exact.keys() == approx.keys()
@@ -247,7 +247,7 @@ def test_approximate_distinct_option(spark):
         assert approx[k]["total_revenue"] == exact[k]["total_revenue"]  # sums stay exact
 
 
-def E_clean(spark):
+def _clean_sf001(spark):
     from driftgate.sources.driver_tables import clean_orders
 
     return clean_orders(spark, SF001)
