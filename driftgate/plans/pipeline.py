@@ -145,6 +145,7 @@ def run_batch(
             now = time.perf_counter()
             timings[name] = round(now - mark[0], 3)
             mark[0] = now
+
     if _committed(spark, spec, batch_id):
         return BatchOutcome(batch_id, skipped=True)
     if raw.isEmpty():  # S7: no full count
@@ -172,6 +173,7 @@ def run_batch(
         )
     flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
     validated = Validated(flagged, prepared.validated.rules, prepared.validated.applied, prepared.validated.rule_errors)
+    cached: list[DataFrame] = [flagged]
     try:
         for path in (spec.clean_path, spec.quarantine_path):
             remove_batch(spark, path, batch_id, spec.partition_by)
@@ -199,6 +201,7 @@ def run_batch(
         metrics = collect_metrics(
             raw, validated, spec.name, [c.to_dict() for c in prepared.comparison.changes]
         ).persist()
+        cached.append(metrics)
         m = metrics.select("total_records", "valid_records", "invalid_records", "duplicate_records", "data_quality_score").first().asDict()
         step("metrics")
         if m["invalid_records"] > 0:  # S10: skipped when nothing failed
@@ -208,6 +211,7 @@ def run_batch(
         step("write_quarantine")
 
         alerts = check_thresholds(metrics, spec.thresholds).persist()
+        cached.append(alerts)
         write_rows(metrics.withColumn("batch_id", F.lit(batch_id)), spec.metrics_path, "json")
         alert_rows = [r.asDict() for r in alerts.collect()]  # at most three
         if alert_rows:
@@ -229,15 +233,14 @@ def run_batch(
         ).withColumn("started_at", F.lit(started).cast("timestamp"))
         _write_log_row(spark, spec, log_row, batch_id)  # the commit marker, written last
         step("logs_registry_runlog")
-        metrics.unpersist()
-        alerts.unpersist()
         return BatchOutcome(batch_id, comparison=prepared.comparison, metrics=m, alerts=alert_rows, duration_sec=duration)
     except Exception as exc:
         # A failed batch leaves a failure row (not a commit marker) and re-raises.
         _log_failure(spark, spec, batch_id, started, exc)
         raise
     finally:
-        flagged.unpersist()
+        for df in cached:
+            df.unpersist()
 
 
 def _log_failure(spark: SparkSession, spec: TableSpec, batch_id: str, started: float, exc: BaseException) -> None:
