@@ -175,7 +175,10 @@ def reprocess_quarantine(
     typed = conform(body, registered, keep_new=False, rescue=True)
     flagged = validate(typed, rules).flagged
     if unique_key:
-        clean_keys = spark.read.parquet(spec.clean_path).select(unique_key).distinct()
+        # no distinct(): semi/anti joins only test existence, and without an
+        # aggregate in between the small quarantine side can prune the clean
+        # table's key scan (runtime filter) instead of de-duplicating all keys.
+        clean_keys = spark.read.parquet(spec.clean_path).select(unique_key)
         existing = (
             flagged.join(clean_keys, unique_key, "left_semi")
             .withColumn(VALID, F.lit(False))
