@@ -14,7 +14,10 @@ third of the data.  Here the first occurrence is found with an aggregate
 instead -- ``min(struct(order_by..., row id))`` per key, which Spark combines
 map-side, so a hot key costs one small row per map task -- and joined back on
 the key with null-safe equality.  The join side per key is a single row, so
-AQE's skew-join handling can split a hot key's rows over many tasks.
+AQE's skew-join handling can split a hot key's rows over many tasks.  With
+a single fixed-width order column (the default row id) the aggregate is a
+plain ``min`` and runs hash-based; a multi-column order uses ``min(struct)``,
+which Spark aggregates sort-based (still combined map-side).
 
 Row identity: the struct ends with a row id so that exactly one row per key
 wins even among identical rows.  Give ``row_id`` columns that are unique
