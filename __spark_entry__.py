@@ -30,6 +30,21 @@ from driftgate.plans import orders as O  # noqa: E402
 from driftgate.plans.oracle_sql import ORACLE  # noqa: E402
 from driftgate.sources import driver_tables as dt  # noqa: E402
 
+# The training-data operators live in one optional subpackage; without it the
+# rest of the library and its queries work as they are.
+try:
+    from driftgate.llm import queries as _llm
+except ModuleNotFoundError as missing:
+    if missing.name != "driftgate.llm":
+        raise
+    _llm = None
+try:
+    import corpus_pipeline as _pipeline
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "driftgate.llm"):
+        raise
+    _pipeline = None
+
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 
@@ -133,6 +148,15 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    named = dict(_reference_queries())
+    if _llm is not None:
+        named |= _llm.QUERIES
+    if _llm is not None and _pipeline is not None:
+        named["pipeline"] = _pipeline.run
+    return named
+
+
+def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # pipeline operators over raw_orders (D, E, V, M)
         "validated_rows": _validated_rows,
@@ -178,4 +202,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """DuckDB twins; ``numeric_summary`` has none (approximate quartiles)."""
-    return dict(ORACLE)
+    named = dict(ORACLE)
+    if _llm is not None:
+        named |= _llm.ORACLE
+    if _llm is not None and _pipeline is not None and _pipeline.ORACLE_SQL:
+        named["pipeline"] = _pipeline.ORACLE_SQL
+    return named
