@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftgate.llm.jaccard_join import jaccard_components
 from driftgate.llm.line_frequency import line_rules
 from driftgate.llm.substring_dedup import remove_repeats
 
@@ -21,6 +22,10 @@ def op3_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & F.col("kept"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf, "documents"), k=3, threshold="0.9")
+
+
 def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     out = remove_repeats(_table(spark, sf, "documents"), words_only=True)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"), F.size("factors").cast("long").alias("n_factors"))
@@ -28,6 +33,7 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_frequency": op3_line_frequency,
+    "op7_jaccard_join": op7_jaccard_join,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
