@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftgate.llm.components import components
+from driftgate.llm.components import merged
 from driftgate.llm.store import checkpointed, drop, ship, stash
 from driftgate.llm.words import Texts, mix, prefix_sum, run_hash, slices, spans_hash
 
@@ -52,6 +52,7 @@ LEAST = 2  # tokens of an indexed plain segment
 FLUSH_ENTRIES = 2_000_000
 LISTED = 8  # sets of one task and entry that are listed one by one
 ENTRIES_PER_SHARD = 1_500_000
+LEADERS = 64  # of a meeting, in each round after the first
 
 
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -356,7 +357,7 @@ def _links(texts: DataFrame, base: DataFrame, k: int, j: Fraction, num: int, den
     active = members.select("cls").distinct()
     by_class = texts.mapInArrow(_class_texts(k), "cls long, text string").join(active, "cls", "left_semi").groupBy("cls").agg(F.any_value("text").alias("text"))
     by_class, path = stash(by_class)
-    edges, label, leaders = None, None, 1
+    label, leaders = None, 1
     while True:
         at = members.withColumn("component", F.col("cls")) if label is None else members.join(label, F.col("cls") == F.col("node"), "left").select(*members.columns, F.coalesce("component", "cls").alias("component"))
         mixed = at.groupBy("meeting").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("meeting")
@@ -371,10 +372,11 @@ def _links(texts: DataFrame, base: DataFrame, k: int, j: Fraction, num: int, den
         pairs = pairs.select(F.least("cls", "l.cls").alias("a"), F.greatest("cls", "l.cls").alias("b")).distinct()
         left, right = by_class.toDF("a", "text_a"), by_class.toDF("b", "text_b")
         found = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified(k, num, den), "a long, b long")
-        edges = checkpointed(found if edges is None else found.union(edges))
-        label = components(edges)
+        edges = checkpointed(found)
+        if not edges.isEmpty():
+            label = merged(label, edges)
         gone = lead.select("meeting", F.col("l.cls").alias("cls"))
         members = open_.join(gone, ["meeting", "cls"], "left_anti").select("meeting", "cls", "size")
-        leaders = min(leaders * 4, 64)
+        leaders = LEADERS
     drop(spark, path)
     return label
