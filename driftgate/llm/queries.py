@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftgate.llm.jaccard_join import jaccard_components
 from driftgate.llm.line_frequency import line_rules
+from driftgate.llm.mixing import mix
+from driftgate.llm.packing import pack
 from driftgate.llm.substring_dedup import remove_repeats
 
 
@@ -22,6 +27,29 @@ def op3_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & F.col("kept"))
 
 
+def op4_curriculum_mix(spark: SparkSession, sf: str) -> DataFrame:
+    mixed = mix(_table(spark, sf, "documents").select("doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "positions")
+
+
+def _ids_crc32(batches):
+    """CRC-32 of each piece's ids as little-endian unsigned 32-bit numbers, in place of the ids."""
+    for batch in batches:
+        ids = batch.column(batch.schema.get_field_index("ids"))
+        cut, flat = np.asarray(ids.offsets), np.asarray(ids.values).astype("<u4")
+        crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+        rest = batch.drop_columns(["ids"])
+        yield rest.append_column("ids_crc32", pa.array(crc, pa.int64()))
+
+
+def op5_online_packing(spark: SparkSession, sf: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = pack(_table(spark, sf, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    rest = pieces.drop("ids").schema.simpleString()[len("struct<") : -1].replace(":", " ")
+    return pieces.select(*pieces.drop("ids").columns, "ids").mapInArrow(_ids_crc32, f"{rest}, ids_crc32 long")
+
+
 def op7_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_components(_table(spark, sf, "documents"), k=3, threshold="0.9")
 
@@ -33,6 +61,8 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_line_frequency": op3_line_frequency,
+    "op4_curriculum_mix": op4_curriculum_mix,
+    "op5_online_packing": op5_online_packing,
     "op7_jaccard_join": op7_jaccard_join,
     "op10_substring_dedup": op10_substring_dedup,
 }
