@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from driftgate.llm import language_id, line_crf
 from driftgate.llm.jaccard_join import jaccard_components
 from driftgate.llm.line_frequency import line_rules
 from driftgate.llm.mixing import mix
@@ -21,6 +22,17 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _fold(n: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op1_output_codes(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    model = language_id.train(docs, F.col("doc_id").isNotNull() & (_fold(3) != 1))
+    out = language_id.predict(docs, model)
+    return out.select("doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 def op3_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
     out = line_rules(_table(spark, sf, "documents"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -50,6 +62,14 @@ def op5_online_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pieces.select(*pieces.drop("ids").columns, "ids").mapInArrow(_ids_crc32, f"{rest}, ids_crc32 long")
 
 
+def op6_line_crf(spark: SparkSession, sf: str) -> DataFrame:
+    docs, labels = _table(spark, sf, "documents"), _table(spark, sf, "labels")
+    model = line_crf.train(docs, labels, _fold(5) != 0)
+    out = line_crf.score(docs, model)
+    good = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return out.select("doc_id", F.coalesce(_fold(5) == 0, F.lit(False)).alias("held_out"), "score", good)
+
+
 def op7_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_components(_table(spark, sf, "documents"), k=3, threshold="0.9")
 
@@ -60,9 +80,11 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_output_codes": op1_output_codes,
     "op3_line_frequency": op3_line_frequency,
     "op4_curriculum_mix": op4_curriculum_mix,
     "op5_online_packing": op5_online_packing,
+    "op6_line_crf": op6_line_crf,
     "op7_jaccard_join": op7_jaccard_join,
     "op10_substring_dedup": op10_substring_dedup,
 }
