@@ -15,7 +15,12 @@ from driftgate.llm.jaccard_join import jaccard_components
 from driftgate.llm.line_frequency import line_rules
 from driftgate.llm.mixing import mix
 from driftgate.llm.packing import pack
+from driftgate.llm.quote_linking import link_quotes
 from driftgate.llm.substring_dedup import remove_repeats
+from driftgate.llm.url_templates import judge
+from driftgate.llm.vector_search import nearest
+
+RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -33,6 +38,10 @@ def op1_output_codes(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", F.coalesce(_fold(3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op2_path_templates(spark: SparkSession, sf: str) -> DataFrame:
+    return judge(_table(spark, sf, "pages"), RULES)
+
+
 def op3_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
     out = line_rules(_table(spark, sf, "documents"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -74,6 +83,14 @@ def op7_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_components(_table(spark, sf, "documents"), k=3, threshold="0.9")
 
 
+def op8_dimension_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return nearest(_table(spark, sf, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+def op9_quote_linking(spark: SparkSession, sf: str) -> DataFrame:
+    return link_quotes(_table(spark, sf, "conversations"))
+
+
 def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     out = remove_repeats(_table(spark, sf, "documents"), words_only=True)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"), F.size("factors").cast("long").alias("n_factors"))
@@ -81,11 +98,14 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_output_codes": op1_output_codes,
+    "op2_path_templates": op2_path_templates,
     "op3_line_frequency": op3_line_frequency,
     "op4_curriculum_mix": op4_curriculum_mix,
     "op5_online_packing": op5_online_packing,
     "op6_line_crf": op6_line_crf,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_dimension_scan": op8_dimension_scan,
+    "op9_quote_linking": op9_quote_linking,
     "op10_substring_dedup": op10_substring_dedup,
 }
 
