@@ -285,3 +285,18 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text: str = "tex
 
     out = src.mapInArrow(run, f"id {src.schema['id'].dataType.simpleString()}, score double, lines array<double>")
     return out.withColumnRenamed("id", id_col)
+
+
+def keep(docs: DataFrame, model: dict, least: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, unchanged, with a score of ``least`` or more."""
+    ship(docs.sparkSession)
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(at).cast(pa.string())
+            for lo, hi in slices(texts):
+                s, _ = quality(model, texts.slice(lo, hi - lo))
+                yield batch.slice(lo, hi - lo).filter(pa.array(s >= least))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -55,6 +55,7 @@ class Block:
             ids, text = pa.concat_arrays(ids.chunks), pa.concat_arrays(text.chunks)
         order = pc.sort_indices(pa.table({"id": ids, "text": text}), sort_keys=[("id", "ascending"), ("text", "ascending")])
         self.ids, self.text = ids.take(order), text.take(order)
+        self.extra = table.column("extra").combine_chunks().take(order) if "extra" in table.column_names else None
         self.known = np.asarray(pc.is_valid(self.ids))
         self.doc_id = np.asarray(pc.fill_null(self.ids, 0), np.int64)
         self.t = Texts(self.text)
@@ -236,15 +237,14 @@ def _factored(words_only: bool):
             pa.array(np.searchsorted(row[f], np.arange(t.n + 1)), pa.int32()),
             pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (at[f] - t.bounds[row[f]], size, sd[f], so[f])], ["start", "length", "ref_doc", "ref_start"]),
         )
-        return pa.table(
-            {
-                "id": b.ids,
-                "text": _kept_text(b, gone, words_only),
-                "n_words": pa.array(t.counts(), pa.int64()),
-                "n_removed": pa.array(t.per_words(gone), pa.int64()),
-                "factors": factors,
-            }
-        )
+        out = {
+            "id": b.ids,
+            "text": _kept_text(b, gone, words_only),
+            "n_words": pa.array(t.counts(), pa.int64()),
+            "n_removed": pa.array(t.per_words(gone), pa.int64()),
+            "factors": factors,
+        }
+        return pa.table(out | ({} if b.extra is None else {"extra": b.extra}))
 
     return run
 
@@ -275,8 +275,8 @@ def _kept_text(b: Block, gone: np.ndarray, words_only: bool) -> pa.Array:
     return kept if words_only else pc.if_else(pc.is_valid(b.text), kept, pa.scalar(None, pa.string()))
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words_only: bool = False, block_docs: int = BLOCK_DOCS) -> DataFrame:
-    """Per row: id, ``text`` without duplicate spans, n_words, n_removed and the factors (word offsets; source document and offset).
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text", words_only: bool = False, keep: list[str] | None = None, block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """Per row: id, the ``keep`` columns, ``text`` without duplicate spans, n_words, n_removed and the factors (word offsets; source document and offset).
 
     ``words_only`` gives the kept words with one space between them; else the
     white space after each kept word stays as it was.
@@ -285,7 +285,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     n = docs.count()
     blocks = max(1, math.ceil(n / block_docs))
     shards = max(1, math.ceil(blocks / BLOCKS_PER_SHARD))
-    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"), *([F.struct(*keep).alias("extra")] if keep else []))
     placed = src.withColumn("block", F.pmod(F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("id")), F.lit(blocks).cast("long")))
     seeds = placed.groupBy("block").applyInArrow(_seed_rows(shards), "shard int, block long, seeds binary, several binary")
     bits = seeds.groupBy("shard").applyInArrow(_shared_seeds, "shard int, block long, bits binary")
@@ -296,5 +296,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     )
     runs = windows.groupBy("shard").applyInArrow(_first_places, "block long, place binary, length binary, ref_doc binary, ref_start binary")
     id_type = docs.schema[id_col].dataType.simpleString()
-    out = placed.groupBy("block").cogroup(runs.groupBy("block")).applyInArrow(_factored(words_only), f"id long, text string, n_words long, n_removed long, factors {FACTORS}")
-    return out.select(F.col("id").cast(id_type).alias(id_col), F.col("text").alias(text), "n_words", "n_removed", "factors")
+    extra = f", extra {src.schema['extra'].dataType.simpleString()}" if keep else ""
+    out = placed.groupBy("block").cogroup(runs.groupBy("block")).applyInArrow(_factored(words_only), f"id long, text string, n_words long, n_removed long, factors {FACTORS}{extra}")
+    return out.select(F.col("id").cast(id_type).alias(id_col), *[F.col(f"extra.{c}") for c in keep or []], F.col("text").alias(text), "n_words", "n_removed", "factors")
