@@ -20,28 +20,37 @@ from __future__ import annotations
 
 import math
 import os
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftgate.llm.store import ship, stash
-
-CACHED_WORDS = 200_000
+from driftgate.llm.words import Texts, slices
+
+KEPT_WORDS = 1_500_000
+KEPT_SIGNS = 50_000
+LATIN = "\u0130"  # below: letters that are their own composed form and lower-case one to one
+SIGNS = ".,!?;:"
+#: the sign that stands for each byte in a byte-level vocabulary: printable Latin-1 as it is, the rest from U+0100 on
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_SIGNS = {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 FAN_IN = 64
 _WINDOW_BITS = 32
 _TASK_BITS = 24
 
 
 class Encoder:
-    """Ids of texts under a tokenizer that never joins characters across a space or a newline.
+    """Ids of texts under a tokenizer that lower-cases, drops white space and never joins signs across it.
 
-    Words recur, so the ids of each stretch between spaces and newlines are
-    kept; the tokenizer itself encodes every new one.
+    Words recur, so the ids of each word are kept, by the word's 64-bit hash and
+    length, in sorted arrays.  A new word of plain letters with signs at its end
+    goes to the tokenizer's model directly, lower-cased and as the signs of its
+    bytes; the tokenizer encodes every other word whole.
     """
 
     def __init__(self, path: str):
@@ -49,22 +58,79 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, list[int]] = {}
-
-    def batch(self, texts: list[str]) -> list[list[str]]:
-        """The stretches of each text, all of them known afterwards."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = list({w for words in split for w in words if w not in self.known})
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[w] = e.ids
-        return split
-
-    def ids(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32)
+        self.signs: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.key = np.zeros(0, np.uint64)  # sorted
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat, self.filled = np.zeros(1 << 16, np.int32), 0
+
+    def _encoded(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word: lower-cased letters go to the model itself, everything else through the whole tokenizer."""
+        model, signs = self.tokenizer.model.tokenize, self.signs
+        out, rest = [], []
+        for w in words:
+            core = w.rstrip(SIGNS)
+            if core.isalpha() and (w.isascii() or max(w) < LATIN):
+                low = core.lower()
+                ids = [t.id for t in model(low if low.isascii() else low.encode().decode("latin-1").translate(BYTE_SIGNS))]
+                if len(core) < len(w):
+                    tail = w[len(core) :]
+                    if tail not in signs:
+                        signs[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
+                    ids += signs[tail]
+                out.append(ids)
+            else:
+                rest.append(len(out))
+                out.append([])
+        for i in range(0, len(rest), 4096):
+            part = rest[i : i + 4096]
+            for at, e in zip(part, self.tokenizer.encode_batch([words[j] for j in part], add_special_tokens=False), strict=True):
+                out[at] = e.ids
+        if len(signs) > KEPT_SIGNS:
+            signs.clear()
+        return out
+
+    def _learn(self, key: np.ndarray, words: list[str]) -> None:
+        got = self._encoded(words)
+        size = np.fromiter(map(len, got), np.int64, len(got))
+        total = int(size.sum())
+        while self.filled + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.filled : self.filled + total] = np.fromiter(chain.from_iterable(got), np.int32, total)
+        at = np.searchsorted(self.key, key)
+        self.start = np.insert(self.start, at, self.filled + np.cumsum(size) - size)
+        self.size, self.key = np.insert(self.size, at, size), np.insert(self.key, at, key)
+        self.filled += total
+
+    def batch(self, column: pa.Array) -> list[np.ndarray]:
+        """The ids of each text."""
+        if len(self.key) > KEPT_WORDS:
+            self._forget()
+        t = Texts(column)
+        key = t.hash ^ (t.end - t.start).astype(np.uint64)
+        words, first, number = np.unique(key, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.key, words)
+        new = np.ones(len(words), bool)
+        old = at < len(self.key)
+        new[old] = self.key[at[old]] != words[old]
+        if new.any():
+            data, f = t.raw.tobytes(), first[new]
+            self._learn(words[new], [data[a:b].decode() for a, b in zip(t.start[f].tolist(), t.end[f].tolist(), strict=True)])
+            at = np.searchsorted(self.key, words)
+        at = at[number]
+        start, size = self.start[at], self.size[at]
+        end = np.cumsum(size)
+        ids = self.flat[np.arange(end[-1]) + np.repeat(start - (end - size), size)] if len(end) else np.zeros(0, np.int32)
+        last = np.concatenate([[0], end])[t.bounds]
+        return [ids[a:b] for a, b in zip(last[:-1], last[1:], strict=True)]
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> Encoder:
+    """One encoder for each Python worker, so that tasks find the words of earlier ones."""
+    return Encoder(path)
 
 
 class Windows:
@@ -99,7 +165,7 @@ class Windows:
 
 def _first_round(path: str, end_id: int, size: int, most: int, id_type: pa.DataType):
     def run(batches):
-        encoder, windows, task, number = Encoder(path), Windows(size, most), TaskContext.get().partitionId(), 0
+        encode, windows, task, number = encoder(path), Windows(size, most), TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
         values: list[np.ndarray] = []
 
@@ -124,12 +190,10 @@ def _first_round(path: str, end_id: int, size: int, most: int, id_type: pa.DataT
             return pa.RecordBatch.from_arrays([*arrays, ids], ["id", "start", "length", "doc_tokens", "task", "window", "offset", "final", "ids"])
 
         for batch in batches:
-            texts = pc.fill_null(batch.column(1), "")
-            for lo in range(0, len(batch), 64):
-                part = texts.slice(lo, 64).to_pylist()
-                names = batch.column(0).slice(lo, 64).to_pylist()
-                for name, words in zip(names, encoder.batch(part), strict=True):
-                    ids = np.append(encoder.ids(words), np.int32(end_id))
+            for lo, hi in slices(batch.column(1)):
+                names = batch.column(0).slice(lo, hi - lo).to_pylist()
+                for name, ids in zip(names, encode.batch(batch.column(1).slice(lo, hi - lo)), strict=True):
+                    ids = np.append(ids, np.int32(end_id))
                     whole = len(ids) // size * size
                     for s in range(0, whole, size):
                         leave([(name, s, ids[s : s + size], len(ids))], True)
