@@ -22,10 +22,12 @@ both sets of a pair make the same one.
 
 Index entries are dealt to shards as packed arrays, pre-aggregated for each
 task: an entry many sets of one task share goes there once.  Classes
-that meet are then linked without listing all pairs: each meeting group tests
-its members against a few leaders, tested leaders leave, components merge, and
-groups inside one component are done.  What is left runs again, so no link that
-changes a component is lost.  Tests are exact, on the shingles of whole texts.
+that meet are then linked without listing all pairs: each meeting tests its
+members against leaders, first the one that is in most meetings; tested leaders
+leave, components merge, and meetings inside one component are done.  What is
+left runs again, so no link that changes a component is lost.  A pair is tested
+only if sizes and parity bits allow it (sets differ in no fewer tokens than
+bits, so this loses nothing).  Tests are exact, on the shingles of whole texts.
 
 Defined cases: A-Z is lower-cased; a text with fewer words than a shingle is one
 shingle of all its words; null texts and texts without words have the empty set
@@ -52,7 +54,8 @@ LEAST = 2  # tokens of an indexed plain segment
 FLUSH_ENTRIES = 2_000_000
 LISTED = 8  # sets of one task and entry that are listed one by one
 ENTRIES_PER_SHARD = 1_500_000
-LEADERS = 64  # of a meeting, in each round after the first
+LEADERS = 1_024  # of a meeting, in each round after the first
+BITS = 512
 
 
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -276,14 +279,25 @@ def _class_texts(k: int):
         for batch in batches:
             for lo, hi in slices(batch.column(0)):
                 part = batch.column(0).slice(lo, hi - lo)
-                cls = classes(*shingle_sets(part, k))
+                h, cut = shingle_sets(part, k)
+                cls = classes(h, cut)
                 _, first = np.unique(cls, return_index=True)
                 first = first[cls[first] != 0]
-                yield pa.RecordBatch.from_arrays([pa.array(cls[first], pa.int64()), part.take(pa.array(first))], ["cls", "text"])
+                bits = parity_bits(h, cut)[first]
+                bits = pa.FixedSizeListArray.from_arrays(pa.array(bits.ravel(), pa.int64()), BITS // 64).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(cls[first], pa.int64()), part.take(pa.array(first)), bits], ["cls", "text", "bits"])
 
     return run
 
 
+def parity_bits(h: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """Each set's tokens hashed to ``BITS`` bits, a bit being their parity: two sets differ in no fewer tokens than bits."""
+    row = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
+    at = row * BITS + (mix(h ^ np.uint64(0xB17)) & np.uint64(BITS - 1)).astype(np.int64)
+    odd = (np.bincount(at, minlength=(len(cut) - 1) * BITS) & 1).astype(np.uint8)
+    return np.packbits(odd.reshape(len(cut) - 1, BITS), axis=1).view(np.int64)
+
+
 def _verified(k: int, num: int, den: int):
     """Of rows (a, b, text_a, text_b), the pairs (a, b) with a similarity of num / den or more."""
 
@@ -355,8 +369,11 @@ def _links(texts: DataFrame, base: DataFrame, k: int, j: Fraction, num: int, den
     index = texts.mapInArrow(_index_rows(k, bands, plan, shards), "shard int, kind byte, entry binary, cls binary, size binary, many binary")
     members = checkpointed(index.groupBy("shard").applyInArrow(_meetings, "meeting long, cls long, size long").distinct())
     active = members.select("cls").distinct()
-    by_class = texts.mapInArrow(_class_texts(k), "cls long, text string").join(active, "cls", "left_semi").groupBy("cls").agg(F.any_value("text").alias("text"))
+    by_class = texts.mapInArrow(_class_texts(k), "cls long, text string, bits array<long>").join(active, "cls", "left_semi").groupBy("cls").agg(F.any_value("text").alias("text"), F.any_value("bits").alias("bits"))
     by_class, path = stash(by_class)
+    # how many meetings a class is in: the text that others are copies of is in most
+    degree = members.groupBy("cls").agg(F.count(F.lit(1)).alias("degree"))
+    members = checkpointed(members.join(by_class.select("cls", "bits"), "cls").join(degree, "cls"))
     label, leaders = None, 1
     while True:
         at = members.withColumn("component", F.col("cls")) if label is None else members.join(label, F.col("cls") == F.col("node"), "left").select(*members.columns, F.coalesce("component", "cls").alias("component"))
@@ -365,18 +382,20 @@ def _links(texts: DataFrame, base: DataFrame, k: int, j: Fraction, num: int, den
         if open_.isEmpty():
             break
         salt = F.pmod(F.col("cls"), F.lit(leaders))
-        lead = open_.groupBy("meeting", salt.alias("salt")).agg(F.min(F.struct("cls", "size", "component")).alias("l")).select("meeting", "l")
-        met = open_.join(lead, "meeting")
-        close = (F.col("size") * den >= F.col("l.size") * num) & (F.col("l.size") * den >= F.col("size") * num)
-        pairs = met.where((F.col("component") != F.col("l.component")) & close)
+        best = F.struct((-F.col("degree")).alias("order"), "cls", "size", "component", "bits")
+        lead = open_.groupBy("meeting", salt.alias("salt")).agg(F.min(best).alias("l")).select(F.col("meeting").alias("of"), "l")
+        sizes = (F.col("size") * den >= F.col("l.size") * num) & (F.col("l.size") * den >= F.col("size") * num)
+        apart = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("l.bits")[i])) for i in range(BITS // 64)), F.lit(0))
+        close = apart * (den + num) <= (F.col("size") + F.col("l.size")) * (den - num)
+        pairs = open_.join(lead, (F.col("meeting") == F.col("of")) & (F.col("component") != F.col("l.component")) & sizes & close)
         pairs = pairs.select(F.least("cls", "l.cls").alias("a"), F.greatest("cls", "l.cls").alias("b")).distinct()
-        left, right = by_class.toDF("a", "text_a"), by_class.toDF("b", "text_b")
+        left, right = by_class.select("cls", "text").toDF("a", "text_a"), by_class.select("cls", "text").toDF("b", "text_b")
         found = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified(k, num, den), "a long, b long")
         edges = checkpointed(found)
         if not edges.isEmpty():
             label = merged(label, edges)
-        gone = lead.select("meeting", F.col("l.cls").alias("cls"))
-        members = open_.join(gone, ["meeting", "cls"], "left_anti").select("meeting", "cls", "size")
+        gone = lead.select(F.col("of").alias("meeting"), F.col("l.cls").alias("cls"))
+        members = open_.join(gone, ["meeting", "cls"], "left_anti").drop("component")
         leaders = LEADERS
     drop(spark, path)
     return label
