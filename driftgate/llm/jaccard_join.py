@@ -51,9 +51,9 @@ from driftgate.llm.store import checkpointed, drop, ship, stash
 from driftgate.llm.words import Texts, mix, prefix_sum, run_hash, slices, spans_hash
 
 LEAST = 2  # tokens of an indexed plain segment
-FLUSH_ENTRIES = 2_000_000
+FLUSH_ENTRIES = 500_000
 LISTED = 8  # sets of one task and entry that are listed one by one
-ENTRIES_PER_SHARD = 1_500_000
+ENTRIES_PER_SHARD = 400_000
 LEADERS = 1_024  # of a meeting, in each round after the first
 BITS = 512
 
