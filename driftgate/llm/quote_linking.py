@@ -121,14 +121,14 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
         .join(link, ["conv", "turn"], "left")
         .select("conv", "turn", F.col("lc").isNotNull().alias("linked"), F.coalesce("lc", F.when(F.col("prev").isNotNull(), F.col("conv"))).alias("pc"), F.coalesce("lt", "prev").alias("pt"))
     )
-    # pointer doubling: (up_conv, up_turn) is an ancestor `steps` levels up
-    now = checkpointed(tree.select("*", F.coalesce("pc", "conv").alias("uc"), F.coalesce("pt", "turn").alias("ut"), F.col("pc").isNotNull().cast("long").alias("steps")))
-    while True:
-        up = now.select(F.col("conv").alias("a"), F.col("turn").alias("b"), F.col("uc").alias("nc"), F.col("ut").alias("nt"), F.col("steps").alias("more"))
-        far_up = now.join(up, (F.col("uc") == F.col("a")) & (F.col("ut") == F.col("b")))
-        if far_up.where("more > 0").isEmpty():
-            break
-        now = checkpointed(far_up.select("conv", "turn", "linked", "pc", "pt", F.col("nc").alias("uc"), F.col("nt").alias("ut"), (F.col("steps") + F.col("more")).alias("steps")))
+    # pointer doubling: (uc, ut) is an ancestor `steps` levels up; a row is done once that is its root
+    root = F.col("pc").isNull()
+    now = checkpointed(tree.select("*", F.coalesce("pc", "conv").alias("uc"), F.coalesce("pt", "turn").alias("ut"), F.when(root, 0).otherwise(1).cast("long").alias("steps"), root.alias("done")))
+    while not now.where("not done").isEmpty():
+        up = now.select(F.col("conv").alias("a"), F.col("turn").alias("b"), F.col("uc").alias("nc"), F.col("ut").alias("nt"), F.col("steps").alias("more"), F.col("done").alias("at_root"))
+        open_ = now.where("not done").join(up, (F.col("uc") == F.col("a")) & (F.col("ut") == F.col("b")))
+        moved = open_.select("conv", "turn", "linked", "pc", "pt", F.col("nc").alias("uc"), F.col("nt").alias("ut"), (F.col("steps") + F.col("more")).alias("steps"), F.col("at_root").alias("done"))
+        now = checkpointed(now.where("done").union(moved))
     t = now.select(F.col("conv").alias("c"), F.col("turn").alias("t"), "linked", "pc", "pt", "uc", "ut", "steps")
     out = parsed.join(t, (F.col("conv") == F.col("c")) & (F.col("turn") == F.col("t")), "left")
     out = out.select(
