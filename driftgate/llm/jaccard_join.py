@@ -14,7 +14,7 @@ universe into segments:
 With p plain and d one-deletion segments and p + 2 d > H + t, every similar pair
 meets in at least t + 1 plain segments or in a one-deletion segment.  The t
 spare segments allow the subset rule: a set with at most t plain segments of
-fewer than ``LEAST`` tokens leaves those unindexed (nearly empty segments are
+no or few tokens leaves those unindexed (nearly empty segments are
 the ones that unrelated sets share).  ``allocate`` takes for each band the p
 and d of least estimated cost, index entries plus chance meetings, from the
 band's number of sets.  Every choice is a function of content and band, so
@@ -50,10 +50,10 @@ from driftgate.llm.components import merged
 from driftgate.llm.store import checkpointed, drop, ship, stash
 from driftgate.llm.words import Texts, mix, prefix_sum, run_hash, slices, spans_hash
 
-LEAST = 2  # tokens of an indexed plain segment
+SHARED = 1e-3  # assumed chance that a token of one set is in an unrelated one
 FLUSH_ENTRIES = 500_000
 LISTED = 8  # sets of one task and entry that are listed one by one
-ENTRIES_PER_SHARD = 400_000
+ENTRIES_PER_SHARD = 700_000
 LEADERS = 1_024  # of a meeting, in each round after the first
 BITS = 512
 
@@ -115,38 +115,39 @@ class Bands:
         return self.most(i) * (self.j.denominator - self.j.numerator) // self.j.numerator
 
 
-def allocate(n: int, h: int, sets: int) -> tuple[int, int, int]:
-    """(plain segments, one-deletion segments, spare ones) for sets of n tokens, H = h, by least estimated cost."""
+def allocate(n: int, h: int, sets: int) -> tuple[int, int, int, int]:
+    """(plain segments, one-deletion segments, spare ones, tokens an indexed plain segment must have) for sets of n tokens, H = h, by least estimated cost."""
     best = None
     for d in sorted({0, 1, *(round((h + 1) / 2 * x / 8) for x in range(9)), (h + 2) // 2}):
-        need, spare = max(0, h + 1 - 2 * d), 0
-        if need:
-            for _ in range(8):  # spare segments make all segments smaller
+        need = max(0, h + 1 - 2 * d)
+        for least in (2, 1, 0) if need else (0,):
+            spare = 0
+            for _ in range(12 if least else 0):  # spare segments make all segments smaller
                 a = n / (need + spare + d)
-                few = (need + spare) * math.exp(-a) * (1 + a)
+                few = (need + spare) * math.exp(-a) * (1 + a if least == 2 else 1)
                 spare = math.ceil(few + 4 * math.sqrt(few))
-        if spare and 2 * spare > need:
-            spare = 0  # segments this small: index them all
-        p = need + spare
-        if p + d == 0:
-            continue
-        a = n / (p + d)
-        bare = 0 if spare else p * math.exp(-2 * a)
-        chance = bare + p * (math.exp(-a) * a**LEAST / 2) ** 2 * 1e-3 + d * (math.exp(-a) * (1 + a)) ** 2
-        cost = sets * (p + d * (1 + a)) + sets * sets / 2 * chance
-        if best is None or cost < best[0]:
-            best = (cost, (p, d, spare))
+                if spare > need:
+                    break
+            p = need + spare
+            if p + d == 0 or spare > need / 3:
+                continue
+            a = n / (p + d)
+            # two unrelated sets agree on the smallest indexed content: surely if it is empty, else if they share those tokens
+            alike = math.exp(-2 * a) * (a**least / math.factorial(least)) ** 2 * SHARED**least
+            cost = sets * (p + d * (1 + a)) + sets * sets / 2 * (p * alike + d * (math.exp(-a) * (1 + a)) ** 2)
+            if best is None or cost < best[0]:
+                best = (cost, (p, d, spare, least))
     return best[1]
 
 
 def _entries(h: np.ndarray, cut: np.ndarray, join_band: np.ndarray, plan: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Index entries (hash, row) of sets in the given join band each (-1: none)."""
-    use = (join_band >= 0) & (plan[np.maximum(join_band, 0)].sum(axis=1) > 0) & (np.diff(cut) > 0)
+    use = (join_band >= 0) & (plan[np.maximum(join_band, 0), :2].sum(axis=1) > 0) & (np.diff(cut) > 0)
     rows = np.flatnonzero(use)
     if not len(rows):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     band = join_band[rows]
-    p, d, spare = plan[band].T
+    p, d, spare, least = plan[band].T
     size = np.diff(cut)[rows]
     row = np.repeat(np.arange(len(rows)), size)
     pos = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size) + np.repeat(cut[:-1][rows], size)
@@ -166,7 +167,7 @@ def _entries(h: np.ndarray, cut: np.ndarray, join_band: np.ndarray, plan: np.nda
     seg = np.arange(total) - base[of]
     tag = mix((band[of].astype(np.uint64) << np.uint64(32)) + seg.astype(np.uint64))
     whole = mix(content + tag)
-    few = (seg >= d[of]) & (tokens < LEAST)
+    few = (seg >= d[of]) & (tokens < least[of])
     n_few = np.bincount(of, few, len(rows))
     skip = few & (spare[of] > 0) & (n_few[of] <= spare[of])
     deleted = np.flatnonzero(slot - base[row] < d[row])
@@ -177,12 +178,12 @@ def _entries(h: np.ndarray, cut: np.ndarray, join_band: np.ndarray, plan: np.nda
 def _index_rows(k: int, bands: Bands, plan: np.ndarray, shards: int):
     """Tasks' index entries by shard: kind 0 lists sets for entries; kind 1 are members of entries that many sets of the task share."""
 
-    def packed(entry: np.ndarray, cls: np.ndarray, size: np.ndarray):
+    def packed(entry: np.ndarray, cls: np.ndarray):
         order = np.lexsort((cls, entry))
-        entry, cls, size = entry[order], cls[order], size[order]
+        entry, cls = entry[order], cls[order]
         new = np.ones(len(entry), bool)
         new[1:] = (entry[1:] != entry[:-1]) | (cls[1:] != cls[:-1])
-        entry, cls, size = entry[new], cls[new], size[new]
+        entry, cls = entry[new], cls[new]
         first = np.flatnonzero(np.concatenate([[True], entry[1:] != entry[:-1]])) if len(entry) else np.zeros(0, np.int64)
         times = np.diff(np.append(first, len(entry)))
         many = np.repeat(times > LISTED, times)
@@ -195,12 +196,13 @@ def _index_rows(k: int, bands: Bands, plan: np.ndarray, shards: int):
             edge = np.searchsorted(shard[at], np.arange(shards + 1))
             for s in np.flatnonzero(np.diff(edge)):
                 i = at[edge[s] : edge[s + 1]]
+                names, number = np.unique(cls[i], return_inverse=True)
                 # members pass through any shard: these are spread, as their entry may be a hot one
-                to = int(s) if kind == 0 else int((int(cls[i[0]]) + s) % shards)
-                out.append((to, kind, entry[i].tobytes(), cls[i].tobytes(), size[i].astype(np.uint32).tobytes(), np.packbits(many[i]).tobytes()))
+                to = int(s) if kind == 0 else int((int(names[0]) + s) % shards)
+                out.append((to, kind, entry[i].tobytes(), names.tobytes(), number.astype(np.uint16 if len(names) <= 1 << 16 else np.uint32).tobytes(), np.packbits(many[i]).tobytes()))
         return pa.RecordBatch.from_arrays(
             [pa.array(v, t) for v, t in zip(zip(*out, strict=True) if out else [[]] * 6, (pa.int32(), pa.int8(), *[pa.binary()] * 4), strict=True)],
-            ["shard", "kind", "entry", "cls", "size", "many"],
+            ["shard", "kind", "entry", "names", "cls", "many"],
         )
 
     def run(batches):
@@ -217,7 +219,7 @@ def _index_rows(k: int, bands: Bands, plan: np.ndarray, shards: int):
                 lower = np.where((band > 0) & (n <= bands.sizes[np.maximum(band, 0)] * bands.j.denominator // bands.j.numerator), band - 1, -1)
                 for join in (band, lower):
                     entry, row = _entries(h, cut, join, plan)
-                    held.append((entry, cls[row], n[row]))
+                    held.append((entry, cls[row]))
                     count += len(entry)
                 if count >= FLUSH_ENTRIES:
                     yield packed(*(np.concatenate(x) for x in zip(*held, strict=True)))
@@ -229,22 +231,22 @@ def _index_rows(k: int, bands: Bands, plan: np.ndarray, shards: int):
 
 
 def _meetings(table: pa.Table) -> pa.Table:
-    """Members (meeting, class, size) of the entries of a shard that two or more classes share."""
+    """Members (meeting, class) of the entries of a shard that two or more classes share."""
     kind = np.asarray(table.column("kind").combine_chunks())
-    get = lambda c, t: [np.frombuffer(x.as_py(), t) for x in table.column(c)]
-    entry, cls, size = get("entry", np.uint64), get("cls", np.int64), get("size", np.uint32)
+    raw = {c: [x.as_py() for x in table.column(c)] for c in ("entry", "names", "cls", "many")}
+    entry = [np.frombuffer(x, np.uint64) for x in raw["entry"]]
+    cls = [np.frombuffer(n, np.int64)[np.frombuffer(i, np.uint16 if len(i) == len(e) // 4 else np.uint32)] for n, i, e in zip(raw["names"], raw["cls"], raw["entry"], strict=True)]
     through = [i for i in range(len(kind)) if kind[i]]
     here = [i for i in range(len(kind)) if not kind[i]]
-    out = [[x[i] for i in through] for x in (entry, cls, size)]
+    out = [[x[i] for i in through] for x in (entry, cls)]
     if here:
-        e, c, n = (np.concatenate([x[i] for i in here]) for x in (entry, cls, size))
-        packed = [x.as_py() for x in table.column("many")]
-        many = np.concatenate([np.unpackbits(np.frombuffer(packed[i], np.uint8), count=len(entry[i])).astype(bool) for i in here])
+        e, c = (np.concatenate([x[i] for i in here]) for x in (entry, cls))
+        many = np.concatenate([np.unpackbits(np.frombuffer(raw["many"][i], np.uint8), count=len(entry[i])).astype(bool) for i in here])
         order = np.lexsort((~many, c, e))
-        e, c, n, many = e[order], c[order], n[order], many[order]
+        e, c, many = e[order], c[order], many[order]
         new = np.ones(len(e), bool)
         new[1:] = (e[1:] != e[:-1]) | (c[1:] != c[:-1])
-        e, c, n, many = e[new], c[new], n[new], many[new]
+        e, c, many = e[new], c[new], many[new]
         first = np.flatnonzero(np.concatenate([[True], e[1:] != e[:-1]]))
         times = np.diff(np.append(first, len(e)))
         any_many = np.add.reduceat(many, first, dtype=np.int64) > 0
@@ -258,9 +260,8 @@ def _meetings(table: pa.Table) -> pa.Table:
         pick = np.repeat(keep & met, times) & ~many
         out[0].append(np.repeat(name, times)[pick])
         out[1].append(c[pick])
-        out[2].append(n[pick])
-    meeting, cls, size = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
-    return pa.table({"meeting": pa.array(meeting.view(np.int64), pa.int64()), "cls": pa.array(cls, pa.int64()), "size": pa.array(size, pa.int64())})
+    meeting, cls = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in out)
+    return pa.table({"meeting": pa.array(meeting.view(np.int64), pa.int64()), "cls": pa.array(cls, pa.int64())})
 
 
 def _identify(k: int):
@@ -285,7 +286,7 @@ def _class_texts(k: int):
                 first = first[cls[first] != 0]
                 bits = parity_bits(h, cut)[first]
                 bits = pa.FixedSizeListArray.from_arrays(pa.array(bits.ravel(), pa.int64()), BITS // 64).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(cls[first], pa.int64()), part.take(pa.array(first)), bits], ["cls", "text", "bits"])
+                yield pa.RecordBatch.from_arrays([pa.array(cls[first], pa.int64()), pa.array(np.diff(cut)[first], pa.int64()), part.take(pa.array(first)), bits], ["cls", "size", "text", "bits"])
 
     return run
 
@@ -356,7 +357,7 @@ def _links(texts: DataFrame, base: DataFrame, k: int, j: Fraction, num: int, den
     width = F.lit(bands.sizes.tolist())
     band = F.size(F.filter(width, lambda s: s <= F.col("size"))) - 1
     held = dict(base.where("size > 0").groupBy(band.alias("band")).agg(F.count(F.lit(1)).alias("n")).collect())
-    plan = np.zeros((len(bands.sizes), 3), np.int64)
+    plan = np.zeros((len(bands.sizes), 4), np.int64)
     entries = 0
     for i in range(len(bands.sizes) - 1):
         sets = held.get(i, 0) + held.get(i + 1, 0)
@@ -366,14 +367,14 @@ def _links(texts: DataFrame, base: DataFrame, k: int, j: Fraction, num: int, den
     if not entries:
         return None
     shards = max(1, math.ceil(entries / ENTRIES_PER_SHARD))
-    index = texts.mapInArrow(_index_rows(k, bands, plan, shards), "shard int, kind byte, entry binary, cls binary, size binary, many binary")
-    members = checkpointed(index.groupBy("shard").applyInArrow(_meetings, "meeting long, cls long, size long").distinct())
+    index = texts.mapInArrow(_index_rows(k, bands, plan, shards), "shard int, kind byte, entry binary, names binary, cls binary, many binary")
+    members = checkpointed(index.groupBy("shard").applyInArrow(_meetings, "meeting long, cls long").distinct())
     active = members.select("cls").distinct()
-    by_class = texts.mapInArrow(_class_texts(k), "cls long, text string, bits array<long>").join(active, "cls", "left_semi").groupBy("cls").agg(F.any_value("text").alias("text"), F.any_value("bits").alias("bits"))
+    by_class = texts.mapInArrow(_class_texts(k), "cls long, size long, text string, bits array<long>").join(active, "cls", "left_semi").groupBy("cls").agg(F.any_value("text").alias("text"), F.any_value("bits").alias("bits"), F.any_value("size").alias("size"))
     by_class, path = stash(by_class)
     # how many meetings a class is in: the text that others are copies of is in most
     degree = members.groupBy("cls").agg(F.count(F.lit(1)).alias("degree"))
-    members = checkpointed(members.join(by_class.select("cls", "bits"), "cls").join(degree, "cls"))
+    members = checkpointed(members.join(by_class.select("cls", "size", "bits"), "cls").join(degree, "cls"))
     label, leaders = None, 1
     while True:
         at = members.withColumn("component", F.col("cls")) if label is None else members.join(label, F.col("cls") == F.col("node"), "left").select(*members.columns, F.coalesce("component", "cls").alias("component"))
