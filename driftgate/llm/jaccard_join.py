@@ -56,6 +56,7 @@ LISTED = 8  # sets of one task and entry that are listed one by one
 ENTRIES_PER_SHARD = 700_000
 LEADERS = 1_024  # of a meeting, in each round after the first
 BITS = 512
+WIDE_FROM = 768  # tokens from which a set has more parity bits, in a column of its own
 
 
 def shingle_sets(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -284,9 +285,9 @@ def _class_texts(k: int):
                 cls = classes(h, cut)
                 _, first = np.unique(cls, return_index=True)
                 first = first[cls[first] != 0]
-                bits = parity_bits(h, cut)[first]
+                bits, wide = parity_bits(h, cut)[first], wide_bits(h, cut)
                 bits = pa.FixedSizeListArray.from_arrays(pa.array(bits.ravel(), pa.int64()), BITS // 64).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(cls[first], pa.int64()), pa.array(np.diff(cut)[first], pa.int64()), part.take(pa.array(first)), bits], ["cls", "size", "text", "bits"])
+                yield pa.RecordBatch.from_arrays([pa.array(cls[first], pa.int64()), pa.array(np.diff(cut)[first], pa.int64()), part.take(pa.array(first)), bits, pa.array([wide[i] for i in first], pa.binary())], ["cls", "size", "text", "bits", "wide"])
 
     return run
 
@@ -299,6 +300,38 @@ def parity_bits(h: np.ndarray, cut: np.ndarray) -> np.ndarray:
     return np.packbits(odd.reshape(len(cut) - 1, BITS), axis=1).view(np.int64)
 
 
+def wide_bits(h: np.ndarray, cut: np.ndarray) -> list[bytes | None]:
+    """Parity bits of larger sets, about one for two tokens; halves fold onto each other for a set of another length."""
+    out: list[bytes | None] = []
+    for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+        if b - a < WIDE_FROM:
+            out.append(None)
+            continue
+        bits = 1 << (b - a - 1).bit_length() - 1
+        at = (mix(h[a:b] ^ np.uint64(0xB17)) & np.uint64(bits - 1)).astype(np.int64)
+        out.append(np.packbits((np.bincount(at, minlength=bits) & 1).astype(np.uint8)).tobytes())
+    return out
+
+
+def _plausible(num: int, den: int):
+    """Of rows (a, b, sizes, wide_a, wide_b), the pairs whose wide bits allow the similarity."""
+
+    def run(batches):
+        for batch in batches:
+            good = []
+            for total, x, y in zip(batch.column(2).to_pylist(), batch.column(3), batch.column(4), strict=True):
+                x, y = np.frombuffer(x.as_py(), np.uint8), np.frombuffer(y.as_py(), np.uint8)
+                if len(x) < len(y):
+                    x, y = y, x
+                while len(x) > len(y):
+                    x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+                good.append(int(np.bitwise_count(x ^ y).sum()) * (den + num) <= total * (den - num))
+            pick = pa.array(good, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pick) for c in (0, 1)], ["a", "b"])
+
+    return run
+
+
 def _verified(k: int, num: int, den: int):
     """Of rows (a, b, text_a, text_b), the pairs (a, b) with a similarity of num / den or more."""
 
@@ -370,7 +403,7 @@ def _links(texts: DataFrame, base: DataFrame, k: int, j: Fraction, num: int, den
     index = texts.mapInArrow(_index_rows(k, bands, plan, shards), "shard int, kind byte, entry binary, names binary, cls binary, many binary")
     members = checkpointed(index.groupBy("shard").applyInArrow(_meetings, "meeting long, cls long").distinct())
     active = members.select("cls").distinct()
-    by_class = texts.mapInArrow(_class_texts(k), "cls long, size long, text string, bits array<long>").join(active, "cls", "left_semi").groupBy("cls").agg(F.any_value("text").alias("text"), F.any_value("bits").alias("bits"), F.any_value("size").alias("size"))
+    by_class = texts.mapInArrow(_class_texts(k), "cls long, size long, text string, bits array<long>, wide binary").join(active, "cls", "left_semi").groupBy("cls").agg(F.any_value("text").alias("text"), F.any_value("bits").alias("bits"), F.any_value("size").alias("size"), F.any_value("wide").alias("wide"))
     by_class, path = stash(by_class)
     # how many meetings a class is in: the text that others are copies of is in most
     degree = members.groupBy("cls").agg(F.count(F.lit(1)).alias("degree"))
@@ -389,7 +422,13 @@ def _links(texts: DataFrame, base: DataFrame, k: int, j: Fraction, num: int, den
         apart = sum((F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("l.bits")[i])) for i in range(BITS // 64)), F.lit(0))
         close = apart * (den + num) <= (F.col("size") + F.col("l.size")) * (den - num)
         pairs = open_.join(lead, (F.col("meeting") == F.col("of")) & (F.col("component") != F.col("l.component")) & sizes & close)
-        pairs = pairs.select(F.least("cls", "l.cls").alias("a"), F.greatest("cls", "l.cls").alias("b")).distinct()
+        total, large = F.col("size") + F.col("l.size"), F.least("size", "l.size") >= WIDE_FROM
+        pairs = checkpointed(pairs.select(F.least("cls", "l.cls").alias("a"), F.greatest("cls", "l.cls").alias("b"), total.alias("total"), large.alias("large")).distinct())
+        # large sets: their wide bits travel first, a small part of their texts
+        wide = by_class.select("cls", "wide")
+        big = pairs.where("large").join(wide.toDF("a", "wide_a"), "a").join(wide.toDF("b", "wide_b"), "b")
+        big = big.select("a", "b", "total", "wide_a", "wide_b").mapInArrow(_plausible(num, den), "a long, b long")
+        pairs = pairs.where("not large").select("a", "b").union(big)
         left, right = by_class.select("cls", "text").toDF("a", "text_a"), by_class.select("cls", "text").toDF("b", "text_b")
         found = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified(k, num, den), "a long, b long")
         edges = checkpointed(found)
