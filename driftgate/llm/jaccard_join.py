@@ -423,15 +423,19 @@ def _links(texts: DataFrame, base: DataFrame, k: int, j: Fraction, num: int, den
         close = apart * (den + num) <= (F.col("size") + F.col("l.size")) * (den - num)
         pairs = open_.join(lead, (F.col("meeting") == F.col("of")) & (F.col("component") != F.col("l.component")) & sizes & close)
         total, large = F.col("size") + F.col("l.size"), F.least("size", "l.size") >= WIDE_FROM
-        pairs = checkpointed(pairs.select(F.least("cls", "l.cls").alias("a"), F.greatest("cls", "l.cls").alias("b"), total.alias("total"), large.alias("large")).distinct())
+        # written tables, not checkpoints: their sizes are known, so few pairs fetch texts without shuffling these
+        pairs, *old = stash(pairs.select(F.least("cls", "l.cls").alias("a"), F.greatest("cls", "l.cls").alias("b"), total.alias("total"), large.alias("large")).distinct())
         # large sets: their wide bits travel first, a small part of their texts
         wide = by_class.select("cls", "wide")
         big = pairs.where("large").join(wide.toDF("a", "wide_a"), "a").join(wide.toDF("b", "wide_b"), "b")
         big = big.select("a", "b", "total", "wide_a", "wide_b").mapInArrow(_plausible(num, den), "a long, b long")
-        pairs = pairs.where("not large").select("a", "b").union(big)
+        pairs, path_of = stash(pairs.where("not large").select("a", "b").union(big))
+        old.append(path_of)
         left, right = by_class.select("cls", "text").toDF("a", "text_a"), by_class.select("cls", "text").toDF("b", "text_b")
         found = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified(k, num, den), "a long, b long")
         edges = checkpointed(found)
+        for x in old:
+            drop(spark, x)
         if not edges.isEmpty():
             label = merged(label, edges)
         gone = lead.select(F.col("of").alias("meeting"), F.col("l.cls").alias("cls"))
