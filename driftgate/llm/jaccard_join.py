@@ -431,8 +431,9 @@ def _links(texts: DataFrame, base: DataFrame, k: int, j: Fraction, num: int, den
         big = big.select("a", "b", "total", "wide_a", "wide_b").mapInArrow(_plausible(num, den), "a long, b long")
         pairs, path_of = stash(pairs.where("not large").select("a", "b").union(big))
         old.append(path_of)
-        left, right = by_class.select("cls", "text").toDF("a", "text_a"), by_class.select("cls", "text").toDF("b", "text_b")
-        found = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_verified(k, num, den), "a long, b long")
+        text = by_class.select("cls", "text")
+        left, right = pairs.join(text.toDF("a", "text_a"), "a"), pairs.join(text.toDF("b", "text_b"), "b")
+        found = left.join(right, ["a", "b"]).select("a", "b", "text_a", "text_b").mapInArrow(_verified(k, num, den), "a long, b long")
         edges = checkpointed(found)
         for x in old:
             drop(spark, x)
