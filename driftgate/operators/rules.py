@@ -200,6 +200,11 @@ class RuleSet:
 
     rules: tuple[Rule, ...] = ()
 
+    def __post_init__(self):
+        names = [r.name for r in self.rules]
+        if len(set(names)) < len(names):
+            raise RuleError(f"duplicate rule name: {max(names, key=names.count)}")
+
     def add(self, rule: Rule) -> "RuleSet":
         if any(r.name == rule.name for r in self.rules):
             raise RuleError(f"duplicate rule name: {rule.name}")

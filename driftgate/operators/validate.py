@@ -173,7 +173,8 @@ def _first_occurrence(df: DataFrame, rule: Rule, row_id: list[str], i: int) -> t
         # one fixed-width column: a plain min keeps the aggregate hash-based
         order = F.col(f"`{order_cols[0]}`")
     else:
-        order = F.struct(*[F.col(f"`{c}`") for c in order_cols])
+        # NULLs come last, as in the plain minimum above
+        order = F.struct(*[x for c in order_cols for x in (F.col(f"`{c}`").isNull().alias(f"{c}_null"), F.col(f"`{c}`"))])
     keyed = df.withColumn(f"_uo{i}", order)
     firsts = (
         keyed.select(key.alias(f"_uk{i}"), F.col(f"_uo{i}"))
@@ -181,7 +182,8 @@ def _first_occurrence(df: DataFrame, rule: Rule, row_id: list[str], i: int) -> t
         .agg(F.min(f"_uo{i}").alias(f"_uf{i}"))
     )
     joined = keyed.join(firsts, key.eqNullSafe(F.col(f"_uk{i}")), "inner")
-    return joined, F.col(f"_uo{i}") == F.col(f"_uf{i}")
+    # null-safe: a row with a NULL order value is either first or not, never lost
+    return joined, F.col(f"_uo{i}").eqNullSafe(F.col(f"_uf{i}"))
 
 
 def split(validated: Validated) -> tuple[DataFrame, DataFrame]:

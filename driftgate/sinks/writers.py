@@ -167,13 +167,13 @@ def remove_batch(spark, path: str, batch_id: str, partition_by: list[str] | tupl
     else's rows; the kept rows are checkpointed first, so the overwrite never
     reads the files it replaces.
     """
-    try:
-        # mergeSchema: files written before a column was added must keep the
-        # newer columns when rewritten (types never diverge: every write is
-        # conformed to the registry first).
-        table = spark.read.option("mergeSchema", "true").parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath):
+        return  # nothing written yet; any error while reading what exists raises
+    # mergeSchema: files written before a column was added must keep the
+    # newer columns when rewritten (types never diverge: every write is
+    # conformed to the registry first).
+    table = spark.read.option("mergeSchema", "true").parquet(path)
     if BATCH_ID not in table.columns:
         return
     parts = list(partition_by)
@@ -188,5 +188,6 @@ def remove_batch(spark, path: str, batch_id: str, partition_by: list[str] | tupl
     from ..session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(spark)
-    keep = in_touched.filter(F.col(BATCH_ID) != batch_id).checkpoint(eager=True)
+    # null-safe: rows without a batch id belong to no failed batch and stay
+    keep = in_touched.filter(~F.col(BATCH_ID).eqNullSafe(batch_id)).checkpoint(eager=True)
     rewrite_partitions(spark, path, keep, touched, parts)

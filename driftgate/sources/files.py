@@ -53,21 +53,3 @@ def read_raw(
 def is_empty(df: DataFrame) -> bool:
     """True when the batch has no rows; reads at most one row."""
     return df.isEmpty()
-
-
-def ensure_parallel(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores.
-
-    A large table stored as one unsplittable file (one row group) is read by
-    one task, and everything narrow after the scan -- projections, broadcast
-    joins, partial aggregates -- then runs in that task.  When the scan has
-    fewer partitions than ``min_partitions`` (default: the default
-    parallelism) the rows are round-robin repartitioned; a scan that is
-    already wide (many files, as at scale) is returned unchanged, with no
-    shuffle added.  Meant for a plain file scan (``read_raw`` output):
-    counting its splits plans the scan and runs no job.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)

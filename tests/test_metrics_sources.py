@@ -144,15 +144,3 @@ def test_malformed_key_escape_is_not_admitted(spark):
     doc = json.dumps({"Records": [{"eventSource": "aws:s3", "s3": {"bucket": {"name": "b"}, "object": {"key": "raw/orders/bad%zz.csv", "size": 3}}}]})
     out = parse_events(spark.createDataFrame([(doc,)], "body string"), "body", "raw/orders/")
     assert out.count() == 0  # try_url_decode gives NULL instead of failing the job
-
-
-def test_ensure_parallel_spreads_only_narrow_scans(spark, tmp_dir):
-    from driftgate.sources.files import ensure_parallel
-
-    spark.range(1000).coalesce(1).write.parquet(tmp_dir + "/one")
-    one = spark.read.parquet(tmp_dir + "/one")
-    assert one.rdd.getNumPartitions() == 1
-    assert ensure_parallel(one, 4).rdd.getNumPartitions() == 4
-    spark.range(1000).repartition(6).write.parquet(tmp_dir + "/six")
-    six = spark.read.parquet(tmp_dir + "/six")
-    assert ensure_parallel(six, 4) is six  # already wide: returned unchanged, no shuffle
