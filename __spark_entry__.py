@@ -33,9 +33,9 @@ from driftgate.sources import driver_tables as dt  # noqa: E402
 # The training-data operators live in one optional subpackage; without it the
 # rest of the library and its queries work as they are.
 try:
-    from driftgate.llm import queries as _llm
+    import driftgate.llm.queries as _llm
 except ModuleNotFoundError as missing:
-    if missing.name != "driftgate.llm":
+    if missing.name not in ("driftgate.llm", "driftgate.llm.queries"):
         raise
     _llm = None
 try:
