@@ -19,12 +19,19 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql.types import StructType  # noqa: E402
 
 from driftgate.operators.alerts import check_thresholds  # noqa: E402
 from driftgate.operators.evolve import conform  # noqa: E402
 from driftgate.operators.metrics import collect_metrics, duplicate_count, null_counts, numeric_summary  # noqa: E402
-from driftgate.operators.schema_diff import batch_compatibility, diff_batches, infer_batch_types  # noqa: E402
-from driftgate.operators.validate import FAILED  # noqa: E402
+from driftgate.operators.rules import INFO, WARNING, Rule, RuleSet  # noqa: E402
+from driftgate.operators.schema_diff import (  # noqa: E402
+    batch_compatibility,
+    diff_batches,
+    infer_batch_types,
+    infer_cell_types,
+)
+from driftgate.operators.validate import FAILED, VALID, validate  # noqa: E402
 from driftgate.plans import analytics as A  # noqa: E402
 from driftgate.plans import orders as O  # noqa: E402
 from driftgate.plans.oracle_sql import ORACLE  # noqa: E402
@@ -119,6 +126,50 @@ def _batch_compatibility(spark: SparkSession, sf: str) -> DataFrame:
     return batch_compatibility(_batch_types(spark, sf), O.ORDERS_SCHEMA)
 
 
+def _feed_types(spark: SparkSession, sf: str) -> tuple[DataFrame, StructType]:
+    return infer_cell_types(dt.feed_cells(spark, sf)), StructType.fromDDL(dt.FEED_SCHEMA)
+
+
+def _feed_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """D1-D4 over daily files whose headers differ."""
+    return diff_batches(*_feed_types(spark, sf))
+
+
+def _feed_compatibility(spark: SparkSession, sf: str) -> DataFrame:
+    """D5/D6 over the same files: safe and unsafe changes both occur."""
+    return batch_compatibility(*_feed_types(spark, sf))
+
+
+def _validation_balance(spark: SparkSession, sf: str) -> DataFrame:
+    """V2/V8 where a third of the order values is NULL: valid + invalid is every row."""
+    seen = F.when(F.col("_l_partkey") % 3 != 0, F.col("_ingest_ts"))
+    raw = dt.raw_orders(spark, sf).withColumn("_seen", seen)
+    rules = RuleSet((Rule.unique("customer_id", order_by=["_seen", *dt.LINE_ORDER, "_ingest_ts", "order_id"]), Rule.range("quantity", min=1)))
+    return validate(raw, rules, row_id=[]).flagged.agg(
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col(VALID)).alias("valid"),
+        F.count_if(~F.col(VALID)).alias("invalid"),
+    )
+
+
+def _rule_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Type, pattern, custom and unanswerable rules of every severity."""
+    rules = RuleSet(
+        (
+            Rule.datatype("order_date", "date", severity=WARNING),
+            Rule.pattern("order_id", "^[0-9]+-[1-3]$", severity=INFO),
+            Rule.expr("price_below_1500", "price < 1500"),
+            Rule.not_null("coupon"),
+        )
+    )
+    return validate(dt.raw_orders(spark, sf), rules, row_id=[]).results().drop("error_message")
+
+
+def _quality_summary(spark: SparkSession, sf: str) -> DataFrame:
+    p = O.raw_pipeline(spark, sf)
+    return A.quality_summary(p.valid, O.quarantine_orders(p))
+
+
 def _conformed_rows(spark: SparkSession, sf: str) -> DataFrame:
     """E4-E7 'match': the raw batch cast onto the registered schema, new columns dropped."""
     typed = conform(dt.raw_orders(spark, sf), O.ORDERS_SCHEMA, keep_new=False)
@@ -168,6 +219,10 @@ def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rescued_values": _rescued_values,
         "schema_drift_by_batch": _schema_drift_by_batch,
         "batch_compatibility": _batch_compatibility,
+        "feed_drift": _feed_drift,
+        "feed_compatibility": _feed_compatibility,
+        "validation_balance": _validation_balance,
+        "rule_types": _rule_types,
         "conformed_rows": _conformed_rows,
         "duplicate_rows": _duplicate_rows,
         "numeric_summary": _numeric_summary,
@@ -175,9 +230,7 @@ def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clean_count": _clean(A.clean_count),
         "count_by_day": _clean(A.count_by_day),
         "quarantine_count": _quar(A.quarantine_count),
-        "quality_summary": lambda spark, sf: A.quality_summary(
-            O.clean_orders(spark, sf), O.quarantine_orders(O.raw_pipeline(spark, sf))
-        ),
+        "quality_summary": _quality_summary,
         "null_check": _clean(A.null_check),
         "duplicate_ids": _clean(A.duplicate_ids),
         "revenue_by_day": _clean(A.revenue_by_day),

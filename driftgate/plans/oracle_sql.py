@@ -11,7 +11,7 @@ Rounding twins: averages and shares use the same integer half-up as
 
 from __future__ import annotations
 
-from ..sources.driver_tables import CLEAN_ORDERS_SQL, RAW_ORDERS_SQL
+from ..sources.driver_tables import CLEAN_ORDERS_SQL, FEED_SQL, RAW_ORDERS_SQL
 
 AS_OF = "DATE '2001-08-01'"
 
@@ -86,10 +86,6 @@ def _quar(body: str) -> str:
     return _with(PIPELINE_CTES) + body
 
 
-def _both(body: str) -> str:
-    return _with(CLEAN_CTE, PIPELINE_CTES) + body
-
-
 BUSINESS = "order_id, customer_id, product_name, quantity, CAST(price AS DOUBLE) AS price, order_date, status, region, shipping_method"
 
 ORACLE: dict[str, str] = {
@@ -214,8 +210,8 @@ ORACLE.update(
             "GROUP BY year, month, day ORDER BY year DESC, month DESC, day DESC"
         ),
         "quarantine_count": _quar("SELECT CAST(count(*) AS BIGINT) AS total_quarantined_records FROM quarantine_orders"),
-        "quality_summary": _both(
-            "SELECT 'Clean Records' AS category, CAST(count(*) AS BIGINT) AS count FROM clean_orders "
+        "quality_summary": _quar(
+            "SELECT 'Clean Records' AS category, CAST(count_if(is_valid) AS BIGINT) AS count FROM flagged "
             "UNION ALL SELECT 'Quarantined Records' AS category, CAST(count(*) AS BIGINT) AS count FROM quarantine_orders"
         ),
         "null_check": _clean(
@@ -366,3 +362,36 @@ ORACLE["batch_compatibility"] = _with(
 ) + f"""SELECT i.batch, CAST(count(c.batch) AS INTEGER) AS change_count,
        bool_and(c.batch IS NULL OR (c.old_type, c.new_type) IN ({_SAFE})) AS is_backward_compatible
 FROM inferred i LEFT JOIN changes c ON c.batch = i.batch GROUP BY i.batch"""
+
+# ---- header drift by day, rule types, balance ----------------------------------
+_FEED = (
+    f"feed AS ({FEED_SQL})",
+    f"days AS (SELECT batch, kind, {_infer_sql('customer_id')} AS t_customer, {_infer_sql('total')} AS t_total FROM feed GROUP BY batch, kind)",
+    """changes AS (
+  SELECT batch, 'new_column' AS change_type, 'coupon' AS column_name, CAST(NULL AS VARCHAR) AS old_type, 'string' AS new_type FROM days WHERE kind = 2
+  UNION ALL SELECT batch, 'missing_column', 'priority', 'string', NULL FROM days WHERE kind = 1
+  UNION ALL SELECT batch, 'column_order_change', NULL, NULL, NULL FROM days WHERE kind = 3
+  UNION ALL SELECT batch, 'datatype_change', 'customer_id', 'int', t_customer FROM days WHERE t_customer <> 'int'
+  UNION ALL SELECT batch, 'datatype_change', 'total', 'double', t_total FROM days WHERE t_total <> 'double')""",
+)
+ORACLE["feed_drift"] = _with(*_FEED) + "SELECT * FROM changes"
+ORACLE["feed_compatibility"] = _with(*_FEED) + f"""
+SELECT d.batch, CAST(count(c.change_type) AS INTEGER) AS change_count,
+       COALESCE(bool_and(c.change_type <> 'missing_column' AND (c.change_type <> 'datatype_change' OR (c.old_type, c.new_type) IN ({_SAFE}))), true) AS is_backward_compatible
+FROM days d LEFT JOIN changes c ON c.batch = d.batch GROUP BY d.batch"""
+ORACLE["validation_balance"] = _with(f"raw_orders AS ({RAW_ORDERS_SQL})") + """
+SELECT CAST(count(*) AS BIGINT) AS total, CAST(count_if(ok) AS BIGINT) AS valid, CAST(count_if(NOT ok) AS BIGINT) AS invalid
+FROM (SELECT COALESCE(quantity >= 1, false) AND row_number() OVER (
+               PARTITION BY customer_id
+               ORDER BY CASE WHEN _l_partkey % 3 <> 0 THEN _ingest_ts END NULLS LAST, _l_partkey, _l_suppkey, _l_shipdate,
+                        _l_extendedprice, _l_quantity, _ingest_ts, order_id NULLS LAST) = 1 AS ok
+      FROM raw_orders)"""
+ORACLE["rule_types"] = _with(f"raw_orders AS ({RAW_ORDERS_SQL})") + " UNION ALL ".join(
+    f"SELECT '{name}' AS rule_name, {column} AS column_name, count_if(NOT {ok}) = 0 AS passed, CAST(count_if(NOT {ok}) AS BIGINT) AS failed_count, "
+    f"CAST(count(*) AS BIGINT) AS total_count, CAST(count_if(NOT {ok}) AS DOUBLE) / count(*) * 100.0 AS failure_percentage, '{severity}' AS severity FROM raw_orders"
+    for name, column, severity, ok in (
+        ("order_date_datatype", "'order_date'", "warning", "(TRY_CAST(order_date AS DATE) IS NOT NULL)"),
+        ("order_id_pattern", "'order_id'", "info", "COALESCE(regexp_matches(order_id, '^[0-9]+-[1-3]$'), false)"),
+        ("price_below_1500", "CAST(NULL AS VARCHAR)", "error", "COALESCE(price < 1500, false)"),
+    )
+) + " UNION ALL SELECT 'coupon_not_null', 'coupon', false, 0, 0, 0.0, 'error'"

@@ -14,7 +14,7 @@ are total.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TABLES = (
@@ -124,6 +124,39 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The registered schema of the daily order feed below.
+FEED_SCHEMA = "order_id string, customer_id int, total double, order_date date, priority string"
+
+
+def feed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily files of orders whose header drifts, as text cells ``(batch, position, column_name, value)``.
+
+    The day of the month mod 6 says how: 1 has no priority, 2 a new coupon,
+    3 total before customer_id, 4 customer ids beyond int, 5 a total that is
+    text for some orders; 0 is as registered.
+    """
+    o = table(spark, sf_dir, "orders")
+    batch = F.col("o_orderdate").cast("date")
+    kind = F.dayofmonth(batch) % 6
+
+    def cell(position, name, value):
+        at = position if isinstance(position, Column) else F.lit(position)
+        return F.struct(at.alias("position"), F.lit(name).alias("column_name"), value.cast("string").alias("value"))
+
+    key, customer, total = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice").cast("string")
+    cells = F.array_compact(
+        F.array(
+            cell(0, "order_id", F.concat(F.lit("O"), key.cast("string"))),
+            cell(F.when(kind == 3, 2).otherwise(1), "customer_id", F.when(kind == 4, customer * 10_000_000_000).otherwise(customer)),
+            cell(F.when(kind == 3, 1).otherwise(2), "total", F.when((kind == 5) & (key % 2 == 0), "n/a").otherwise(total)),
+            cell(3, "order_date", batch),
+            F.when(kind != 1, cell(4, "priority", F.col("o_orderpriority"))),
+            F.when(kind == 2, cell(5, "coupon", F.when(key % 3 == 0, "SAVE"))),
+        )
+    )
+    return o.select(batch.alias("batch"), F.inline(cells))
+
+
 # ---------------------------------------------------------------------------
 # The same views as SQL text, for cross-engine checks (DuckDB dialect; the
 # driver tables are registered under their own names).
@@ -170,3 +203,10 @@ SELECT CASE WHEN l_orderkey % 101 <> 0 THEN CAST(l_orderkey AS VARCHAR) || '-' |
        l_partkey AS _l_partkey, l_suppkey AS _l_suppkey, l_shipdate AS _l_shipdate,
        l_extendedprice AS _l_extendedprice, l_quantity AS _l_quantity
 {_JOIN_SQL}"""
+
+FEED_SQL = """
+SELECT CAST(o_orderdate AS DATE) AS batch,
+       day(o_orderdate) % 6 AS kind,
+       CAST(CASE WHEN day(o_orderdate) % 6 = 4 THEN o_custkey * 10000000000 ELSE o_custkey END AS VARCHAR) AS customer_id,
+       CASE WHEN day(o_orderdate) % 6 = 5 AND o_orderkey % 2 = 0 THEN 'n/a' ELSE CAST(o_totalprice AS VARCHAR) END AS total
+  FROM orders"""

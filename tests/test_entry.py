@@ -6,9 +6,8 @@ import __spark_entry__ as E
 
 
 def test_every_query_has_a_twin_except_the_approximate_one():
-    q, o = set(E.queries()), set(E.oracle_sql())
-    assert o <= q
-    assert q - o == {"numeric_summary"}
+    assert set(E.oracle_sql()) <= set(E.queries())
+    assert set(E._reference_queries()) - set(E.oracle_sql()) == {"numeric_summary"}
 
 
 def test_entry_schema(spark):
@@ -19,13 +18,13 @@ def test_entry_schema(spark):
 
 
 def test_queries_are_lazy(spark):
-    """Building every registered query plans it but runs no job."""
+    """Building a query plans it but runs no job (iterative ones of the optional subpackage do)."""
     from tests.conftest import SF001
 
     sc = spark.sparkContext
     sc.setJobGroup("build-queries", "building the registered queries")
     try:
-        for name, fn in E.queries().items():
+        for name, fn in E._reference_queries().items():
             assert fn(spark, SF001).columns, name
         assert list(sc.statusTracker().getJobIdsForGroup("build-queries")) == []
     finally:
