@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.types import all_nullable
+from ..sinks.writers import path_exists
 
 REGISTRY_SCHEMA = "table_name string, version int, schema_json string, batch_id string, registered_at timestamp"
 
@@ -46,10 +47,9 @@ class SchemaRegistry:
         self.path = path
 
     def _read(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(REGISTRY_SCHEMA).parquet(self.path)
-        except Exception:  # noqa: BLE001 - no registry written yet
-            return None
+        if not path_exists(self.spark, self.path):
+            return None  # no version published yet; an unreadable registry raises
+        return self.spark.read.schema(REGISTRY_SCHEMA).parquet(self.path)
 
     def history(self, table_name: str) -> DataFrame:
         df = self._read()

@@ -10,9 +10,9 @@ executor only loses cached blocks, which Spark recomputes from the (file
 scan) lineage; the row ids used by UNIQUE are stable under that recompute
 because they are assigned right after the file scan.
 
-Idempotence: every row carries ``_batch_id``; a batch found in the run log is
-skipped, a batch that wrote rows but never reached the run log is removed
-first and then redone.
+Idempotence: every row carries ``_batch_id`` and a batch is marked as started
+before it writes; a batch found in the run log is skipped, the rows of one that
+was started but never reached the run log are removed first and then redone.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from ..operators.rules import RuleSet
 from ..operators.schema_diff import Comparison, detect
 from ..operators.validate import FAILED, VALID, Validated, validate
 from ..settings import TableSpec
-from ..sinks.writers import BATCH_ID, remove_batch, to_quarantine, with_partitions, write_partitioned, write_rows
+from ..sinks.writers import BATCH_ID, path_exists, remove_batch, to_quarantine, with_partitions, write_partitioned, write_rows
 
 SCHEMA_INCOMPATIBLE = "schema_incompatible"
 
@@ -106,15 +106,36 @@ def _write_log_row(spark: SparkSession, spec: TableSpec, row: DataFrame, batch_i
 
 
 def _committed(spark: SparkSession, spec: TableSpec, batch_id: str) -> bool:
-    try:
-        log = read_run_log(spark, spec)
-    except Exception:  # noqa: BLE001 - no run log yet
+    if not path_exists(spark, spec.run_log_path):
         return False
-    bucket = spark.range(1).select(_bucket_of(batch_id)).first()[0]  # partition value for pruning
-    hit = log.filter((F.col("bucket") == bucket) & (F.col("batch_id") == batch_id) & F.col("success"))
+    log = read_run_log(spark, spec)
+    hit = log.filter((F.col("bucket") == _bucket_value(spark, batch_id)) & (F.col("batch_id") == batch_id) & F.col("success"))
     return not hit.isEmpty()
 
 
+def _bucket_value(spark: SparkSession, batch_id: str) -> int:
+    return spark.range(1).select(_bucket_of(batch_id)).first()[0]  # a literal, so partitions are pruned
+
+
+def _started_path(spec: TableSpec) -> str:
+    return f"{spec.run_log_path.rstrip('/')}_started"
+
+
+def mark_started(spark: SparkSession, spec: TableSpec, batch_id: str) -> bool:
+    """Note that ``batch_id`` is about to write rows; True when an earlier attempt already was.
+
+    Only then can the layers hold rows of it, so a first attempt reads neither.
+    """
+    path = _started_path(spec)
+    if path_exists(spark, path):
+        marks = spark.read.schema("batch_id string, bucket int").parquet(path)
+        if not marks.filter((F.col("bucket") == _bucket_value(spark, batch_id)) & (F.col("batch_id") == batch_id)).isEmpty():
+            return True
+    mark = spark.range(1).select(F.lit(batch_id).alias("batch_id"), _bucket_of(batch_id).alias("bucket"))
+    mark.coalesce(1).write.mode("append").partitionBy("bucket").parquet(path)
+    return False
+
+
 def run_batch(
     spark: SparkSession,
     raw: DataFrame,
@@ -127,6 +148,7 @@ def run_batch(
     quarantine_ts: Column | None = None,
     timings: dict | None = None,
     on_incompatible: str = "evolve",
+    log_failures: bool = True,
 ) -> BatchOutcome:
     """Run one batch into the lake.
 
@@ -134,6 +156,7 @@ def run_batch(
     column or an unsafe type change): "evolve" (default) conforms and
     continues; "quarantine" sends the whole batch to quarantine with the
     reason ``schema_incompatible``; "fail" raises before anything is written.
+    ``log_failures=False``: the caller records a failure itself.
     """
     started = time.time()
     if quarantine_text_columns is None:
@@ -161,7 +184,8 @@ def run_batch(
     incompatible = not prepared.comparison.is_backward_compatible
     if incompatible and on_incompatible == "fail":
         error = SchemaDriftError(f"incompatible schema change: {[c.to_dict() for c in prepared.comparison.changes]}")
-        _log_failure(spark, spec, batch_id, started, error)
+        if log_failures:
+            log_failure(spark, spec, batch_id, started, error)
         raise error
     flagged = prepared.validated.flagged.withColumn(BATCH_ID, F.lit(batch_id))
     if incompatible and on_incompatible == "quarantine":
@@ -175,27 +199,16 @@ def run_batch(
     validated = Validated(flagged, prepared.validated.rules, prepared.validated.applied, prepared.validated.rule_errors)
     cached: list[DataFrame] = [flagged]
     try:
-        for path in (spec.clean_path, spec.quarantine_path):
-            remove_batch(spark, path, batch_id, spec.partition_by)
+        if mark_started(spark, spec, batch_id):
+            for path in (spec.clean_path, spec.quarantine_path):
+                remove_batch(spark, path, batch_id, spec.partition_by)
         step("remove_half_written")
 
         clean = with_partitions(validated.valid.drop(RESCUED), spec.date_column)
         quarantine = with_partitions(
             to_quarantine(validated.invalid, quarantine_ts, quarantine_text_columns), spec.date_column
         )
-        # How many partitions each layer gets: one small aggregate over the
-        # persisted rows (it also materialises them), deciding the write plan.
-        part_cols = [F.col(c) for c in spec.partition_by]
-        spread = (
-            with_partitions(flagged, spec.date_column)
-            .agg(
-                F.count_distinct(F.when(F.col(VALID), F.struct(*part_cols))).alias("clean_parts"),
-                F.count_distinct(F.when(~F.col(VALID), F.struct(*part_cols))).alias("quarantine_parts"),
-            )
-            .first()
-        )
-        step("materialise")
-        write_partitioned(clean, spec.clean_path, spec.partition_by, distinct_partitions=spread["clean_parts"])
+        write_partitioned(clean, spec.clean_path, spec.partition_by)
         step("write_clean")
 
         metrics = collect_metrics(
@@ -205,9 +218,7 @@ def run_batch(
         m = metrics.select("total_records", "valid_records", "invalid_records", "duplicate_records", "data_quality_score").first().asDict()
         step("metrics")
         if m["invalid_records"] > 0:  # S10: skipped when nothing failed
-            write_partitioned(
-                quarantine, spec.quarantine_path, spec.partition_by, distinct_partitions=spread["quarantine_parts"]
-            )
+            write_partitioned(quarantine, spec.quarantine_path, spec.partition_by)
         step("write_quarantine")
 
         alerts = check_thresholds(metrics, spec.thresholds).persist()
@@ -236,16 +247,17 @@ def run_batch(
         return BatchOutcome(batch_id, comparison=prepared.comparison, metrics=m, alerts=alert_rows, duration_sec=duration)
     except Exception as exc:
         # A failed batch leaves a failure row (not a commit marker) and re-raises.
-        _log_failure(spark, spec, batch_id, started, exc)
+        if log_failures:
+            log_failure(spark, spec, batch_id, started, exc)
         raise
     finally:
         for df in cached:
             df.unpersist()
 
 
-def _log_failure(spark: SparkSession, spec: TableSpec, batch_id: str, started: float, exc: BaseException) -> None:
+def log_failure(spark: SparkSession, spec: TableSpec, batch_id: str, started: float, exc: BaseException) -> None:
     fail_row = spark.createDataFrame(
-        [(spec.name, batch_id, False, None, time.time() - started, None, None, None, None, None, None, str(exc)[:1000])],
+        [(spec.name, batch_id, False, None, time.time() - started, None, None, None, None, None, None, str(exc))],
         RUN_LOG_SCHEMA,
     ).withColumn("started_at", F.lit(started).cast("timestamp"))
     _write_log_row(spark, spec, fail_row, batch_id)

@@ -45,29 +45,16 @@ def _spread(df: DataFrame, partition_by: list[str]) -> DataFrame:
     return df.repartitionByRange(*[F.col(c) for c in partition_by], salt)
 
 
-# Up to this many partition values a batch is written without a shuffle.
-DIRECT_WRITE_MAX_PARTITIONS = 8
-
-
 def write_partitioned(
     df: DataFrame,
     path: str,
     partition_by: list[str] | tuple[str, ...] = ("year", "month", "day"),
     mode: str = "append",
-    distinct_partitions: int | None = None,
 ) -> None:
-    """Parquet (Snappy), partitioned, appended.
-
-    ``distinct_partitions`` (when the caller knows it): a batch covering a
-    few days -- the usual daily file -- is written straight from its tasks,
-    with no shuffle (each task writes at most that many files, and a hot day
-    is spread over all tasks); a batch covering many days (a backfill) is
-    range-partitioned first so the file count stays about one per day.
-    """
+    """Parquet (Snappy), partitioned, appended; range-partitioned first, whatever days the batch covers."""
     parts = list(partition_by)
-    direct = distinct_partitions is not None and distinct_partitions <= DIRECT_WRITE_MAX_PARTITIONS
     (
-        (df if direct else _spread(df, parts))
+        _spread(df, parts)
         .write.mode(mode)
         .option("compression", "snappy")
         .partitionBy(*parts)
@@ -132,6 +119,12 @@ def compact_log(
     writer.save(path)
 
 
+def path_exists(spark, path: str) -> bool:
+    """Whether there is anything at ``path``; a storage error raises."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def rewrite_partitions(spark, path: str, keep: DataFrame, touched: list, partition_by=("year", "month", "day")) -> None:
     """Replace the ``touched`` partitions of ``path`` with the rows of ``keep``.
 
@@ -167,8 +160,7 @@ def remove_batch(spark, path: str, batch_id: str, partition_by: list[str] | tupl
     else's rows; the kept rows are checkpointed first, so the overwrite never
     reads the files it replaces.
     """
-    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath):
+    if not path_exists(spark, path):
         return  # nothing written yet; any error while reading what exists raises
     # mergeSchema: files written before a column was added must keep the
     # newer columns when rewritten (types never diverge: every write is

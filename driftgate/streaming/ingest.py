@@ -14,12 +14,15 @@ bounds the file list of a micro-batch (the only thing collected).
 Exactly once: the streaming checkpoint (under the lake's logs folder, a
 shared path) records which files were listed; the batch id of a file is
 its path, and the run log makes a re-delivered file a no-op, so a restart
-neither skips nor doubles a file.  UNIQUE runs per file, with the same
+neither skips nor doubles a file.  A file that cannot be read or run gets a
+failed row with its error, and the stream goes on with the next one; giving
+its path to ``run_batch`` as the batch id runs it again.  UNIQUE runs per file, with the same
 per-batch scope as the batch job.
 """
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.rules import RuleSet
-from ..plans.pipeline import read_run_log, run_batch
+from ..plans.pipeline import log_failure, read_run_log, run_batch
 from ..settings import TableSpec
 from ..sources.admission import admitted
 from ..sources.files import read_raw
@@ -39,7 +42,7 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, co
 
 @dataclass
 class IngestConfig:
-    fmt: str = "csv"
+    fmt: str | None = None  # None: each file by its extension
     infer: bool = True  # header + inferred types per file (the batch job's read)
     max_files_per_trigger: int = 1
     available_now: bool = True
@@ -62,7 +65,6 @@ def start_file_ingest(
     listing = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
-        .option("pathGlobFilter", f"*.{config.fmt}")
         .option("recursiveFileLookup", "true")
         .option("maxFilesPerTrigger", config.max_files_per_trigger)
         .load(spec.raw_path)
@@ -74,8 +76,13 @@ def start_file_ingest(
         # the stream lists only under the raw prefix; admission (S3) checks the rest
         ok = files.filter(admitted(F.col("path"), F.col("length"), ""))
         for row in ok.select("path").orderBy("path").collect():  # at most max_files_per_trigger
-            raw = read_raw(spark, row["path"], fmt=config.fmt, schema=source_schema, infer=config.infer)
-            run_batch(spark, raw, spec, rules, batch_id=f"file:{row['path']}")
+            batch_id, started = f"file:{row['path']}", time.time()
+            # an outcome for every file: one that fails is logged, and the others go on
+            try:
+                raw = read_raw(spark, row["path"], fmt=config.fmt, schema=source_schema, infer=config.infer)
+                run_batch(spark, raw, spec, rules, batch_id=batch_id, log_failures=False)
+            except Exception as exc:  # noqa: BLE001 - recorded as the file's outcome
+                log_failure(spark, spec, batch_id, started, exc)
 
     writer = listing.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).queryName(config.query_name)
     writer = writer.trigger(availableNow=True) if config.available_now else writer.trigger(processingTime="1 minute")

@@ -143,6 +143,22 @@ def test_stream_equals_batch_and_restart(spark, tmp_dir):
     assert ingest_outcomes(spark, spec).first()["succeeded"] == 2
 
 
+def test_stream_takes_every_format_and_outlives_a_bad_file(spark, tmp_dir):
+    spec = TableSpec("orders", tmp_dir + "/lake", ORDERS_SCHEMA)
+    a = write_csv(spec.raw_path, "A.CSV", HEADER, baseline_rows(4, start=10))
+    read_raw(spark, a).write.parquet(f"{tmp_dir}/p")
+    part = next(f for f in os.listdir(f"{tmp_dir}/p") if f.endswith(".parquet"))
+    os.link(f"{tmp_dir}/p/{part}", f"{spec.raw_path}/c.parquet")
+    with open(f"{spec.raw_path}/b.parquet", "w") as f:
+        f.write("no parquet file")
+    with open(f"{spec.raw_path}/d.json", "w") as f:
+        f.write('{"order_id": "J1", "customer_id": "C", "quantity": 1, "price": 2.5, "order_date": "2024-01-05"}\n')
+    start_file_ingest(spark, spec, orders_rules(), config=IngestConfig(query_name="t_formats")).awaitTermination(300)
+    # one failed, three succeeded; UNIQUE is per file, so the copy of A.CSV is clean too
+    assert tuple(ingest_outcomes(spark, spec).select("succeeded", "failed").first()) == (3, 1)
+    assert read_layer(spark, spec, "clean").count() == 9
+
+
 def test_stream_reads_each_file_by_its_header(spark, tmp_dir):
     """A drifted file (new column, reordered columns) is read by name, not position."""
     from tests.fixtures import new_column_rows
@@ -225,14 +241,14 @@ def test_hot_day_is_written_by_several_tasks(spark, tmp_dir):
     assert spark.read.parquet(tmp_dir + "/w").count() == n
 
 
-def test_direct_write_for_few_days(spark, tmp_dir):
-    """A batch covering few days is written without the range shuffle, with the same rows."""
+def test_write_of_a_few_days(spark, tmp_dir):
+    """A batch of one day goes through the one write plan."""
     from driftgate.sinks.writers import write_partitioned
 
     df = spark.range(5000).select(
         F.lit(dt.date(2024, 5, 1)).alias("order_date"), F.col("id").cast("string").alias("order_id")
     ).withColumns({"year": F.lit(2024), "month": F.lit(5), "day": F.lit(1)})
-    write_partitioned(df, tmp_dir + "/d", distinct_partitions=1)
+    write_partitioned(df, tmp_dir + "/d")
     back = spark.read.parquet(tmp_dir + "/d")
     assert back.count() == 5000 and back.select("day").distinct().count() == 1
 

@@ -116,8 +116,11 @@ def test_half_written_batch_is_replaced(spark, tmp_dir):
     a = write_csv(tmp_dir + "/in", "a.csv", HEADER, baseline_rows())
     b = write_csv(tmp_dir + "/in2", "b.csv", HEADER, baseline_rows(5, start=100))
     run_batch(spark, read_raw(spark, b), spec, orders_rules(), "other")
-    # simulate the crash: rows of "crashy" land in clean, no run-log row
+    # simulate the crash: "crashy" is started, its rows land in clean, no run-log row
     from driftgate.operators.evolve import conform
+    from driftgate.plans.pipeline import mark_started
+
+    assert not mark_started(spark, spec, "crashy")
 
     partial = with_partitions(conform(read_raw(spark, a), TYPED).withColumn(BATCH_ID, F.lit("crashy")))
     write_partitioned(partial, spec.clean_path)
@@ -128,6 +131,27 @@ def test_half_written_batch_is_replaced(spark, tmp_dir):
     assert clean.filter(F.col(BATCH_ID) == "other").count() == 5
 
 
+def test_first_attempt_reads_no_layer_and_unreadable_logs_raise(spark, tmp_dir, monkeypatch):
+    import pytest
+
+    from driftgate.plans import pipeline
+
+    spec = _spec(tmp_dir + "/lake")
+    a = write_csv(tmp_dir + "/in", "a.csv", HEADER, baseline_rows())
+    seen = []
+    monkeypatch.setattr(pipeline, "remove_batch", lambda *args: seen.append(args))
+    run_batch(spark, read_raw(spark, a), spec, orders_rules(), "first")
+    assert not seen
+    log = spec.run_log_path
+    for folder, _, files in os.walk(log):
+        for f in files:
+            if f.endswith(".parquet"):
+                with open(os.path.join(folder, f), "w") as out:
+                    out.write("not parquet")
+    with pytest.raises(Exception):
+        run_batch(spark, read_raw(spark, a), spec, orders_rules(), "first")
+
+
 def test_empty_batch_guard(spark, tmp_dir):
     path = write_csv(tmp_dir + "/in", "e.csv", HEADER, [])
     out = run_batch(spark, read_raw(spark, path), _spec(tmp_dir + "/lake"), orders_rules(), "empty")
