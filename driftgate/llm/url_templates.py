@@ -110,9 +110,8 @@ def judge(
     b = b.withColumn("apart", apart).withColumn("merged", F.when(F.col("apart"), F.col("template")).otherwise(F.col("node")))
     merged = b.groupBy("host", "merged").agg(F.sum("labelled").alias("m_labelled"), F.sum("blocked").alias("m_blocked"))
     b = b.select("host", "template", "merged").join(merged, ["host", "merged"]).join(hosts, "host")
-    # one row: the whole table's share
-    b = b.join(F.broadcast(every), F.lit(True))
-    all_share = (F.col("all_blocked") + 0.0) / (F.col("all_labelled") + weight)
+    # one number: the whole table's share
+    all_share = every.select((F.col("all_blocked") + 0.0) / (F.col("all_labelled") + weight)).scalar()
     host_share = (F.col("host_blocked") + weight * all_share) / (F.col("host_labelled") + weight)
     b = b.withColumn("purity", (F.col("m_blocked") + weight * host_share) / (F.col("m_labelled") + weight))
     verdicts = paths.select("host", "path", "template", "rule", "rule_verdict").join(b.select("host", "template", "merged", "purity"), ["host", "template"])
