@@ -3,10 +3,14 @@
 Every line is normalised (A-Z lower-cased, digits taken as 0, runs of white
 space as one, ends trimmed) and hashed.  Per host the number of distinct
 documents that hold a line is counted; exact copies of one text count as one
-document, so copying a page does not turn its prose into boilerplate.  A line
-found in at least ``min_docs`` of them and in at least ``min_share`` of the
-host's distinct texts is boilerplate and goes.  A document is kept if at least
-``keep_share`` of its words and ``keep_words`` words stay.
+document: counted one by one, a page dealt ``min_docs`` times would lose all
+its lines in all its copies, so that no copy of its prose would stay.  A line
+is boilerplate and goes if it is in ``min_docs`` texts of its host, however
+many the host has; or in ``some_docs`` that are ``min_share`` of the host's; or,
+on a small host, in ``least_docs`` that are ``small_share`` of them.  Fewer than
+``least_docs`` texts do not tell a habit of the host from a quotation.
+A document is kept if at least ``keep_share`` of its
+words and ``keep_words`` words stay.
 
 Defined cases: null text is the empty text (no words); a null host is a host
 of its own; rows that repeat a document id are judged row by row (all copies of
@@ -15,6 +19,9 @@ a row get the verdict of their text); an empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -104,14 +111,14 @@ def measure(docs: DataFrame, host: str, text: str, id_col: str) -> DataFrame:
     return src.mapInArrow(run, f"id {id_type}, host {host_type}, {_STATS}, text_hash long, lines array<struct<h: long, w: long>>")
 
 
-def frequent_lines(measured: DataFrame, min_docs: int, min_share: float) -> DataFrame:
-    """(host, h): the lines above both limits of their host, over distinct texts."""
+def frequent_lines(measured: DataFrame, limits: list[tuple[int, float]]) -> DataFrame:
+    """(host, h): the lines that reach one of the limits (texts, share of the host's texts), over distinct texts."""
     # copies of a text meet first, so that a hot group of copies is one entry from here on
     texts = measured.groupBy("host", "text_hash").agg(F.any_value("lines").alias("lines"))
     host_size = texts.groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    counts = texts.select("host", F.explode("lines.h").alias("h")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
+    counts = texts.select("host", F.explode("lines.h").alias("h")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(n for n, _ in limits))
     size = host_size.withColumnRenamed("host", "of")
-    limit: Column = F.col("n") >= F.col("texts") * min_share
+    limit: Column = reduce(or_, [(F.col("n") >= n) & (F.col("n") >= F.col("texts") * share) for n, share in limits])
     return counts.join(size, counts["host"].eqNullSafe(size["of"])).where(limit).select("host", "h", "n")
 
 
@@ -124,12 +131,15 @@ def line_rules(
     min_share: float = 0.005,
     keep_share: float = 0.3,
     keep_words: int = 10,
+    some_docs: int = 11,
+    least_docs: int = 5,
+    small_share: float = 0.25,
 ) -> DataFrame:
     """Per document: base counters, lines_removed, words_left and ``kept`` (the method's verdict)."""
     ship(docs.sparkSession)
     # narrow: ids, counters and line hashes; cut here so that the texts are parsed once
     m = checkpointed(measure(docs, host, text, id_col))
-    frequent = frequent_lines(m, min_docs, min_share).select(F.col("host").alias("fh"), F.col("h").alias("fl"))
+    frequent = frequent_lines(m, [(min_docs, 0.0), (some_docs, min_share), (least_docs, small_share)]).select(F.col("host").alias("fh"), F.col("h").alias("fl"))
     # the verdict depends on the text and its host alone: copies are judged once
     texts = m.groupBy("host", "text_hash").agg(F.any_value("lines").alias("lines"))
     hits = (

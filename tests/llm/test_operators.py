@@ -149,6 +149,21 @@ def test_line_frequency_verdict(spark, odd, empty):
     assert line_rules(odd).count() == 10 and line_rules(empty).count() == 0
 
 
+def test_line_frequency_limits(spark):
+    """Hosts of 20, 50 and 8,000 texts just at and just below a limit; copies count once."""
+    rows = []
+    # (host, its texts, texts with the line, goes)
+    cases = [("h20", 20, 5, True), ("g20", 20, 4, False), ("h50", 50, 11, True), ("g50", 50, 10, False), ("h8000", 8000, 30, True), ("g8000", 8000, 29, False), ("copies", 20, 1, False)]
+    for host, n, hold, _ in cases:
+        for i in range(n):
+            text = f"own {host} " + " ".join(f"{chr(97 + int(d))}w{chr(97 + int(d))}" for d in f"{i:05d}") + " with words of its own to stay here"
+            rows += [(len(rows), f"{text}\nhome about contact {host}" if i < hold else text, "en", host, 0)] * (40 if host == "copies" and i < hold else 1)
+    out = line_rules(spark.createDataFrame([(*r, "x", "y", "z") for r in rows], SCHEMA)).join(spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, host string").distinct(), "doc_id")
+    got = {r.host: (r.removed, r.n) for r in out.groupBy("host").agg(F.sum("lines_removed").alias("removed"), F.count("*").alias("n")).collect()}
+    for host, n, hold, goes in cases:
+        assert got[host] == (hold if goes else 0, n + (39 if host == "copies" else 0)), host
+
+
 def test_mix(spark, docs, odd, empty):
     got = queries.op4_curriculum_mix(spark, SF).collect()
     assert len(got) == len(docs)
