@@ -12,7 +12,11 @@ on a small host, in ``least_docs`` that are ``small_share`` of them.  Fewer than
 A document is kept if at least ``keep_share`` of its
 words and ``keep_words`` words stay.
 
-Defined cases: null text is the empty text (no words); a null host is a host
+The texts are given back without their boilerplate lines, byte for byte as they
+were otherwise; a text and its host are known by a 64-bit hash.  Exact
+copies are judged once, and the verdict is joined back to each copy's text.
+
+Defined cases: null text has no words, counts as the empty text and stays null; a null host is a host
 of its own; rows that repeat a document id are judged row by row (all copies of
 a row get the verdict of their text); an empty table gives no rows.
 """
@@ -24,6 +28,7 @@ from operator import or_
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +40,8 @@ WINDOW = 5
 
 _SYMBOL = np.zeros(256, np.int8)
 _SYMBOL[[ord(c) for c in SYMBOLS]] = 1
-_STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
+COUNTERS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+_STATS = ", ".join(f"{c} long" for c in COUNTERS)
 
 
 def _same_text_before(key: np.ndarray) -> np.ndarray:
@@ -47,7 +53,7 @@ def _same_text_before(key: np.ndarray) -> np.ndarray:
 
 
 def text_stats(column: pa.Array) -> dict[str, np.ndarray]:
-    """The base counters of each text, and its lines' normalised hashes with their words."""
+    """The base counters of each text, and its lines' normalised hashes."""
     t = Texts(column, "raw")
     letters = np.zeros(len(t.raw) + 1, np.int64)
     np.cumsum((t.raw & 0xC0) != 0x80, out=letters[1:])
@@ -74,50 +80,69 @@ def text_stats(column: pa.Array) -> dict[str, np.ndarray]:
         "n_symbols": t.per_text(_SYMBOL[t.raw]),
         "n_dup_lines": dup,
         "n_repeat_words": t.per_words(repeated),
-        "text_hash": spans_hash(t.bytes_prefix, t.off[:-1], t.off[1:]).view(np.int64),
         "line_row": row,
         "line_hash": line_hash.view(np.int64),
-        "line_words": last - first,
     }
 
 
-def measure(docs: DataFrame, host: str, text: str, id_col: str) -> DataFrame:
-    """One row per document: id, host, base counters, text_hash, lines (hash, words, one entry per distinct line)."""
+def measure(docs: DataFrame) -> DataFrame:
+    """One row per document of (key, host, text): key, host, base counters, lines (hashes, one entry per distinct line)."""
 
     def run(batches):
         for batch in batches:
             for lo, hi in slices(batch.column(2)):
                 part = batch.slice(lo, hi - lo)
                 s = text_stats(part.column(2))
-                # one entry for each distinct line of a text, with all its words
-                key = np.stack([s["line_row"], s["line_hash"]])
-                order = np.lexsort(key[::-1])
-                row, h, w = s["line_row"][order], s["line_hash"][order], s["line_words"][order]
+                # one entry for each distinct line of a text
+                order = np.lexsort((s["line_hash"], s["line_row"]))
+                row, h = s["line_row"][order], s["line_hash"][order]
                 new = np.ones(len(row), bool)
                 new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
-                at = np.flatnonzero(new)
-                words = np.add.reduceat(w, at) if len(at) else w[:0]
-                offsets = pa.array(np.searchsorted(row[at], np.arange(len(part) + 1 if len(part) else 1)), pa.int32())
-                lines = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([pa.array(h[at], pa.int64()), pa.array(words, pa.int64())], ["h", "w"]))
-                numbers = [pa.array(s[c], pa.int64()) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "text_hash")]
+                row, h = row[new], h[new]
+                offsets = pa.array(np.searchsorted(row, np.arange(len(part) + 1 if len(part) else 1)), pa.int32())
+                lines = pa.ListArray.from_arrays(offsets, pa.array(h, pa.int64()))
+                numbers = [pa.array(s[c], pa.int64()) for c in COUNTERS]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), *numbers, lines],
-                    ["id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "text_hash", "lines"],
+                    ["key", "host", *COUNTERS, "lines"],
                 )
 
-    src = docs.select(F.col(id_col).alias("id"), F.col(host).alias("host"), F.col(text).cast("string").alias("text"))
-    id_type = src.schema["id"].dataType.simpleString()
-    host_type = src.schema["host"].dataType.simpleString()
-    return src.mapInArrow(run, f"id {id_type}, host {host_type}, {_STATS}, text_hash long, lines array<struct<h: long, w: long>>")
+    host_type = docs.schema["host"].dataType.simpleString()
+    return docs.select("key", "host", "text").mapInArrow(run, f"key long, host {host_type}, {_STATS}, lines array<long>")
 
 
-def frequent_lines(measured: DataFrame, limits: list[tuple[int, float]]) -> DataFrame:
+def _cleaned(column: pa.Array, gone: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Each text without the lines whose hashes are in its list, and the number of its words that stay."""
+    t, normal = Texts(column, "raw"), Texts(column, "normal")
+    salt = mix(np.arange(1, t.n + 1, dtype=np.uint64))
+    lists = pc.list_value_length(gone).fill_null(0).to_numpy(zero_copy_only=False)
+    listed = np.asarray(pc.list_flatten(gone)).astype(np.int64).view(np.uint64) ^ np.repeat(salt, lists)
+    start, end, row = t.lines()
+    first, last = np.searchsorted(t.start, start), np.searchsorted(t.start, end)
+    h = spans_hash(prefix_sum(normal.hash), first, last)
+    out = (last > first) & np.isin(h ^ salt[row], listed)
+    left = t.counts() - np.bincount(row[out], (last - first)[out], t.n).astype(np.int64)
+    texts = column.to_pylist()
+    for i in np.unique(row[out]).tolist():
+        lo, hi = np.searchsorted(row, [i, i + 1])
+        texts[i] = b"\n".join(t.raw[a:b].tobytes() for a, b in zip(start[lo:hi][~out[lo:hi]], end[lo:hi][~out[lo:hi]], strict=True)).decode()
+    return pa.array(texts, pa.string()), left
+
+
+def _without_lines(batches):
+    for batch in batches:
+        at = {c: batch.schema.get_field_index(c) for c in ("text", "gone")}
+        rest = batch.drop_columns(["text", "gone"])
+        for lo, hi in slices(batch.column(at["text"])):
+            text, left = _cleaned(batch.column(at["text"]).slice(lo, hi - lo), batch.column(at["gone"]).slice(lo, hi - lo))
+            part = rest.slice(lo, hi - lo)
+            yield pa.RecordBatch.from_arrays([*part.columns, text, pa.array(left, pa.int64())], [*part.schema.names, "text", "words_left"])
+
+
+def frequent_lines(texts: DataFrame, limits: list[tuple[int, float]]) -> DataFrame:
     """(host, h): the lines that reach one of the limits (texts, share of the host's texts), over distinct texts."""
-    # copies of a text meet first, so that a hot group of copies is one entry from here on
-    texts = measured.groupBy("host", "text_hash").agg(F.any_value("lines").alias("lines"))
-    host_size = texts.groupBy("host").agg(F.count(F.lit(1)).alias("texts"))
-    counts = texts.select("host", F.explode("lines.h").alias("h")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(n for n, _ in limits))
-    size = host_size.withColumnRenamed("host", "of")
+    size = texts.groupBy(F.col("host").alias("of")).agg(F.count(F.lit(1)).alias("texts"))
+    counts = texts.select("host", F.explode("lines").alias("h")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min(n for n, _ in limits))
     limit: Column = reduce(or_, [(F.col("n") >= n) & (F.col("n") >= F.col("texts") * share) for n, share in limits])
     return counts.join(size, counts["host"].eqNullSafe(size["of"])).where(limit).select("host", "h", "n")
 
@@ -135,31 +160,25 @@ def line_rules(
     least_docs: int = 5,
     small_share: float = 0.25,
 ) -> DataFrame:
-    """Per document: base counters, lines_removed, words_left and ``kept`` (the method's verdict)."""
+    """Per document: base counters, lines_removed (distinct lines), words_left, ``kept`` (the method's verdict) and the text without the lines removed."""
     ship(docs.sparkSession)
-    # narrow: ids, counters and line hashes; cut here so that the texts are parsed once
-    m = checkpointed(measure(docs, host, text, id_col))
-    frequent = frequent_lines(m, [(min_docs, 0.0), (some_docs, min_share), (least_docs, small_share)]).select(F.col("host").alias("fh"), F.col("h").alias("fl"))
-    # the verdict depends on the text and its host alone: copies are judged once
-    texts = m.groupBy("host", "text_hash").agg(F.any_value("lines").alias("lines"))
-    hits = (
-        texts.select("host", "text_hash", F.inline("lines"))
+    src = docs.select(F.col(id_col).alias("id"), F.col(host).alias("host"), F.col(text).cast("string").alias("text"))
+    src = src.withColumn("key", F.xxhash64(F.col("host").isNull(), "host", F.coalesce("text", F.lit(""))))
+    # copies of a text meet first, so that a hot group of copies is one entry from here on;
+    # narrow: counters and line hashes, cut here so that lines are parsed once
+    texts = checkpointed(measure(src).groupBy("key").agg(*[F.any_value(c).alias(c) for c in ("host", *COUNTERS, "lines")]))
+    frequent = frequent_lines(texts, [(min_docs, 0.0), (some_docs, min_share), (least_docs, small_share)]).select(F.col("host").alias("fh"), F.col("h").alias("fl"))
+    gone = (
+        texts.select("key", "host", F.explode("lines").alias("h"))
         .join(frequent, F.col("host").eqNullSafe(F.col("fh")) & (F.col("h") == F.col("fl")))
-        .groupBy("host", "text_hash")
-        .agg(F.count(F.lit(1)).alias("lines_removed"), F.sum("w").alias("words_removed"))
-        .select(F.col("host").alias("hh"), F.col("text_hash").alias("ht"), "lines_removed", "words_removed")
-    )
-    out = m.join(hits, m["host"].eqNullSafe(hits["hh"]) & (m["text_hash"] == hits["ht"]), "left")
-    gone = F.coalesce("words_removed", F.lit(0))
-    left = F.col("n_words") - gone
-    return out.select(
-        F.col("id").alias(id_col),
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        F.coalesce("lines_removed", F.lit(0)).alias("lines_removed"),
-        left.alias("words_left"),
-        ((left >= keep_words) & (left >= F.col("n_words") * keep_share)).alias("kept"),
+        .groupBy("key")
+        .agg(F.collect_list("h").alias("gone"))
     )
+    judged = texts.select("key", *COUNTERS).join(gone, "key", "left")
+    # back to the texts: many rows of one key are split by the join, as the other side has one
+    id_type = src.schema["id"].dataType.simpleString()
+    rows = src.join(judged, "key").select("id", *COUNTERS, F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("lines_removed"), "text", "gone")
+    out = rows.mapInArrow(_without_lines, f"id {id_type}, {_STATS}, lines_removed long, text string, words_left long")
+    left = F.col("words_left")
+    kept = (left >= keep_words) & (left >= F.col("n_words") * keep_share)
+    return out.select(F.col("id").alias(id_col), *COUNTERS, "lines_removed", "words_left", kept.alias("kept"), F.col("text").alias(text))

@@ -45,7 +45,8 @@ def op2_path_templates(spark: SparkSession, sf: str) -> DataFrame:
 def op3_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
     out = line_rules(_table(spark, sf, "documents"))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & F.col("kept"))
+    out = out.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & F.col("kept"))
+    return out.withColumn("kept_sha256", F.sha2(F.col("text").cast("binary"), 256)).drop("text")
 
 
 def op4_curriculum_mix(spark: SparkSession, sf: str) -> DataFrame:

@@ -149,6 +149,25 @@ def test_line_frequency_verdict(spark, odd, empty):
     assert line_rules(odd).count() == 10 and line_rules(empty).count() == 0
 
 
+def test_line_frequency_text(spark, odd):
+    """The text without its boilerplate lines, whichever place they have; other texts as they are; copies alike."""
+    body = lambda i: "Own " + "x" * (i + 1) + " line,  kept as it is. One two three four five six seven"
+    shapes = [("Home | About 0\n{}", "{}"), ("{}\nHOME  | about 5", "{}"), ("{}\n\nhome | about 1\n\nend {}\n", "{}\n\n\nend {}\n"), ("home | about 1\nhome | about 2", "")]
+    rows, want = [], {}
+    for i in range(40):
+        shape, clean = shapes[i % 4]
+        rows += [(i, shape.replace("{}", body(i)), "en", "h", 0)] * (2 if i < 4 else 1)
+        want[i] = clean.replace("{}", body(i))
+    rows += [(40, "home | about 1\n" + body(40), "en", "other", 0), (41, None, "en", "h", 0), (42, "", "en", "h", 0)]
+    want |= {40: rows[-3][1], 41: None, 42: ""}
+    out = line_rules(spark.createDataFrame([(*r, "x", "y", "z") for r in rows], SCHEMA)).collect()
+    assert len(out) == len(rows)
+    for r in out:
+        assert r.text == want[r.doc_id] and r.words_left == len(words(r.text)), r
+        assert r.lines_removed == (r.doc_id < 40)
+    assert sorted((r.doc_id or 0, r.text or "") for r in line_rules(odd).collect()) == sorted((r.doc_id or 0, r.text or "") for r in odd.collect())
+
+
 def test_line_frequency_limits(spark):
     """Hosts of 20, 50 and 8,000 texts just at and just below a limit; copies count once."""
     rows = []
