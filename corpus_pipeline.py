@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftgate.llm import line_crf
@@ -48,13 +49,23 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per copy the mix takes, in training order."""
+    """One row per copy the mix takes, in training order: the numbers of the files it is written to, and the rows in each, follow the positions."""
     return ordered(mix(docs)).select(*docs.columns)
 
 
+def written_order(docs: DataFrame) -> list[Column]:
+    """The order in which a table's rows were written: its scan deals files out by size.  Empty for a table that no files carry, which is read as it is dealt."""
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        return []
+    name = F.col("_metadata.file_name")
+    return [F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("long"), name, F.col("_metadata.row_index")]
+
+
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences of at most 4096 tokens."""
-    return pack(docs, public_tokenizers.path(TOKENIZER))
+    """Pieces of documents in sequences of at most 4096 tokens, whose ids grow in training order."""
+    return pack(docs, public_tokenizers.path(TOKENIZER), order=written_order(docs))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -8,9 +8,12 @@ leftovers are packed again, longest first, by the same rule, in groups of
 tasks, until one group remains.  Every step holds ``open_windows`` windows per
 task, and only leftovers meet other tasks' pieces.
 
-``sequence_id`` names round, task and window, so it is unique; pieces of a
-sequence lie gapless from offset 0.  The order of rows within a task's input
-decides the packing, so a rerun of a task makes the same pieces.
+``sequence_id`` names the task and number of its first piece, so it is unique
+and grows with the place of that piece in the input; pieces of a sequence lie
+gapless from offset 0.  With ``order`` the input is range-sorted by it first,
+and leftovers are packed in that order instead of longest first: sequences then
+follow the order, and so do the pieces in each.  The order of rows within a
+task's input decides the packing, so a rerun of a task makes the same pieces.
 
 Defined cases: null text is the empty text, whose ids are the end id alone;
 repeated rows are packed each; a null id is kept; an empty table gives no rows.
@@ -20,13 +23,14 @@ from __future__ import annotations
 
 import math
 import os
+from collections.abc import Sequence
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftgate.llm.store import ship, stash
@@ -41,7 +45,6 @@ _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE_SIGNS = {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 FAN_IN = 64
 _WINDOW_BITS = 32
-_TASK_BITS = 24
 
 
 class Encoder:
@@ -165,29 +168,28 @@ class Windows:
 
 def _first_round(path: str, end_id: int, size: int, most: int, id_type: pa.DataType):
     def run(batches):
-        encode, windows, task, number = encoder(path), Windows(size, most), TaskContext.get().partitionId(), 0
+        encode, windows, task, number = encoder(path), Windows(size, most), TaskContext.get().partitionId(), 0  # of pieces, in reading order
         rows: list[tuple] = []
         values: list[np.ndarray] = []
 
         def leave(pieces, final: bool):
-            nonlocal number
             offset = 0
-            for doc, start, ids, total in pieces:
-                rows.append((doc, start, len(ids), total, task, number, offset, final))
+            for doc, start, ids, total, piece in pieces:
+                # a window is known by its first piece
+                rows.append((doc, start, len(ids), total, task, pieces[0][-1], piece, offset, final))
                 values.append(ids)
                 offset += len(ids)
-            number += 1
 
         def out():
             nonlocal rows, values
-            cols = list(zip(*rows, strict=True)) if rows else [[]] * 8
-            kinds = [id_type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+            cols = list(zip(*rows, strict=True)) if rows else [[]] * 9
+            kinds = [id_type, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
             arrays = [pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]
             offsets = np.concatenate([[0], np.cumsum([len(v) for v in values], dtype=np.int64)])
             flat = np.concatenate(values) if values else np.zeros(0, np.int32)
             ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
             rows, values = [], []
-            return pa.RecordBatch.from_arrays([*arrays, ids], ["id", "start", "length", "doc_tokens", "task", "window", "offset", "final", "ids"])
+            return pa.RecordBatch.from_arrays([*arrays, ids], ["id", "start", "length", "doc_tokens", "task", "window", "piece", "offset", "final", "ids"])
 
         for batch in batches:
             for lo, hi in slices(batch.column(1)):
@@ -196,9 +198,11 @@ def _first_round(path: str, end_id: int, size: int, most: int, id_type: pa.DataT
                     ids = np.append(ids, np.int32(end_id))
                     whole = len(ids) // size * size
                     for s in range(0, whole, size):
-                        leave([(name, s, ids[s : s + size], len(ids))], True)
+                        leave([(name, s, ids[s : s + size], len(ids), number)], True)
+                        number += 1
                     if whole < len(ids):
-                        gone = windows.place((name, whole, ids[whole:], len(ids)), len(ids) - whole)
+                        gone = windows.place((name, whole, ids[whole:], len(ids), number), len(ids) - whole)
+                        number += 1
                         if gone is not None:
                             leave(gone, True)
                 if sum(map(len, values)) > 1_000_000:
@@ -210,22 +214,21 @@ def _first_round(path: str, end_id: int, size: int, most: int, id_type: pa.DataT
     return run
 
 
-def _merge_round(size: int, most: int, round_no: int, last: bool):
-    """Pack the leftover pieces of a group again, longest first."""
+def _merge_round(size: int, most: int, last: bool, in_order: bool):
+    """Pack the leftover pieces of a group again, in their order or longest first."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         group = key[0].as_py()
-        t = {c: np.asarray(table.column(c).combine_chunks()) for c in ("task", "window", "offset", "length")}
-        order = np.lexsort((t["offset"], t["window"], t["task"], -t["length"]))
-        windows, out, number = Windows(size, most), [], 0
+        t = {c: np.asarray(table.column(c).combine_chunks()) for c in ("task", "window", "piece", "offset", "length")}
+        place = (t["task"] << _WINDOW_BITS) + t["piece"]
+        order = np.argsort(place) if in_order else np.lexsort((place, -t["length"]))
+        windows, out = Windows(size, most), []
 
         def leave(pieces, final):
-            nonlocal number
-            offset = 0
+            offset, first = 0, min(int(place[i]) for i in pieces)
             for i in pieces:
-                out.append((i, number, offset, final))
+                out.append((i, first, offset, final))
                 offset += int(t["length"][i])
-            number += 1
 
         for i in order.tolist():
             gone = windows.place(i, int(t["length"][i]))
@@ -233,12 +236,12 @@ def _merge_round(size: int, most: int, round_no: int, last: bool):
                 leave(gone, True)
         for pieces in windows.held:
             leave(pieces, last)
-        at, window, offset, final = (np.array(x, np.int64) for x in zip(*out, strict=True))
-        sequence = (round_no << (_WINDOW_BITS + _TASK_BITS)) + (group << _WINDOW_BITS) + window
+        at, sequence, offset, final = (np.array(x, np.int64) for x in zip(*out, strict=True))
         return pa.table(
             {
                 "task": t["task"][at],
                 "window": t["window"][at],
+                "piece": t["piece"][at],
                 "offset": t["offset"][at],
                 "length": t["length"][at],
                 "group": pa.array(np.full(len(at), group // FAN_IN), pa.int64()),
@@ -251,31 +254,36 @@ def _merge_round(size: int, most: int, round_no: int, last: bool):
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", size: int = 4096, end_id: int = 2, open_windows: int = 64) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text", size: int = 4096, end_id: int = 2, open_windows: int = 64, order: Sequence[Column] = ()) -> DataFrame:
     """One row per piece: id, start, length, ids, doc_tokens, sequence_id, offset.
 
     The pieces with their ids are written once to the session's shared folder;
-    the merge works on the lengths of leftovers alone.
+    the merge works on the lengths of leftovers alone.  ``order`` is the input's
+    order, for sequence ids that grow with it.
     """
     spark = docs.sparkSession
     ship(spark)
-    src = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"))
+    keys = [c.alias(f"order_{i}") for i, c in enumerate(order)]
+    src = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("text"), *keys)
     id_type = src.schema["id"].dataType.simpleString()
+    if keys:
+        names = [f"order_{i}" for i in range(len(keys))]
+        src = src.repartitionByRange(*names).sortWithinPartitions(*names).drop(*names)
     arrow_type = pa.int64() if id_type == "bigint" else pa.int32() if id_type == "int" else pa.string()
-    schema = f"id {id_type}, start long, length long, doc_tokens long, task long, window long, offset long, final boolean, ids array<int>"
+    schema = f"id {id_type}, start long, length long, doc_tokens long, task long, window long, piece long, offset long, final boolean, ids array<int>"
     pieces, _ = stash(src.mapInArrow(_first_round(tokenizer, end_id, size, open_windows, arrow_type), schema))
-    left = pieces.where(~F.col("final")).select("task", "window", "offset", "length", F.floor(F.col("task") / FAN_IN).cast("long").alias("group"))
+    left = pieces.where(~F.col("final")).select("task", "window", "piece", "offset", "length", F.floor(F.col("task") / FAN_IN).cast("long").alias("group"))
     tasks = (pieces.where(~F.col("final")).agg(F.max("task")).first()[0] or 0) + 1
     rounds = max(1, math.ceil(math.log(tasks, FAN_IN) - 1e-9)) if tasks > 1 else 1
     made = None
-    columns = "task long, window long, offset long, length long, group long, new_sequence long, new_offset long, done boolean"
+    columns = "task long, window long, piece long, offset long, length long, group long, new_sequence long, new_offset long, done boolean"
     for r in range(1, rounds + 1):
-        placed = left.groupBy("group").applyInArrow(_merge_round(size, open_windows, r, r == rounds), columns)
+        placed = left.groupBy("group").applyInArrow(_merge_round(size, open_windows, r == rounds, bool(keys)), columns)
         if r < rounds:
             placed, _ = stash(placed)
         part = placed.where("done").select("task", "window", "offset", "new_sequence", "new_offset")
         made = part if made is None else made.union(part)
-        left = placed.where("not done").select("task", "window", "offset", "length", "group")
+        left = placed.where("not done").select("task", "window", "piece", "offset", "length", "group")
     fixed = pieces.where("final").withColumn("sequence_id", (F.col("task") * F.lit(1 << _WINDOW_BITS) + F.col("window")))
     moved = pieces.where("not final").join(made, ["task", "window", "offset"]).withColumn("sequence_id", F.col("new_sequence")).withColumn("offset", F.col("new_offset"))
     cols = [F.col("id").alias(id_col), "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]

@@ -51,7 +51,10 @@ def op3_line_frequency(spark: SparkSession, sf: str) -> DataFrame:
 
 def op4_curriculum_mix(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mix(_table(spark, sf, "documents").select("doc_id", "source", "text"))
-    return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "positions")
+    out = mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"), "positions")
+    # in training order by first use; rows never used come last, spread by their ids
+    order = [F.get("positions", F.lit(0)).asc_nulls_last(), F.xxhash64("doc_id").asc()]
+    return out.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def _ids_crc32(batches):

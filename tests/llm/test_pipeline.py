@@ -34,3 +34,39 @@ def test_stages(spark):
     assert {r.doc_id for r in rows["mixing"]} <= {r.doc_id for r in rows["substring_dedup"]}
     assert sum(r.length for r in rows["packing"]) > 0
     assert {r.doc_id for r in rows["packing"]} == {r.doc_id for r in rows["mixing"]}
+
+
+def test_training_order_reaches_the_sequences(spark):
+    """Positions of the mix against sequence ids, over many files of uneven size that a scan deals out of order."""
+    from driftgate.llm import queries
+    from driftgate.llm.mixing import mix, ordered
+
+    text = "word{} more words of this text and some others {}"
+    rows = [(i, text.format(i, "filler " * (i * 37 % 400)), "en", f"s{i % 3}", 1) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    place = {}
+    for r in ordered(mix(docs)).collect():
+        place.setdefault(r.doc_id, []).append(r.position)
+    one = {d for d, p in place.items() if len(p) == 1}
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "12")
+        mixed, _ = stash(P.mixing(spark, docs, SF))
+        got = P.packing(spark, mixed, SF).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert {r.doc_id for r in got} == set(place) and len(got) >= sum(map(len, place.values()))
+    seqs = {}
+    for r in got:
+        seqs.setdefault(r.sequence_id, []).append(r)
+    first = []
+    for _, pieces in sorted(seqs.items()):
+        known = [place[r.doc_id][0] for r in sorted(pieces, key=lambda r: r.offset) if r.doc_id in one]
+        assert known == sorted(known)
+        if min(pieces, key=lambda r: r.offset).doc_id in one:
+            first.append(known[0])
+    assert len(first) > 20 and first == sorted(first)
+    used = [r.positions[0] if r.positions else float("inf") for r in queries.op4_curriculum_mix(spark, SF).collect()]
+    assert used == sorted(used)
