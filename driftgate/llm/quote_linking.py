@@ -7,10 +7,12 @@ is left is the message's own text.  Passages are normalised (lower case, white
 space as one blank) and hashed: whole runs, their paragraphs and their lines.
 The same pieces of all own texts are the index of original messages.
 
-A quoting message replies to the message that its shallowest quotes come
-from: first an earlier turn of its own conversation, else the first message
-anywhere that wrote the passage, if that has a smaller turn and the passage at
-least ``least_words`` words.  The match with most words wins, then the latest turn.
+A quoting message replies to the message that its shallowest quotes with an
+original come from; passages of every level are looked up, as shallower ones may be
+edited or trimmed.  Within a level it is first an earlier turn of its own
+conversation, else the first message anywhere that wrote the passage, if that
+has a smaller turn and the passage at least ``least_words`` words.  The match
+with most words wins, then the latest turn.
 Without a link a message replies to the previous turn of its conversation.
 Parents always have smaller turns, so links form trees: threads, found by
 pointer doubling, and range-sorted so that every reply follows its parent.
@@ -102,17 +104,15 @@ def link_quotes(messages: DataFrame, conv: str = "conv_id", turn: str = "turn",
     parsed = checkpointed(src.mapInArrow(_parsed, f"conv long, turn long, role string, text string, own string, quoted {PIECES}, written {PIECES}").drop("text"))
     placed = parsed.where(F.col("conv").isNotNull() & F.col("turn").isNotNull())
     written = placed.select("conv", "turn", F.inline("written")).where("words > 0")
-    quoted = placed.select("conv", "turn", F.inline("quoted")).where("words > 0").distinct()
-    # only the shallowest level tells what a message answers
-    shallow = quoted.groupBy("conv", "turn").agg(F.min("level").alias("level"))
-    quoted = quoted.join(shallow, ["conv", "turn", "level"])
+    # every passage once, at its shallowest level; the shallowest one with an original tells what a message answers
+    quoted = placed.select("conv", "turn", F.inline("quoted")).where("words > 0").groupBy("conv", "turn", "hash", "words").agg((-F.min("level")).alias("up"))
     here = written.select(F.col("conv").alias("c"), F.col("turn").alias("pt"), F.col("hash").alias("ph")).distinct()
     near = quoted.join(here, (F.col("conv") == F.col("c")) & (F.col("hash") == F.col("ph")) & (F.col("pt") < F.col("turn")))
-    near = near.select("conv", "turn", F.struct(F.lit(1).alias("same"), F.col("words"), F.col("pt"), (-F.col("c")).alias("nc")).alias("m"))
+    near = near.select("conv", "turn", F.struct("up", F.lit(1).alias("same"), F.col("words"), F.col("pt"), (-F.col("c")).alias("nc")).alias("m"))
     # the first writer of each passage: one row per hash, however many wrote it
     first = written.where(F.col("words") >= least_words).groupBy(F.col("hash").alias("ph")).agg(F.min(F.struct("turn", "conv")).alias("f"))
     far = quoted.join(first, (F.col("hash") == F.col("ph")) & (F.col("f.turn") < F.col("turn")))
-    far = far.select("conv", "turn", F.struct(F.lit(0).alias("same"), F.col("words"), F.col("f.turn").alias("pt"), (-F.col("f.conv")).alias("nc")).alias("m"))
+    far = far.select("conv", "turn", F.struct("up", F.lit(0).alias("same"), F.col("words"), F.col("f.turn").alias("pt"), (-F.col("f.conv")).alias("nc")).alias("m"))
     link = near.union(far).groupBy("conv", "turn").agg(F.max("m").alias("m")).select("conv", "turn", (-F.col("m.nc")).alias("lc"), F.col("m.pt").alias("lt"))
     places = placed.select("conv", "turn").distinct()
     before = Window.partitionBy("conv").orderBy("turn")

@@ -53,6 +53,29 @@ def test_links_and_threads(messages):
             assert place[r.parent_conv, r.parent_turn] < place[r.conv_id, r.turn]
 
 
+def test_deeper_passages_link_where_shallower_ones_have_no_original(spark):
+    alpha, agree = "alpha beta gamma delta epsilon zeta", "I agree with all of that"
+    rows = [
+        (1, 0, "user", alpha, ""),
+        (1, 1, "assistant", f"> {alpha}\n{agree}", ""),
+        (1, 2, "user", f"> I agree, edited\n>> {alpha}\nmore", ""),  # the shallow passage was never written so
+        (1, 3, "assistant", f"> {agree}\n>> {alpha}\nthe shallow one counts", ""),
+        (1, 4, "user", f"> trimmed\n>> cut off\n>>> {agree}\n>>>> {alpha}\nthird level", ""),
+        (5, 3, "user", f"> not found\n>> {alpha}\nfrom elsewhere", ""),
+        (5, 4, "user", "> not found\n>> nor this\nnothing", ""),
+    ]
+    got = {(r.conv_id, r.turn): (r.parent_conv, r.parent_turn, r.linked) for r in link_quotes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {
+        (1, 0): (None, None, False),
+        (1, 1): (1, 0, True),
+        (1, 2): (1, 0, True),
+        (1, 3): (1, 1, True),
+        (1, 4): (1, 1, True),
+        (5, 3): (1, 0, True),
+        (5, 4): (5, 3, False),
+    }
+
+
 def test_long_chain_and_table(spark):
     rows = [(7, t, "user", f"message number {t} has its own words" + (f"\n> message number {t - 1} has its own words" if t else ""), "") for t in range(50)]
     got = {r.turn: r for r in link_quotes(spark.createDataFrame(rows, SCHEMA)).collect()}
