@@ -12,14 +12,19 @@ from pyspark.sql import functions as F
 
 from driftgate.llm import language_id, line_crf
 from driftgate.llm.jaccard_join import jaccard_components
+from driftgate.llm.lexical_search import search
 from driftgate.llm.line_frequency import line_rules
 from driftgate.llm.mixing import mix
+from driftgate.llm.notice_search import scan_notices
 from driftgate.llm.packing import pack
+from driftgate.llm.pivot_codes import coded
 from driftgate.llm.quote_linking import link_quotes
 from driftgate.llm.substring_dedup import remove_repeats
+from driftgate.llm.twins import TWIN_OP12, TWIN_OP13
 from driftgate.llm.url_templates import judge
 from driftgate.llm.vector_search import nearest
 
+PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
 
 
@@ -100,6 +105,18 @@ def op10_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"), F.size("factors").cast("long").alias("n_factors"))
 
 
+def op11_notice_search(spark: SparkSession, sf: str) -> DataFrame:
+    return scan_notices(_table(spark, sf, "documents"), PHRASES)
+
+
+def op12_pivot_codes(spark: SparkSession, sf: str) -> DataFrame:
+    return coded(_table(spark, sf, "embeddings"))
+
+
+def op13_lexical_search(spark: SparkSession, sf: str) -> DataFrame:
+    return search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"), k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_output_codes": op1_output_codes,
     "op2_path_templates": op2_path_templates,
@@ -111,6 +128,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_dimension_scan": op8_dimension_scan,
     "op9_quote_linking": op9_quote_linking,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_notice_search": op11_notice_search,
+    "op12_pivot_codes": op12_pivot_codes,
+    "op13_lexical_search": op13_lexical_search,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op12_pivot_codes": TWIN_OP12,
+    "op13_lexical_search": TWIN_OP13,
+}
