@@ -28,6 +28,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -99,7 +100,7 @@ def assign(x: np.ndarray, to_pivots: np.ndarray, entries: np.ndarray, pivots: np
 
 
 def _numbers(column: pa.Array, width: int, kind: type) -> np.ndarray:
-    return np.asarray(pa.compute.list_flatten(column), kind).reshape(len(column), width) if len(column) else np.zeros((0, width), kind)
+    return np.asarray(pc.list_flatten(column), kind).reshape(len(column), width) if len(column) else np.zeros((0, width), kind)
 
 
 def _prepare(pivots: list[np.ndarray]):
