@@ -2,11 +2,11 @@
 
 A text is reduced to its words (A-Z lower-cased; letters, digits and every
 non-ASCII byte; joined by one space).  A notice may differ from its wording by a
-few edits.  Split into one piece more than that, at least one piece stands
-there unchanged (pigeonhole), so one automaton over all pieces finds every place
-that can hold a notice.  Around such a seed the ``regex`` library searches the
-notice with bounded errors, from word boundary to word boundary, and the best
-fits become spans.  A notice's ``head`` must stand unchanged: an edit in the few
+few edits.  Split into more pieces than that, all but as many as there are edits
+stand there unchanged (pigeonhole), so one automaton over all pieces finds every
+place that can hold a notice.  Where enough pieces meet, the ``regex`` library
+searches the notice with bounded errors, from word boundary to word boundary, and
+the best fits become spans.  A notice's ``head`` must stand unchanged: an edit in the few
 letters that tell one license from another would change its meaning.
 
 Each text is scanned whole in the task that reads it: no row is shuffled.
@@ -64,6 +64,8 @@ NOTICES = [
     Notice("unlicense", "", "this is free and unencumbered software released into the public domain", 6),
 ]
 
+PIECE = 7
+
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
@@ -73,8 +75,9 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def pieces(wording: str, edits: int) -> list[tuple[int, str]]:
-    """(place, piece): the wording cut into one piece more than edits."""
-    cut = [round(i * len(wording) / (edits + 1)) for i in range(edits + 2)]
+    """(place, piece): the wording cut into more pieces than edits, of about ``PIECE`` characters where it is long enough."""
+    n = max(edits + 1, len(wording) // PIECE)
+    cut = [round(i * len(wording) / n) for i in range(n + 1)]
     return [(a, wording[a:b]) for a, b in zip(cut[:-1], cut[1:], strict=True)]
 
 
@@ -88,8 +91,11 @@ class Scanner:
         self.notices = [Notice(n.label, *(x.encode().decode("latin-1") for x in (n.head, n.tail)), n.edits) for n in notices]
         self.patterns = [regex.compile(f"(?e)(?<= ){regex.escape(n.head)}(?:{regex.escape(n.tail)}){{e<={n.edits}}}(?= )") for n in self.notices]
         seeds: dict[str, list[tuple[int, int]]] = {}
+        self.needed = []  # pieces that stand unchanged in every place of a notice
         for i, n in enumerate(self.notices):
-            for place, piece in pieces(n.wording, n.edits):
+            cut = pieces(n.wording, n.edits)
+            self.needed.append(len(cut) - n.edits)
+            for place, piece in cut:
                 seeds.setdefault(piece, []).append((i, place))
         self.seeds = ahocorasick.Automaton()
         for piece, uses in seeds.items():
@@ -97,9 +103,9 @@ class Scanner:
         if seeds:
             self.seeds.make_automaton()
 
-    def windows(self, text: str) -> dict[int, list[list[int]]]:
-        """For each notice the stretches of the text around its seeds, apart from each other."""
-        found: dict[int, list[list[int]]] = {}
+    def windows(self, text: str) -> dict[int, list[tuple[int, int, set[int]]]]:
+        """For each notice the stretches of the text around its pieces, apart from each other, with the pieces seen there."""
+        found: dict[int, list[tuple[int, int, set[int]]]] = {}
         if not len(self.seeds):
             return found
         for last, (size, uses) in self.seeds.iter(text):
@@ -107,19 +113,21 @@ class Scanner:
                 n = self.notices[i]
                 lo = last + 1 - size - place - n.edits - 1
                 hi = lo + len(n.wording) + 2 * n.edits + 3
-                held = found.setdefault(i, [])
-                # seeds come by their ends; a stretch may still reach back before the one before
+                held, seen = found.setdefault(i, []), {place}
+                # pieces come by their ends; a stretch may still reach back before the one before
                 while held and lo <= held[-1][1]:
-                    a, b = held.pop()
-                    lo, hi = min(a, lo), max(b, hi)
-                held.append([lo, hi])
+                    a, b, before = held.pop()
+                    lo, hi, seen = min(a, lo), max(b, hi), before | seen
+                held.append((lo, hi, seen))
         return found
 
     def spans(self, text: str) -> list[tuple[int, int, int, int]]:
         """(notice, start, end, edits) by place of the text's characters."""
         out = []
         for i, held in self.windows(text).items():
-            for lo, hi in held:
+            for lo, hi, seen in held:
+                if len(seen) < self.needed[i]:
+                    continue
                 stop = text.find(" ", min(max(hi - 1, 0), len(text) - 1))
                 for m in self.patterns[i].finditer(text, max(lo, 0), len(text) if stop < 0 else stop + 1):
                     out.append((i, m.start(), m.end(), sum(m.fuzzy_counts)))
