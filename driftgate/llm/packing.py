@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from driftgate.llm.store import ship, stash
 from driftgate.llm.words import Texts, slices
 
-KEPT_WORDS = 1_500_000
+KEPT_WORDS = 500_000
 KEPT_SIGNS = 50_000
 LATIN = "\u0130"  # below: letters that are their own composed form and lower-case one to one
 SIGNS = ".,!?;:"
@@ -66,7 +66,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.key = np.zeros(0, np.uint64)  # sorted
-        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.start, self.size = np.zeros(0, np.int32), np.zeros(0, np.int32)
         self.flat, self.filled = np.zeros(1 << 16, np.int32), 0
 
     def _encoded(self, words: list[str]) -> list[list[int]]:
@@ -103,8 +103,8 @@ class Encoder:
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
         self.flat[self.filled : self.filled + total] = np.fromiter(chain.from_iterable(got), np.int32, total)
         at = np.searchsorted(self.key, key)
-        self.start = np.insert(self.start, at, self.filled + np.cumsum(size) - size)
-        self.size, self.key = np.insert(self.size, at, size), np.insert(self.key, at, key)
+        self.start = np.insert(self.start, at, (self.filled + np.cumsum(size) - size).astype(np.int32))
+        self.size, self.key = np.insert(self.size, at, size.astype(np.int32)), np.insert(self.key, at, key)
         self.filled += total
 
     def batch(self, column: pa.Array) -> list[np.ndarray]:
@@ -123,7 +123,7 @@ class Encoder:
             self._learn(words[new], [data[a:b].decode() for a, b in zip(t.start[f].tolist(), t.end[f].tolist(), strict=True)])
             at = np.searchsorted(self.key, words)
         at = at[number]
-        start, size = self.start[at], self.size[at]
+        start, size = self.start[at].astype(np.int64), self.size[at].astype(np.int64)
         end = np.cumsum(size)
         ids = self.flat[np.arange(end[-1]) + np.repeat(start - (end - size), size)] if len(end) else np.zeros(0, np.int32)
         last = np.concatenate([[0], end])[t.bounds]
