@@ -32,11 +32,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each group of near copies (five words, similarity 0.8); rows that repeat an id are one document, rows without an id stay."""
+    """The smallest document of each group of near copies (five words, similarity 0.8).
+
+    Rows that repeat an id with the same text are one document (of their other columns the smallest stay);
+    other texts under the same id stay beside it, and so do rows without an id.
+    """
     groups = jaccard_components(docs, k=5, threshold="0.8")
     kept = groups.where("component_id = doc_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    named = docs.join(kept, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("_rest"))
+    return named.select(*[F.col(f"_rest.{c}").alias(c) if c in rest else F.col(c) for c in docs.columns]).union(docs.where(F.col("doc_id").isNull()))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
