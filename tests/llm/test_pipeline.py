@@ -70,3 +70,12 @@ def test_training_order_reaches_the_sequences(spark):
     assert len(first) > 20 and first == sorted(first)
     used = [r.positions[0] if r.positions else float("inf") for r in queries.op4_curriculum_mix(spark, SF).collect()]
     assert used == sorted(used)
+
+
+def test_texts_under_one_id_are_kept_apart(spark):
+    body = lambda s: " ".join(f"{s}{i}" for i in range(40))
+    rows = [(1, body("a"), "en", "s", 1), (1, body("b"), "en", "s", 1), (1, body("a"), "en", "r", 1), (2, body("a"), "en", "s", 1), (None, body("a"), None, None, None), (3, None, "en", "s", 0), (4, "", "en", "s", 0), (4, "", "en", "s", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r.doc_id or 9), (r.text or "")[:2], r.source) for r in P.near_duplicates(spark, docs, SF).collect())
+    assert got == [(1, "a0", "r"), (1, "b0", "s"), (3, "", "s"), (4, "", "s"), (9, "a0", None)]
+    assert P.near_duplicates(spark, docs.limit(0), SF).count() == 0
