@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions.rounding import half_up_ratio
+from .quantiles import exact_quantiles
 from .validate import FAILED, VALID, Validated
 
 # Score weights.
@@ -179,40 +180,32 @@ def metrics_json(metrics: DataFrame) -> DataFrame:
     return metrics.select(F.to_json(F.struct(*[F.col(c) for c in metrics.columns])).alias("json"))
 
 
-def numeric_summary(df: DataFrame, columns: list[str] | None = None, accuracy: int = 10000) -> DataFrame:
+def numeric_summary(df: DataFrame, columns: list[str] | None = None, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """M4: count, mean, stddev, min, quartiles, max per numeric column.
 
-    One aggregate; the quartiles come from ``percentile_approx`` (bounded
-    memory per task at any scale, the same estimator ``DataFrame.summary``
-    uses).  Output ``(column_name, count, mean, stddev, min, p25, p50, p75, max)``.
+    Output ``(column_name, count, mean, stddev, min, p25, p50, p75, max)``.
+    The quartiles are exact (``operators.quantiles``, three passes over the
+    columns); ``exact=False`` takes them from ``percentile_approx`` in the one
+    aggregate that gives the rest.
     """
     from pyspark.sql.types import NumericType
 
-    cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and not f.name.startswith("_")]
+    cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name in business_columns(df)]
+    quartiles = [0.25, 0.5, 0.75]
+    rows = []
     aggs = []
     for i, c in enumerate(cols):
         x = F.col(f"`{c}`").cast("double")
-        aggs += [
-            F.count(x).alias(f"n{i}"),
-            F.avg(x).alias(f"mean{i}"),
-            F.stddev_samp(x).alias(f"sd{i}"),
-            F.min(x).alias(f"min{i}"),
-            F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"q{i}"),
-            F.max(x).alias(f"max{i}"),
-        ]
-    a = df.agg(*aggs)
-    rows = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"n{i}").alias("count"),
-            F.col(f"mean{i}").alias("mean"),
-            F.col(f"sd{i}").alias("stddev"),
-            F.col(f"min{i}").alias("min"),
-            F.col(f"q{i}")[0].alias("p25"),
-            F.col(f"q{i}")[1].alias("p50"),
-            F.col(f"q{i}")[2].alias("p75"),
-            F.col(f"max{i}").alias("max"),
-        )
-        for i, c in enumerate(cols)
-    ]
-    return a.select(F.inline(F.array(*rows)))
+        aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_samp(x).alias(f"sd{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
+        if not exact:
+            aggs.append(F.percentile_approx(x, quartiles, accuracy).alias(f"q{i}"))
+        got = [F.lit(c).alias("column_name"), F.col(f"n{i}").alias("count"), F.col(f"mean{i}").alias("mean"), F.col(f"sd{i}").alias("stddev"), F.col(f"min{i}").alias("min")]
+        if not exact:
+            got += [F.col(f"q{i}")[q].alias(f"p{round(100 * p)}") for q, p in enumerate(quartiles)]
+        rows.append(F.struct(*got, F.col(f"max{i}").alias("max")))
+    plain = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    if not exact:
+        return plain
+    at = lambda q: F.max(F.when(F.col("q") == q, F.col("value"))).alias(f"p{round(100 * quartiles[q])}")
+    q = exact_quantiles(df, cols, accuracy=accuracy).groupBy("column_name").agg(*[at(i) for i in range(3)])
+    return plain.join(q, "column_name", "left").select("column_name", "count", "mean", "stddev", "min", "p25", "p50", "p75", "max")

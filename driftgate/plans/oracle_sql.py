@@ -395,3 +395,14 @@ ORACLE["rule_types"] = _with(f"raw_orders AS ({RAW_ORDERS_SQL})") + " UNION ALL
         ("price_below_1500", "CAST(NULL AS VARCHAR)", "error", "COALESCE(price < 1500, false)"),
     )
 ) + " UNION ALL SELECT 'coupon_not_null', 'coupon', false, 0, 0, 0.0, 'error'"
+
+# M4: quartiles by rank, the smallest value that at least a quarter, half, three quarters do not exceed
+ORACLE["numeric_summary"] = _clean(
+    """SELECT column_name, count(x) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS stddev, min(x) AS min,
+       min(x) FILTER (WHERE 4 * place >= n) AS p25, min(x) FILTER (WHERE 2 * place >= n) AS p50, min(x) FILTER (WHERE 4 * place >= 3 * n) AS p75, max(x) AS max
+FROM (
+  SELECT column_name, x, row_number() OVER (PARTITION BY column_name ORDER BY x) AS place, count(*) OVER (PARTITION BY column_name) AS n
+  FROM (SELECT 'quantity' AS column_name, CAST(quantity AS DOUBLE) AS x FROM clean_orders UNION ALL SELECT 'price', CAST(price AS DOUBLE) FROM clean_orders)
+  WHERE x IS NOT NULL
+) GROUP BY column_name"""
+)
