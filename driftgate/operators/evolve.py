@@ -5,20 +5,24 @@ registered columns in registered order, cast with ``try_cast`` (a value
 that does not fit becomes NULL instead of failing the batch under ANSI),
 missing columns as typed NULLs, and -- in "evolve" mode -- the new columns
 after them.  Structs are conformed field by field (dotted-path drift), arrays
-of structs element-wise.  ``rescue=True`` keeps the original text of every
-cell a cast turned to NULL in ``_rescued map<string,string>``.
+element-wise.  ``rescue=True`` keeps the original text of every cell whose cast
+lost something -- it became NULL, or a value that does not lead back to the
+original (2.7 as 2) -- in ``_rescued map<string,string>``, nested cells by path
+(``a.b``, ``items[0].n``).
 """
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
+from pyspark.sql.types import ArrayType, DataType, DateType, MapType, NumericType, StringType, StructType, TimestampNTZType, TimestampType
 
+from ..functions.lineage import LINEAGE, RESCUED
 from ..functions.types import type_name
 from .schema_diff import Comparison
 
-RESCUED = "_rescued"
 MODES = ("evolve", "match", "strict")
 
 
@@ -52,17 +56,59 @@ def _conform_col(c: Column, src: DataType, dst: DataType, keep_new: bool, _key=s
             dst_names = {_key(f.name) for f in dst.fields}
             parts.extend(c.getField(f.name).alias(f.name) for f in src.fields if _key(f.name) not in dst_names)
         return F.when(c.isNull(), F.lit(None)).otherwise(F.struct(*parts))
-    if isinstance(src, ArrayType) and isinstance(dst, ArrayType) and isinstance(src.elementType, StructType):
+    if isinstance(src, ArrayType) and isinstance(dst, ArrayType):
         return F.transform(c, lambda x: _conform_col(x, src.elementType, dst.elementType, keep_new, _key))
     return c.try_cast(dst)
 
 
+def _lost(c: Column, typed: Column, src: DataType, dst: DataType) -> Column:
+    """Whether a cast keeps less than the cell had: nothing at all, or a value that does not lead back to it.
+
+    Text is read, not converted: digits beyond a decimal's scale are rounded as any reader rounds them.
+    """
+    nothing = typed.isNull()
+    if isinstance(src, NumericType) and isinstance(dst, NumericType):
+        return nothing | ~typed.try_cast(src).eqNullSafe(c)
+    if isinstance(src, (TimestampType, TimestampNTZType)) and isinstance(dst, DateType):
+        return nothing | ~typed.cast(src).eqNullSafe(c)
+    if isinstance(src, StringType) and isinstance(dst, DateType):
+        return nothing | (c.try_cast("timestamp_ntz") != typed.cast("timestamp_ntz"))
+    return nothing
+
+
+def _rescued_cells(c: Column, src: DataType, dst: DataType, path: Column, keep_new: bool, _key) -> Column | None:
+    """``array<struct<k, v>>``: path and original text of every cell under ``c`` that its cast lost; None: none can be."""
+    if type_name(src) == type_name(dst):
+        return None
+    none = F.array().cast("array<struct<k:string,v:string>>")
+    if isinstance(src, StructType) and isinstance(dst, StructType):
+        by_name = {_key(f.name): f for f in src.fields}
+        parts = []
+        for f in dst.fields:
+            sf = by_name.get(_key(f.name))
+            if sf is not None:
+                cells = _rescued_cells(c.getField(sf.name), sf.dataType, f.dataType, F.concat(path, F.lit(f".{f.name}")), keep_new, _key)
+                parts += [cells] if cells is not None else []
+        return F.concat(*parts) if parts else None
+    if isinstance(src, ArrayType) and isinstance(dst, ArrayType):
+
+        def element(x: Column, i: Column) -> Column:
+            at = F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
+            cells = _rescued_cells(x, src.elementType, dst.elementType, at, keep_new, _key)
+            return none if cells is None else cells
+
+        return F.coalesce(F.flatten(F.transform(c, element)), none)
+    typed = _conform_col(c, src, dst, keep_new, _key)
+    text = F.to_json(c) if isinstance(src, (StructType, ArrayType, MapType)) else c.cast("string")
+    return F.when(c.isNotNull() & _lost(c, typed, src, dst), F.array(F.struct(path.alias("k"), text.alias("v")))).otherwise(none)
+
+
 def conform(
     df: DataFrame,
     registered: StructType,
     keep_new: bool = True,
     rescue: bool = False,
-    lineage_prefix: str = "_",
+    lineage: Collection[str] = LINEAGE,
 ) -> DataFrame:
     """One projection onto ``registered`` (+ new columns when ``keep_new``)."""
     _key = _key_fn()
@@ -78,16 +124,15 @@ def conform(
         c = F.col(f"`{src.name}`")
         typed = _conform_col(c, src.dataType, f.dataType, keep_new, _key)  # E5
         out.append(typed.alias(f.name))
-        if rescue and type_name(src.dataType) != type_name(f.dataType):
-            rescued.append(
-                F.when(c.isNotNull() & typed.isNull(), F.struct(F.lit(f.name).alias("k"), c.cast("string").alias("v")))
-            )
+        if rescue:
+            cells = _rescued_cells(c, src.dataType, f.dataType, F.lit(f.name), keep_new, _key)
+            rescued += [cells] if cells is not None else []
     extra = [
-        f for f in df.schema.fields if _key(f.name) not in reg_names and (keep_new or f.name.startswith(lineage_prefix))
+        f for f in df.schema.fields if _key(f.name) not in reg_names and (keep_new or f.name in lineage)
     ]
     out.extend(F.col(f"`{f.name}`") for f in extra if f.name != RESCUED)  # E3 (+ lineage columns)
     if rescue:
-        entries = F.array_compact(F.array(*rescued)) if rescued else F.array().cast("array<struct<k:string,v:string>>")
+        entries = F.concat(*rescued) if rescued else F.array().cast("array<struct<k:string,v:string>>")
         out.append(F.map_from_entries(entries).alias(RESCUED))
     return df.select(*out)
 
@@ -120,9 +165,3 @@ def evolved_schema(comparison: Comparison, mode: str = "evolve") -> StructType |
     reg_names = {_key(f.name) for f in comparison.registered.fields}
     fields = list(comparison.registered.fields) + [f for f in comparison.incoming.fields if _key(f.name) not in reg_names]
     return StructType(fields)
-
-
-def read_with_schema(reader, schema: StructType, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read old and new files with the registered (evolved) schema; older
-    files show NULL for columns they lack."""
-    return reader.schema(schema).format(fmt).load(path)

@@ -5,10 +5,10 @@ DataFrame:
 
 * over the flagged batch: total / valid / invalid and the failed count of
   every rule (M1, V9) -- one pass;
-* over the raw batch: ``groupBy(all business columns).count()`` gives the
-  whole-row duplicates (M2) and, summed per column, the NULL/NaN counts (M3)
-  in the same pass.  The group-by combines map-side, so a group of identical
-  copies holding a third of the batch shrinks to one row per map task.
+* over the raw batch: rows grouped by a 128-bit print of their values and their
+  NULL bits give the whole-row duplicates (M2) and the NULL/NaN counts (M3) in
+  one pass.  The group-by combines map-side, so a group of identical copies holding a third of
+  the batch shrinks to one row per map task, and no row travels whole.
 
 The two one-row results are merged without a cross join: both are unpivoted
 to ``(key, value)`` rows, unioned, and folded into one map.
@@ -20,10 +20,15 @@ half-up to 2 decimals; 0 for an empty batch.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, MapType, StructType
 
+from ..functions.lineage import LINEAGE, NULL_CELLS, ROW_PRINT
 from ..functions.rounding import half_up_ratio
 from .quantiles import exact_quantiles
 from .validate import FAILED, VALID, Validated
@@ -31,9 +36,11 @@ from .validate import FAILED, VALID, Validated
 # Score weights.
 W_VALID, W_UNIQUE, W_COMPLETE = 40, 30, 30
 
+_WORD = 63  # NULL bits to a number
+
 
-def business_columns(df: DataFrame, ignore_prefix: str = "_") -> list[str]:
-    return [c for c in df.columns if not c.startswith(ignore_prefix)]
+def business_columns(df: DataFrame, lineage: Collection[str] = LINEAGE) -> list[str]:
+    return [c for c in df.columns if c not in lineage]
 
 
 def _is_null(df: DataFrame, name: str) -> Column:
@@ -44,22 +51,45 @@ def _is_null(df: DataFrame, name: str) -> Column:
     return c.isNull()
 
 
+def profile_columns(raw: DataFrame, columns: list[str] | None = None) -> list[Column]:
+    """What M2 and M3 need of a row: its 128-bit print and a bit for each NULL (NaN) cell.
+
+    Two rows are copies when they agree on every value, NULLs and NaNs
+    included.  Nested values enter the print as JSON text.  The print is two
+    64-bit hashes from different seeds; among n different rows the odds that
+    any two share it are below n * n / 2**129 (10**12 rows: 2 in 10**15).
+    """
+    cols = columns or business_columns(raw)
+    parts = []
+    for c in cols:
+        x = F.col(f"`{c}`")
+        if isinstance(raw.schema[c].dataType, (ArrayType, MapType, StructType)):
+            x = F.to_json(x, {"ignoreNullFields": "false"})
+        parts += [x.isNull(), x]
+    prints = F.struct(F.xxhash64(F.lit(0), *parts).alias("a"), F.xxhash64(F.lit(1), *parts).alias("b"))
+    # one bit a column, 63 to a number
+    words = []
+    for lo in range(0, max(len(cols), 1), _WORD):
+        bits = [F.when(_is_null(raw, c), F.lit(1 << i).cast("bigint")).otherwise(F.lit(0)) for i, c in enumerate(cols[lo : lo + _WORD])]
+        words.append(reduce(add, bits, F.lit(0).cast("bigint")).alias(f"w{lo // _WORD}"))
+    return [prints.alias(ROW_PRINT), F.struct(*words).alias(NULL_CELLS)]
+
+
 def row_profile(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """M2 + M3 in one shuffle: one row ``(rows, duplicate_records, null_<c>...)``."""
+    """M2 + M3: one row ``(rows, duplicate_records, null_<c>...)``.
+
+    One pass: rows are grouped by print and NULL bits, so the shuffle carries a
+    few numbers for each row, whatever its width; copies are combined map-side.
+    Rows that bring their profile columns along (``run_batch``) are not
+    profiled again.
+    """
     cols = columns or business_columns(raw)
-    # Group on the values; map-typed columns are grouped through their JSON text.
-    keys = [
-        (F.to_json(F.col(f"`{c}`")) if raw.schema[c].dataType.typeName() == "map" else F.col(f"`{c}`")).alias(f"_k{i}")
-        for i, c in enumerate(cols)
-    ]
-    keyed = raw.select(*keys)
-    grouped = keyed.groupBy(*[f"_k{i}" for i in range(len(cols))]).count()
-    aggs = [F.sum("count").alias("rows"), F.sum(F.col("count") - 1).alias("duplicate_records")]
-    aggs += [
-        F.sum(F.when(_is_null(keyed, f"_k{i}"), F.col("count")).otherwise(F.lit(0))).alias(f"null_{c}")
-        for i, c in enumerate(cols)
-    ]
-    return grouped.agg(*aggs)
+    own = raw if ROW_PRINT in raw.columns else raw.select(*profile_columns(raw, cols))
+    keys = [F.col(ROW_PRINT)["a"].alias("a"), F.col(ROW_PRINT)["b"].alias("b")]
+    keys += [F.col(NULL_CELLS)[f"w{i}"].alias(f"w{i}") for i in range(-(-max(len(cols), 1) // _WORD))]
+    groups = own.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    nulls = [F.sum(F.when(F.bit_get(f"w{i // _WORD}", F.lit(i % _WORD)) == 1, F.col("n")).otherwise(F.lit(0))).alias(f"null_{c}") for i, c in enumerate(cols)]
+    return groups.agg(F.sum("n").alias("rows"), F.sum(F.col("n") - 1).alias("duplicate_records"), *nulls)
 
 
 def null_counts(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -72,8 +102,9 @@ def null_counts(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def duplicate_count(raw: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """M2 alone: ``count - count(distinct row)`` as one row."""
-    return row_profile(raw, columns).select(F.col("duplicate_records").cast("bigint").alias("duplicate_records"))
+    """M2 alone: ``count - count(distinct row)`` as one row (NULL for an empty table)."""
+    prints = raw.select(profile_columns(raw, columns)[0]).groupBy(F.col(ROW_PRINT)["a"], F.col(ROW_PRINT)["b"]).agg(F.count(F.lit(1)).alias("n"))
+    return prints.agg(F.sum(F.col("n") - 1).alias("duplicate_records"))
 
 
 def collect_metrics(

@@ -16,8 +16,9 @@ map-side, so a hot key costs one small row per map task -- and joined back on
 the key with null-safe equality.  The join side per key is a single row, so
 AQE's skew-join handling can split a hot key's rows over many tasks.  With
 a single fixed-width order column (the default row id) the aggregate is a
-plain ``min`` and runs hash-based; a multi-column order uses ``min(struct)``,
-which Spark aggregates sort-based (still combined map-side).
+plain ``min`` and runs hash-based.  A multi-column order takes two phases: keys
+are counted (hash-based, two narrow columns), and only rows whose key repeats
+meet ``min(struct)``, which Spark aggregates sort-based.
 
 Row identity: the struct ends with a row id so that exactly one row per key
 wins even among identical rows.  Give ``row_id`` columns that are unique
@@ -28,17 +29,17 @@ is a file scan or a materialised (checkpointed / persisted) DataFrame.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
-from typing import Any, Iterable
+from collections.abc import Iterable, Iterator
 
+from pyspark.errors import IllegalArgumentException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from .rules import ERROR, UNIQUE, Rule, RuleError, RuleSet, _column_type, has_column
-
-FAILED = "_failed_rules"
-VALID = "_valid"
-ROW_ID = "_rid"
+from ..functions.lineage import FAILED, ROW_ID, VALID
+from .rules import CUSTOM, ERROR, PATTERN, UNIQUE, Rule, RuleError, RuleSet, _column_type, has_column
 
 RESULT_SCHEMA = (
     "rule_name string, column_name string, passed boolean, failed_count bigint, "
@@ -105,16 +106,62 @@ class Validated:
         return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+@contextmanager
+def error_free(df: DataFrame) -> Iterator[None]:
+    """Expressions resolved inside give NULL where a value does not fit, instead of failing the job.
+
+    Casts, arithmetic and lookups take their error behaviour when they are
+    resolved, so only what is built inside is affected.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get("spark.sql.ansi.enabled")
+    conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        yield
+    finally:
+        conf.set("spark.sql.ansi.enabled", before)
+
+
+def check_pattern(df: DataFrame, pattern: str) -> None:
+    """Compile a PATTERN rule's expression up front; raises RuleError when it is none."""
+    try:
+        df.sparkSession._jvm.java.util.regex.Pattern.compile(pattern)
+    except IllegalArgumentException as exc:  # a PatternSyntaxException is one
+        raise RuleError(f"invalid pattern {pattern!r}: {exc}") from None
+
+
+def failing_rules(df: DataFrame, rules: Iterable[Rule]) -> dict[str, str]:
+    """Name and error of every CUSTOM rule that cannot be evaluated over ``df``, each tried alone.
+
+    For after a job over the flagged rows has failed: an expression may still
+    raise by itself (``raise_error``, a user function).
+    """
+    errors = {}
+    for r in rules:
+        if r.rule_type == CUSTOM:
+            try:
+                with error_free(df):
+                    probe = df.select(r.predicate(df.schema).alias("ok"))
+                probe.agg(F.count_if("ok")).collect()
+            except Exception as exc:  # noqa: BLE001 - reported as a result row
+                errors[r.name] = str(exc)
+    return errors
+
+
 def validate(
     df: DataFrame,
     rules: RuleSet | Iterable[Rule],
     row_id: list[str] | None = None,
     on_rule_error: str = "report",
+    known_errors: dict[str, str] | None = None,
 ) -> Validated:
     """Flag every row against ``rules``.
 
     ``on_rule_error``: "report" (the rule is left out of the split and shows
     up in ``results()`` with its error, V10) or "fail" (raise before any job).
+    ``known_errors``: rules found to fail when they ran (``failing_rules``),
+    reported likewise.  A value that a rule's expression cannot cast or divide
+    fails that row, not the job.
     """
     rules = rules if isinstance(rules, RuleSet) else RuleSet(tuple(rules))
     schema = df.schema
@@ -124,6 +171,9 @@ def validate(
 
     # Analyse every rule against the schema before anything runs.
     for r in rules:
+        if r.name in (known_errors or {}):
+            errors[r.name] = known_errors[r.name]
+            continue
         try:
             if r.rule_type == UNIQUE:
                 if r.column is None or not has_column(schema, r.column):
@@ -132,14 +182,17 @@ def validate(
                 if missing:
                     raise RuleError(f"rule {r.name}: order_by columns not found: {missing}")
             else:
+                if r.rule_type == PATTERN:
+                    check_pattern(df, r.params.get("pattern") or "")
                 p = r.predicate(schema)
-                df.limit(0).select(p)  # resolves the expression; no job runs
+                with error_free(df):
+                    df.limit(0).select(p)  # resolves the expression; no job runs
                 predicates[r.name] = p
             applied.append(r)
         except Exception as exc:  # noqa: BLE001 - reported as a result row
             if on_rule_error == "fail":
                 raise
-            errors[r.name] = str(exc).splitlines()[0]
+            errors[r.name] = str(exc)
 
     work = df
     uniques = [r for r in applied if r.rule_type == UNIQUE]
@@ -159,7 +212,8 @@ def validate(
     for r in error_rules:
         valid = valid & predicates[r.name]
 
-    flagged = work.select(*[F.col(f"`{c}`") for c in df.columns], failed.alias(FAILED), valid.alias(VALID))
+    with error_free(df):
+        flagged = work.select(*[F.col(f"`{c}`") for c in df.columns], failed.alias(FAILED), valid.alias(VALID))
     return Validated(flagged=flagged, rules=rules, applied=applied, rule_errors=errors)
 
 
@@ -176,20 +230,17 @@ def _first_occurrence(df: DataFrame, rule: Rule, row_id: list[str], i: int) -> t
         # NULLs come last, as in the plain minimum above
         order = F.struct(*[x for c in order_cols for x in (F.col(f"`{c}`").isNull().alias(f"{c}_null"), F.col(f"`{c}`"))])
     keyed = df.withColumn(f"_uo{i}", order)
-    firsts = (
-        keyed.select(key.alias(f"_uk{i}"), F.col(f"_uo{i}"))
-        .groupBy(f"_uk{i}")
-        .agg(F.min(f"_uo{i}").alias(f"_uf{i}"))
-    )
-    joined = keyed.join(firsts, key.eqNullSafe(F.col(f"_uk{i}")), "inner")
-    # null-safe: a row with a NULL order value is either first or not, never lost
-    return joined, F.col(f"_uo{i}").eqNullSafe(F.col(f"_uf{i}"))
-
-
-def split(validated: Validated) -> tuple[DataFrame, DataFrame]:
-    return validated.valid, validated.invalid
+    if not _is_struct(keyed, f"_uo{i}"):
+        firsts = keyed.select(key.alias(f"_uk{i}"), F.col(f"_uo{i}")).groupBy(f"_uk{i}").agg(F.min(f"_uo{i}").alias(f"_uf{i}"))
+    else:
+        # hash-aggregated counts first: only rows of keys that repeat are ordered
+        repeated = df.groupBy(key.alias(f"_ur{i}")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(f"_ur{i}")
+        again = keyed.select(key.alias(f"_uk{i}"), F.col(f"_uo{i}")).join(repeated, F.col(f"_uk{i}").eqNullSafe(F.col(f"_ur{i}")), "left_semi")
+        firsts = again.groupBy(f"_uk{i}").agg(F.min(f"_uo{i}").alias(f"_uf{i}"))
+    joined = keyed.join(firsts.withColumn(f"_um{i}", F.lit(True)), key.eqNullSafe(F.col(f"_uk{i}")), "left")
+    # a key without a partner stands once; null-safe: a row with a NULL order value is either first or not, never lost
+    return joined, F.col(f"_um{i}").isNull() | F.col(f"_uo{i}").eqNullSafe(F.col(f"_uf{i}"))
 
 
-def result_dicts(results: DataFrame) -> list[dict[str, Any]]:
-    """Small helper for reporting: the per-rule table is one row per rule."""
-    return [r.asDict() for r in results.collect()]
+def _is_struct(df: DataFrame, name: str) -> bool:
+    return isinstance(df.schema[name].dataType, StructType)

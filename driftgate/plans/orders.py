@@ -29,7 +29,6 @@ ORDERS_SCHEMA = StructType(
         StructField("shipping_method", StringType()),
     ]
 )
-ORDERS_DDL = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ORDERS_SCHEMA.fields)
 
 # Reports are run "as of" the last order date of the driver data.
 AS_OF = _dt.date(2001, 8, 1)

@@ -3,9 +3,9 @@
 detect drift (D) -> conform (E) -> validate (V) -> clean + quarantine writes
 (S8-S10) -> metrics, alerts, schema publish, run log (M, S11, S13).
 
-Jobs per batch: the raw batch is read by the flagged plan (twice when a
-UNIQUE rule needs its aggregate branch), the flagged rows are persisted once,
-then two writes and one metrics aggregate read the persisted rows.  A lost
+Jobs per batch: the raw batch is read by the flagged plan (again by the
+branches of a UNIQUE rule), the flagged rows are persisted once with their
+row prints and NULL cells, then two writes and the metrics read those.  A lost
 executor only loses cached blocks, which Spark recomputes from the (file
 scan) lineage; the row ids used by UNIQUE are stable under that recompute
 because they are assigned right after the file scan.
@@ -26,12 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators.alerts import check_thresholds
-from ..operators.evolve import RESCUED, SchemaDriftError, evolve, evolved_schema
-from ..operators.metrics import collect_metrics
+from ..functions.lineage import FAILED, NULL_CELLS, RESCUED, ROW_PRINT, VALID
+from ..operators.evolve import SchemaDriftError, evolve, evolved_schema
+from ..operators.metrics import business_columns, collect_metrics, profile_columns
 from ..operators.registry import SchemaRegistry, add_catalog_columns, catalog_schema
 from ..operators.rules import RuleSet
 from ..operators.schema_diff import Comparison, detect
-from ..operators.validate import FAILED, VALID, Validated, validate
+from ..operators.validate import Validated, failing_rules, validate
 from ..settings import TableSpec
 from ..sinks.writers import BATCH_ID, path_exists, remove_batch, to_quarantine, with_partitions, write_partitioned, write_rows
 
@@ -179,6 +180,9 @@ def run_batch(
     if spec.catalog_table:
         registered = catalog_schema(spark, spec.catalog_table)  # S12
     registered = registered or registry.get(spec.name) or spec.registered_schema
+    columns = business_columns(raw)
+    # metrics take NULL cells and copies from the flagged rows, so the raw batch is not read for them
+    raw = raw.select("*", *profile_columns(raw, columns))
     prepared = prepare(raw, registered, rules, mode=mode, row_id=row_id)
     step("prepare")
     incompatible = not prepared.comparison.is_backward_compatible
@@ -187,32 +191,43 @@ def run_batch(
         if log_failures:
             log_failure(spark, spec, batch_id, started, error)
         raise error
-    flagged = prepared.validated.flagged.withColumn(BATCH_ID, F.lit(batch_id))
-    if incompatible and on_incompatible == "quarantine":
-        flagged = flagged.withColumns(
-            {
-                VALID: F.lit(False),
-                FAILED: F.array_union(F.col(FAILED), F.array(F.lit(SCHEMA_INCOMPATIBLE))),
-            }
-        )
-    flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
-    validated = Validated(flagged, prepared.validated.rules, prepared.validated.applied, prepared.validated.rule_errors)
-    cached: list[DataFrame] = [flagged]
+
+    def flag(of: Validated) -> DataFrame:
+        rows = of.flagged.withColumn(BATCH_ID, F.lit(batch_id))
+        if incompatible and on_incompatible == "quarantine":
+            rows = rows.withColumns({VALID: F.lit(False), FAILED: F.array_union(F.col(FAILED), F.array(F.lit(SCHEMA_INCOMPATIBLE)))})
+        return rows.persist(StorageLevel.MEMORY_AND_DISK)
+
+    checked = prepared.validated
+    cached: list[DataFrame] = [flag(checked)]
     try:
+        try:
+            cached[0].count()  # every rule is evaluated once, here
+        except Exception:
+            # A rule that fails as it runs is left out and reported, the others go on
+            errors = failing_rules(prepared.conformed, checked.applied)
+            if not errors:
+                raise
+            cached.pop().unpersist()
+            checked = validate(prepared.conformed, rules, row_id=row_id, known_errors=errors)
+            cached.append(flag(checked))
+        flagged = cached[0]
+        validated = Validated(flagged, checked.rules, checked.applied, checked.rule_errors)
+        step("flag")
         if mark_started(spark, spec, batch_id):
             for path in (spec.clean_path, spec.quarantine_path):
                 remove_batch(spark, path, batch_id, spec.partition_by)
         step("remove_half_written")
 
-        clean = with_partitions(validated.valid.drop(RESCUED), spec.date_column)
+        clean = with_partitions(validated.valid.drop(RESCUED, ROW_PRINT, NULL_CELLS), spec.date_column)
         quarantine = with_partitions(
-            to_quarantine(validated.invalid, quarantine_ts, quarantine_text_columns), spec.date_column
+            to_quarantine(validated.invalid.drop(ROW_PRINT, NULL_CELLS), quarantine_ts, quarantine_text_columns), spec.date_column
         )
         write_partitioned(clean, spec.clean_path, spec.partition_by)
         step("write_clean")
 
         metrics = collect_metrics(
-            raw, validated, spec.name, [c.to_dict() for c in prepared.comparison.changes]
+            flagged, validated, spec.name, [c.to_dict() for c in prepared.comparison.changes], columns
         ).persist()
         cached.append(metrics)
         m = metrics.select("total_records", "valid_records", "invalid_records", "duplicate_records", "data_quality_score").first().asDict()
@@ -223,10 +238,10 @@ def run_batch(
 
         alerts = check_thresholds(metrics, spec.thresholds).persist()
         cached.append(alerts)
-        write_rows(metrics.withColumn("batch_id", F.lit(batch_id)), spec.metrics_path, "json")
+        write_rows(metrics, spec.metrics_path, "json", batch_id)
         alert_rows = [r.asDict() for r in alerts.collect()]  # at most three
         if alert_rows:
-            write_rows(alerts.withColumn("batch_id", F.lit(batch_id)), spec.alerts_path, "parquet")
+            write_rows(alerts, spec.alerts_path, "parquet", batch_id)
 
         publish = prepared.comparison.is_new_table or (mode == "evolve" and prepared.comparison.has_changes)
         if publish and not (incompatible and on_incompatible == "quarantine"):

@@ -14,7 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BATCH_ID = "_batch_id"
+from ..functions.lineage import BATCH_ID
+
 
 
 def with_partitions(df: DataFrame, date_column: str | None = "order_date", now: Column | None = None) -> DataFrame:
@@ -82,9 +83,17 @@ def to_quarantine(
     return out
 
 
-def write_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """S11 / logs: append small log rows (metrics, alerts)."""
-    df.coalesce(1).write.mode("append").format(fmt).save(path)
+def write_rows(df: DataFrame, path: str, fmt: str = "parquet", batch_id: str | None = None) -> None:
+    """S11 / logs: append small log rows (metrics, alerts).
+
+    With ``batch_id`` the rows are that batch's, in a partition of its own: a
+    retried batch replaces them, so they are never doubled."""
+    if batch_id is None:
+        df.coalesce(1).write.mode("append").format(fmt).save(path)
+        return
+    key = F.concat(F.lit("b"), F.hex(F.xxhash64(F.lit(batch_id))))
+    rows = df.withColumns({"batch_id": F.lit(batch_id), "batch_key": key})
+    rows.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch_key").format(fmt).save(path)
 
 
 def compact_log(

@@ -1,4 +1,4 @@
-"""File scans.
+"""File scans.
 
 ``read_raw`` reads one incoming batch.  The format follows the file
 extension (csv / json / parquet).  With a registered schema the text formats
@@ -10,7 +10,7 @@ whole batch; ``infer=True`` keeps the header + inference behaviour.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
 # The admitted file extensions and their formats.
 FORMATS = {".csv": "csv", ".json": "json", ".parquet": "parquet"}
@@ -24,10 +24,6 @@ def format_of(path: str) -> str:
     raise ValueError(f"unsupported file type: {path}")
 
 
-def as_text_schema(schema: StructType) -> StructType:
-    return StructType([StructField(f.name, StringType(), True) for f in schema.fields])
-
-
 def read_raw(
     spark: SparkSession,
     path: str,
@@ -48,8 +44,3 @@ def read_raw(
     if schema is not None:
         reader = reader.schema(schema)
     return reader.load(path)
-
-
-def is_empty(df: DataFrame) -> bool:
-    """True when the batch has no rows; reads at most one row."""
-    return df.isEmpty()
