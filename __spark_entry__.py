@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 # importable from any working directory (the package sits next to this file)
@@ -35,23 +36,24 @@ from driftgate.operators.validate import FAILED, VALID, validate  # noqa: E402
 from driftgate.plans import analytics as A  # noqa: E402
 from driftgate.plans import orders as O  # noqa: E402
 from driftgate.plans.oracle_sql import ORACLE  # noqa: E402
+from driftgate.session import ensure_checkpoint_dir  # noqa: E402
 from driftgate.sources import driver_tables as dt  # noqa: E402
+from driftgate.sources.headers import file_types  # noqa: E402
 
 # The training-data operators live in one optional subpackage; without it the
 # rest of the library and its queries work as they are.
 try:
     import driftgate.llm.queries as _llm
-except ModuleNotFoundError as missing:
-    if missing.name not in ("driftgate.llm", "driftgate.llm.queries"):
-        raise
+except ImportError:
     _llm = None
 try:
     import corpus_pipeline as _pipeline
-except ModuleNotFoundError as missing:
-    if missing.name not in ("corpus_pipeline", "driftgate.llm"):
-        raise
+except ImportError:
     _pipeline = None
 
+#: queries that write the files they read, and so run jobs when they are built
+LANDING = {"landed_drift", "landed_compatibility"}
+
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 
 
@@ -140,6 +142,28 @@ def _feed_compatibility(spark: SparkSession, sf: str) -> DataFrame:
     return batch_compatibility(*_feed_types(spark, sf))
 
 
+def _landed(spark: SparkSession, sf: str) -> DataFrame:
+    """The types of every landed file's own columns: CSV files written from orders, read back by their headers, then dropped."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    dt.land_feed(spark, sf, path)
+    types = file_types(spark, f"{path}/*/*/*.csv", width=8)
+    month = F.regexp_extract("batch", "batch=([0-9-]+)", 1)
+    kept = types.withColumn("batch", month).distinct().checkpoint()
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+    return kept
+
+
+def _landed_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """D1-D4 over landed CSV files with different headers."""
+    return diff_batches(_landed(spark, sf), StructType.fromDDL(dt.FEED_SCHEMA))
+
+
+def _landed_compatibility(spark: SparkSession, sf: str) -> DataFrame:
+    """D5/D6 over the same files."""
+    return batch_compatibility(_landed(spark, sf), StructType.fromDDL(dt.FEED_SCHEMA))
+
+
 def _validation_balance(spark: SparkSession, sf: str) -> DataFrame:
     """V2/V8 where a third of the order values is NULL: valid + invalid is every row."""
     seen = F.when(F.col("_l_partkey") % 3 != 0, F.col("_ingest_ts"))
@@ -222,6 +246,8 @@ def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "batch_compatibility": _batch_compatibility,
         "feed_drift": _feed_drift,
         "feed_compatibility": _feed_compatibility,
+        "landed_drift": _landed_drift,
+        "landed_compatibility": _landed_compatibility,
         "validation_balance": _validation_balance,
         "rule_types": _rule_types,
         "conformed_rows": _conformed_rows,

@@ -379,6 +379,10 @@ ORACLE["feed_compatibility"] = _with(*_FEED) + f"""
 SELECT d.batch, CAST(count(c.change_type) AS INTEGER) AS change_count,
        COALESCE(bool_and(c.change_type <> 'missing_column' AND (c.change_type <> 'datatype_change' OR (c.old_type, c.new_type) IN ({_SAFE}))), true) AS is_backward_compatible
 FROM days d LEFT JOIN changes c ON c.batch = d.batch GROUP BY d.batch"""
+# the same feed by month: landed CSV files, each with its own header
+_LANDED = [x.replace("CAST(o_orderdate AS DATE) AS batch", "strftime(o_orderdate, '%Y-%m') AS batch").replace("day(o_orderdate)", "month(o_orderdate)") for x in _FEED]
+ORACLE["landed_drift"] = _with(*_LANDED) + "SELECT * FROM changes"
+ORACLE["landed_compatibility"] = ORACLE["feed_compatibility"].replace(_with(*_FEED), _with(*_LANDED))
 ORACLE["validation_balance"] = _with(f"raw_orders AS ({RAW_ORDERS_SQL})") + """
 SELECT CAST(count(*) AS BIGINT) AS total, CAST(count_if(ok) AS BIGINT) AS valid, CAST(count_if(NOT ok) AS BIGINT) AS invalid
 FROM (SELECT COALESCE(quantity >= 1, false) AND row_number() OVER (

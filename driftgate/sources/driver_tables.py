@@ -6,8 +6,7 @@ batch with planted defects computed from the keys, so every engine plants the
 same ones.  Both are lazy DataFrames: Catalyst prunes columns down to the
 scans and picks every join strategy by checked size (no broadcast hints).
 
-Columns whose name starts with ``_`` are lineage, not business data:
-``_ingest_ts`` is when the batch holding the row arrived (the day of the
+Lineage columns are not business data: ``_ingest_ts`` is when the batch holding the row arrived (the day of the
 order), and ``_l_*`` identify the source line so "first occurrence" orderings
 are total.
 """
@@ -17,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.lineage import SOURCE_LINE
+
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -28,7 +29,7 @@ STATUS_NAMES = {"F": "completed", "O": "pending", "P": "shipped"}
 UNSPECIFIED_PRIORITY = "4-NOT SPECIFIED"
 
 # Lineage columns that make the UNIQUE "first occurrence" order total.
-LINE_ORDER = ["_l_partkey", "_l_suppkey", "_l_shipdate", "_l_extendedprice", "_l_quantity"]
+LINE_ORDER = list(SOURCE_LINE)
 
 
 # The columns of the driver tables used here (the same at every
@@ -157,6 +158,31 @@ def feed_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(batch.alias("batch"), F.inline(cells))
 
 
+def land_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The orders as monthly CSV files under ``path``, each kind of month with a header of its own.
+
+    The month mod 6 says how, as the day does in ``feed_cells``; every file
+    carries its own header line.
+    """
+    o = table(spark, sf_dir, "orders")
+    kind = F.month("o_orderdate") % 6
+    month = F.date_format("o_orderdate", "yyyy-MM").alias("batch")
+    key, customer, total = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_totalprice").cast("string")
+    cells = {
+        "order_id": F.concat(F.lit("O"), key.cast("string")),
+        "customer_id": F.when(kind == 4, customer * 10_000_000_000).otherwise(customer),
+        "total": F.when((kind == 5) & (key % 2 == 0), "n/a").otherwise(total),
+        "order_date": F.col("o_orderdate").cast("date"),
+        "priority": F.col("o_orderpriority"),
+        "coupon": F.when(key % 3 == 0, "SAVE"),
+    }
+    usual = ["order_id", "customer_id", "total", "order_date", "priority"]
+    headers = {0: usual, 1: usual[:-1], 2: [*usual, "coupon"], 3: ["order_id", "total", "customer_id", "order_date", "priority"], 4: usual, 5: usual}
+    for k, names in headers.items():
+        rows = o.where(kind == k).select(month, *[cells[c].alias(c) for c in names])
+        rows.repartition("batch").write.partitionBy("batch").option("header", True).csv(f"{path}/kind={k}")
+
+
 # ---------------------------------------------------------------------------
 # The same views as SQL text, for cross-engine checks (DuckDB dialect; the
 # driver tables are registered under their own names).

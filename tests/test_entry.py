@@ -25,6 +25,8 @@ def test_queries_are_lazy(spark):
     sc.setJobGroup("build-queries", "building the registered queries")
     try:
         for name, fn in E._reference_queries().items():
+            if name in E.LANDING:
+                continue
             assert fn(spark, SF001).columns, name
         assert list(sc.statusTracker().getJobIdsForGroup("build-queries")) == []
     finally:
