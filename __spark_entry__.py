@@ -23,19 +23,22 @@ from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import StructType  # noqa: E402
 
 from driftgate.operators.alerts import check_thresholds  # noqa: E402
-from driftgate.operators.evolve import conform  # noqa: E402
+from driftgate.operators.evolve import conform, evolve  # noqa: E402
 from driftgate.operators.metrics import collect_metrics, duplicate_count, null_counts, numeric_summary  # noqa: E402
 from driftgate.operators.rules import INFO, WARNING, Rule, RuleSet  # noqa: E402
 from driftgate.operators.schema_diff import (  # noqa: E402
     batch_compatibility,
+    detect,
     diff_batches,
     infer_batch_types,
     infer_cell_types,
 )
+from driftgate.operators.uniqueness import with_held  # noqa: E402
 from driftgate.operators.validate import FAILED, VALID, validate  # noqa: E402
 from driftgate.plans import analytics as A  # noqa: E402
 from driftgate.plans import orders as O  # noqa: E402
 from driftgate.plans.oracle_sql import ORACLE  # noqa: E402
+from driftgate.sources.admission import parse_events  # noqa: E402
 from driftgate.session import ensure_checkpoint_dir  # noqa: E402
 from driftgate.sources import driver_tables as dt  # noqa: E402
 from driftgate.sources.headers import file_types  # noqa: E402
@@ -189,6 +192,54 @@ def _rule_types(spark: SparkSession, sf: str) -> DataFrame:
     return validate(dt.raw_orders(spark, sf), rules, row_id=[]).results().drop("error_message")
 
 
+def _cross_batch_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Uniqueness across batches: the last year's orders by whether their customer ordered before."""
+    orders = dt.table(spark, sf, "orders").select(F.col("o_custkey").alias("key"), F.year("o_orderdate").alias("year"))
+    last = F.lit(O.AS_OF.year)
+    flagged = with_held(orders.where(F.col("year") == last), orders.where(F.col("year") < last), "key", "held", bits=1 << 24)
+    return flagged.groupBy("held").agg(F.count(F.lit(1)).alias("orders"), F.count_distinct("key").alias("customers"))
+
+
+def _defective_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    raw = dt.defective_orders(spark, sf)
+    rules = RuleSet((Rule.not_null("customer_id"), Rule.range("price", min=0), Rule.not_null("priority", severity=WARNING)))
+    return collect_metrics(raw, validate(raw, rules), "orders")
+
+
+def _defective_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """M1-M5 where copies, NULLs, failing and warned rows all occur."""
+    nulls = F.col("null_counts")
+    return _defective_metrics(spark, sf).select(*_METRIC_COLS, nulls["customer_id"].alias("null_customer_id"), nulls["priority"].alias("null_priority"))
+
+
+def _defective_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """M6: every alert fires."""
+    return check_thresholds(_defective_metrics(spark, sf)).select("alert_type", "severity", "metric_value", "threshold_value")
+
+
+def _evolved(spark: SparkSession, sf: str, mode: str) -> DataFrame:
+    incoming = dt.incoming_orders(spark, sf)
+    registered = StructType.fromDDL(dt.FEED_SCHEMA)
+    rows = evolve(incoming, detect(incoming.schema, registered), mode=mode, rescue=True)
+    kept = F.col("_rescued")
+    return rows.select(*[c for c in rows.columns if c != "_rescued"], kept["total"].alias("lost_total"), kept["customer_id"].alias("lost_customer_id"))
+
+
+def _evolved_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Registered order, the missing column as NULL, casts with the lost originals, the new column after them."""
+    return _evolved(spark, sf, "evolve")
+
+
+def _matched_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The registered columns alone."""
+    return _evolved(spark, sf, "match")
+
+
+def _admitted_files(spark: SparkSession, sf: str) -> DataFrame:
+    """The objects to admit, from arrival events."""
+    return parse_events(dt.arrival_events(spark, sf), "event", "raw/orders/")
+
+
 def _quality_summary(spark: SparkSession, sf: str) -> DataFrame:
     p = O.raw_pipeline(spark, sf)
     return A.quality_summary(p.valid, O.quarantine_orders(p))
@@ -250,6 +301,12 @@ def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "landed_compatibility": _landed_compatibility,
         "validation_balance": _validation_balance,
         "rule_types": _rule_types,
+        "cross_batch_keys": _cross_batch_keys,
+        "defective_counts": _defective_counts,
+        "defective_alerts": _defective_alerts,
+        "evolved_rows": _evolved_rows,
+        "matched_rows": _matched_rows,
+        "admitted_files": _admitted_files,
         "conformed_rows": _conformed_rows,
         "duplicate_rows": _duplicate_rows,
         "numeric_summary": _numeric_summary,

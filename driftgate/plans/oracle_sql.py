@@ -410,3 +410,42 @@ FROM (
   WHERE x IS NOT NULL
 ) GROUP BY column_name"""
 )
+
+# keys of one batch that the table before it holds
+ORACLE["cross_batch_keys"] = """SELECT o_custkey IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) < 2001) AS held, count(*) AS orders, count(DISTINCT o_custkey) AS customers
+FROM orders WHERE year(o_orderdate) = 2001 GROUP BY held"""
+
+# a batch that raises every alert: failing rows, copies and missing cells
+_DEFECTIVE = """
+d AS (
+  SELECT o_orderkey AS k, CASE WHEN o_orderkey % 3 = 0 THEN 4 ELSE 1 END AS copies, o_custkey % 5 = 0 AS no_customer, o_custkey % 3 = 0 AS no_priority,
+         o_orderkey % 7 = 0 AND o_totalprice > 0 AS below
+  FROM orders),
+c AS (
+  SELECT CAST(sum(copies) AS BIGINT) AS total_records, CAST(sum(CASE WHEN no_customer OR below THEN 0 ELSE copies END) AS BIGINT) AS valid_records,
+         CAST(sum(CASE WHEN no_customer OR below THEN copies ELSE 0 END) AS BIGINT) AS invalid_records, CAST(sum(copies - 1) AS BIGINT) AS duplicate_records,
+         CAST(sum(CASE WHEN no_customer THEN copies ELSE 0 END) AS BIGINT) AS null_customer_id, CAST(sum(CASE WHEN no_priority THEN copies ELSE 0 END) AS BIGINT) AS null_priority
+  FROM d),
+m AS (
+  SELECT *, null_customer_id + null_priority AS total_null_cells, """ + hu(
+    "valid_records * 160 + (total_records - duplicate_records) * 120 + (total_records * 4 - null_customer_id - null_priority) * 30", "total_records * 4"
+) + """ AS data_quality_score FROM c)"""
+ORACLE["defective_counts"] = _with(_DEFECTIVE) + "SELECT * FROM m"
+ORACLE["defective_alerts"] = _with(_DEFECTIVE) + """
+SELECT unnest(['INVALID_RECORDS_THRESHOLD_EXCEEDED', 'DUPLICATE_RECORDS_THRESHOLD_EXCEEDED', 'LOW_QUALITY_SCORE']) AS alert_type,
+       unnest(['ERROR', 'WARNING', 'ERROR']) AS severity,
+       unnest([CAST(invalid_records AS DOUBLE) / total_records * 100.0, CAST(duplicate_records AS DOUBLE) / total_records * 100.0, data_quality_score]) AS metric_value,
+       unnest([5.0::DOUBLE, 2.0::DOUBLE, 85.0::DOUBLE]) AS threshold_value
+FROM m"""
+
+# one incoming batch conformed: registered order, casts, the lost originals, with and without its new column
+_INCOMING = """
+SELECT 'O' || o_orderkey AS order_id, CAST(o_custkey AS INTEGER) AS customer_id, CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END AS total,
+       CAST(o_orderdate AS DATE) AS order_date, CAST(NULL AS VARCHAR) AS priority,
+       CASE WHEN o_orderkey % 11 = 0 THEN 'n/a' END AS lost_total, CASE WHEN o_orderkey % 13 = 0 THEN o_custkey || '.5' END AS lost_customer_id"""
+ORACLE["evolved_rows"] = _INCOMING + ", CASE WHEN o_orderkey % 3 = 0 THEN 'SAVE' END AS coupon FROM orders"
+ORACLE["matched_rows"] = _INCOMING + " FROM orders"
+ORACLE["admitted_files"] = """
+SELECT 'lake' AS bucket, 'raw/orders/' || o_orderkey || '/' || ['a.csv', 'B.Parquet', 'c d.json'][1 + o_orderkey % 6] AS key,
+       CAST(o_orderkey % 4 * 100 AS BIGINT) AS size, strftime(o_orderdate, '%Y-%m-%d') AS event_time
+FROM orders WHERE o_orderkey % 6 < 3 AND o_orderkey % 5 <> 0 AND o_orderkey % 17 <> 0 AND o_orderkey % 4 <> 0"""

@@ -25,13 +25,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.alerts import check_thresholds
 from ..functions.lineage import FAILED, NULL_CELLS, RESCUED, ROW_PRINT, VALID
+from ..operators.alerts import check_thresholds
 from ..operators.evolve import SchemaDriftError, evolve, evolved_schema
 from ..operators.metrics import business_columns, collect_metrics, profile_columns
 from ..operators.registry import SchemaRegistry, add_catalog_columns, catalog_schema
 from ..operators.rules import RuleSet
 from ..operators.schema_diff import Comparison, detect
+from ..operators.uniqueness import with_held
 from ..operators.validate import Validated, failing_rules, validate
 from ..settings import TableSpec
 from ..sinks.writers import BATCH_ID, path_exists, remove_batch, to_quarantine, with_partitions, write_partitioned, write_rows
@@ -150,6 +151,7 @@ def run_batch(
     timings: dict | None = None,
     on_incompatible: str = "evolve",
     log_failures: bool = True,
+    unique_in_table: str | None = None,
 ) -> BatchOutcome:
     """Run one batch into the lake.
 
@@ -158,6 +160,8 @@ def run_batch(
     continues; "quarantine" sends the whole batch to quarantine with the
     reason ``schema_incompatible``; "fail" raises before anything is written.
     ``log_failures=False``: the caller records a failure itself.
+    ``unique_in_table``: a key column; rows whose key the clean table already
+    holds fail with ``<key>_exists_in_clean`` (UNIQUE alone looks inside the batch).
     """
     started = time.time()
     if quarantine_text_columns is None:
@@ -194,6 +198,11 @@ def run_batch(
 
     def flag(of: Validated) -> DataFrame:
         rows = of.flagged.withColumn(BATCH_ID, F.lit(batch_id))
+        if unique_in_table and path_exists(spark, spec.clean_path):
+            # rows of an earlier attempt at this batch are about to be removed
+            others = read_layer(spark, spec).where(~F.col(BATCH_ID).eqNullSafe(batch_id))
+            reason = F.array_union(F.col(FAILED), F.array(F.lit(f"{unique_in_table}_exists_in_clean")))
+            rows = with_held(rows, others, unique_in_table, "_held_before").withColumns({VALID: F.col(VALID) & ~F.col("_held_before"), FAILED: F.when(F.col("_held_before"), reason).otherwise(F.col(FAILED))}).drop("_held_before")
         if incompatible and on_incompatible == "quarantine":
             rows = rows.withColumns({VALID: F.lit(False), FAILED: F.array_union(F.col(FAILED), F.array(F.lit(SCHEMA_INCOMPATIBLE)))})
         return rows.persist(StorageLevel.MEMORY_AND_DISK)

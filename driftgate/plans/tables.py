@@ -56,8 +56,9 @@ def discover_partitions(spark: SparkSession, table: str) -> None:
     spark.sql(f"MSCK REPAIR TABLE {table}")
 
 
-def _spec(year: int, month: int, day: int) -> str:
-    return f"PARTITION (year={int(year)}, month={int(month)}, day={int(day)})"
+def _spec(year: int | None, month: int | None, day: int | None) -> str:
+    at = [f"{c}={'NULL' if v is None else int(v)}" for c, v in (("year", year), ("month", month), ("day", day))]
+    return f"PARTITION ({', '.join(at)})"
 
 
 def add_partition(spark: SparkSession, table: str, year: int, month: int, day: int, location: str | None = None) -> None:
@@ -112,26 +113,45 @@ def materialize(df: DataFrame, path: str, partition_by=("year", "month", "day"))
     )
 
 
-def expired_partitions(clean: DataFrame, as_of: _dt.date, max_age_days: int) -> DataFrame:
-    """Partitions whose newest date is older than ``max_age_days``."""
-    return (
-        clean.groupBy("year", "month", "day")
-        .agg(F.max("order_date").alias("latest"))
-        .filter(F.datediff(F.lit(as_of), F.col("latest")) > max_age_days)
-        .select("year", "month", "day")
-    )
+PARTITION_OF = r"(year=[^/]+/month=[^/]+/day=[^/]+)/[^/]+$"
+
+
+def expired_partitions(spark: SparkSession, path: str, as_of: _dt.date, max_age_days: int) -> DataFrame:
+    """``(partition, year, month, day)`` of the partitions under ``path`` to drop.
+
+    Decided from partition values and file times alone; files are listed, not
+    read.  A partition goes when its date is older than ``max_age_days`` and no
+    file came in within that time: an old order that arrived late stays as long
+    as any.  The partition without a date goes by its files alone.  Files newer
+    than ``as_of`` were not there on that day and do not count.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    part = F.regexp_extract("path", PARTITION_OF, 1)
+    age = F.datediff(F.lit(as_of), F.col("modificationTime").cast("date"))
+    lately = F.max(F.coalesce((age >= 0) & (age <= max_age_days), F.lit(False)))
+    parts = files.select("path", "modificationTime").groupBy(part.alias("partition")).agg(lately.alias("lately")).where("partition <> ''")
+    values = {c: F.regexp_extract("partition", rf"{c}=([^/]+)", 1).try_cast("int").alias(c) for c in ("year", "month", "day")}
+    dated = parts.select("partition", "lately", *values.values())
+    date = F.concat_ws("-", "year", "month", "day").try_cast("date")
+    old = date.isNull() | (F.datediff(F.lit(as_of), date) > max_age_days)
+    return dated.where(old & ~F.col("lately")).select("partition", "year", "month", "day")
 
 
 def apply_retention(spark: SparkSession, table: str, as_of: _dt.date, max_age_days: int) -> int:
-    """S22 -> S17: drop every expired partition; returns how many.
+    """S22 -> S17: drop every expired partition from the catalog and delete its files; returns how many.
 
-    The partition list has one row per day partition, bounded by the table's
-    age in days, so it is fine to bring to the driver."""
-    parts = expired_partitions(spark.table(table), as_of, max_age_days).collect()
+    The list has one row per day partition, bounded by the table's age in days."""
+    described = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()
+    location = described["data_type"].rstrip("/")
+    parts = expired_partitions(spark, location, as_of, max_age_days).collect()
     # one statement per chunk of partitions, not one catalog call per day
     for i in range(0, len(parts), 500):
         specs = ", ".join(_spec(r["year"], r["month"], r["day"]) for r in parts[i : i + 500])
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for r in parts:
+        p = jvm.org.apache.hadoop.fs.Path(f"{location}/{r['partition']}")
+        p.getFileSystem(conf).delete(p, True)
     return len(parts)
 
 

@@ -183,6 +183,49 @@ def land_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
         rows.repartition("batch").write.partitionBy("batch").option("header", True).csv(f"{path}/kind={k}")
 
 
+def defective_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders with a fifth of the customers and a third of the priorities missing, every third order four times, and prices below zero: a batch that raises every alert."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    rows = o.select(
+        key.cast("string").alias("order_id"),
+        F.when(F.col("o_custkey") % 5 != 0, F.col("o_custkey")).alias("customer_id"),
+        F.when(key % 7 == 0, -F.col("o_totalprice")).otherwise(F.col("o_totalprice")).alias("price"),
+        F.when(F.pmod(F.col("o_custkey"), F.lit(3)) != 0, F.col("o_orderpriority")).alias("priority"),
+        F.when(key % 3 == 0, F.lit(4)).otherwise(F.lit(1)).alias("copies"),
+    )
+    return rows.select("order_id", "customer_id", "price", "priority", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("_copy")).drop("_copy")
+
+
+def incoming_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch against ``FEED_SCHEMA``: another order, totals as text of which some are no number, no priority, a new coupon."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    return o.select(
+        F.when(key % 11 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("total"),
+        F.when(key % 3 == 0, F.lit("SAVE")).alias("coupon"),
+        F.concat(F.lit("O"), key.cast("string")).alias("order_id"),
+        F.col("o_orderdate").cast("date").cast("string").alias("order_date"),
+        (F.col("o_custkey") + F.when(key % 13 == 0, 0.5).otherwise(0.0)).alias("customer_id"),
+    )
+
+
+def arrival_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One arrival event for each order, as the JSON text a notification brings; half of the objects are none to admit."""
+    key = F.col("o_orderkey")
+    name = F.element_at(F.array(*[F.lit(x) for x in ("a.csv", "B.Parquet", "c d.json", "e.txt", "_f.csv", ".g.csv")]), (key % 6 + 1).cast("int"))
+    folder = F.when(key % 5 == 0, F.lit("other")).otherwise(F.lit("raw/orders"))
+    record = F.struct(
+        F.when(key % 17 == 0, F.lit("aws:sns")).otherwise(F.lit("aws:s3")).alias("eventSource"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("eventTime"),
+        F.struct(
+            F.struct(F.lit("lake").alias("name")).alias("bucket"),
+            F.struct(F.concat(folder, F.lit("/"), key.cast("string"), F.lit("/"), F.replace(name, F.lit(" "), F.lit("+"))).alias("key"), (key % 4 * 100).alias("size")).alias("object"),
+        ).alias("s3"),
+    )
+    return table(spark, sf_dir, "orders").select(F.to_json(F.struct(F.array(record).alias("Records"))).alias("event"))
+
+
 # ---------------------------------------------------------------------------
 # The same views as SQL text, for cross-engine checks (DuckDB dialect; the
 # driver tables are registered under their own names).

@@ -26,14 +26,14 @@ def format_of(path: str) -> str:
 
 def read_raw(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     fmt: str | None = None,
     schema: StructType | None = None,
     infer: bool = True,
     options: dict | None = None,
 ) -> DataFrame:
     """Header CSV with inference by default; JSON and Parquet by extension."""
-    fmt = fmt or format_of(path)
+    fmt = fmt or format_of(path if isinstance(path, str) else path[0])
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True).option("mode", "PERMISSIVE")
