@@ -94,3 +94,18 @@ def test_unique_orders_only_repeated_keys(spark):
     assert {r.p for r in got.valid.collect()} == {2, 3, 5, 6} and got.invalid.count() == 2
     plan = got.flagged._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftSemi" in plan and "LeftOuter" in plan
+
+
+def test_a_batch_outlives_a_rule_that_raises(spark, tmp_dir):
+    from driftgate.plans.pipeline import read_layer, run_batch
+    from driftgate.settings import TableSpec
+
+    spec = TableSpec("t", tmp_dir + "/lake", date_column=None)
+    df = spark.createDataFrame([(1, "x"), (2, None)], "a int, b string")
+    rules = RuleSet((Rule.expr("raises", "if(a = 2, raise_error('no'), true)"), Rule.not_null("b")))
+    for _ in range(2):  # a retry replaces the metrics rows of its batch
+        out = run_batch(spark, df, spec, rules, "one")
+    assert out.skipped and read_layer(spark, spec, "clean").count() == 1 and read_layer(spark, spec, "quarantine").count() == 1
+    metrics = spark.read.json(spec.metrics_path).collect()
+    got = {r.rule_name: "error_message" in r and r.error_message is not None for r in metrics[0].validation_results}
+    assert len(metrics) == 1 and got == {"raises": True, "b_not_null": False}
