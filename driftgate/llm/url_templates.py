@@ -2,14 +2,18 @@
 
 Everything is a function of (host, path), so distinct pairs are counted first
 and joined back last.  Per host and number of segments, a path position is
-variable if most of its values are distinct; there, and for values seen rarely
-at any position, the segment becomes a wildcard.  Templates that differ only in
-their last literal segment are branches of one node: a branch that is not
-significantly different from its siblings' pooled share of blocked urls
-(two-proportion z test), or has too few labelled ones to tell, merges with them.  A
-template is rejected if its purity, the blocked share of its labelled urls
-smoothed towards its host's share (and that towards the whole table's), reaches
-``reject``.
+variable if most of its values are distinct; there, and for values with fewer
+than ``least_count`` urls at any position, the segment becomes a wildcard.  A
+value counts by its own urls, however many its host has.  Templates that differ
+only in their last literal segment are branches of one node: a branch merges
+with its siblings if both sides have at least ``least_labelled`` labelled urls
+and the branch's share of blocked ones is not significantly different from the
+siblings' pooled share (two-proportion z test).  A branch that cannot be tested
+stays by itself, so that labels never decide urls they were not compared with.
+This is done ``levels`` times, so merged nodes are branches of the nodes above.
+A template is rejected if it has ``least_labelled`` labelled urls and its purity,
+their blocked share smoothed towards its host's share (and that towards the
+whole table's), reaches ``reject``.
 
 Labels come from the rules: a rule is a host and a path prefix, fits the host
 and its subdomains, and the longest fitting rule decides its urls itself.
@@ -59,7 +63,7 @@ def judge(
     url: str = "url",
     distinct_share: float = 0.5,
     least_count: int = 3,
-    least_share: float = 0.01,
+    levels: int = 2,
     z: float = 1.96,
     least_labelled: int = 5,
     weight: float = 4.0,
@@ -78,43 +82,55 @@ def judge(
     spots = values.groupBy("host", "deep", "pos").agg(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"))
     literal = (
         values.join(spots, ["host", "deep", "pos"])
-        .where((F.col("kinds") <= F.col("total") * distinct_share) & (F.col("c") >= least_count) & (F.col("c") >= F.col("total") * least_share))
+        .where((F.col("kinds") <= F.col("total") * distinct_share) & (F.col("c") >= least_count))
         .select("host", "deep", "pos", "value", F.lit(True).alias("literal"))
     )
     general = seg.join(literal, ["host", "deep", "pos", "value"], "left").groupBy("host", "path")
     shaped = general.agg(F.sort_array(F.collect_list(F.struct("pos", F.when(F.col("literal"), F.col("value")).otherwise(WILD).alias("s")))).alias("segs"))
     shaped = shaped.select("host", "path", F.col("segs.s").alias("segs"))
     paths = paths.join(shaped, ["host", "path"], "left").withColumn("segs", F.coalesce("segs", F.array().cast("array<string>")))
-    paths = paths.withColumn("template", F.concat(F.lit("/"), F.array_join("segs", "/")))
-    # the node above the last literal: that literal as a wildcard
-    last = F.size("segs") - F.array_position(F.transform(F.reverse("segs"), lambda s: s != WILD), True)
-    node = F.transform("segs", lambda s, i: F.when(F.exists("segs", lambda x: x != WILD) & (i == last), F.lit(WILD)).otherwise(s))
-    paths = paths.withColumn("node", F.concat(F.lit("/"), F.array_join(node, "/")))
+    paths = paths.withColumn("template", _name(F.col("segs")))
 
-    # labelled urls by branch, node, host and all
+    # labelled urls by branch, merged node, host and all
     labelled = F.coalesce(F.sum(F.when(F.col("rule").isNotNull(), F.col("n"))), F.lit(0)).alias("labelled")
     blocked = F.coalesce(F.sum(F.when(F.col("rule_verdict") == "block", F.col("n"))), F.lit(0)).alias("blocked")
-    branches = paths.groupBy("host", "node", "template").agg(labelled, blocked)
-    nodes = branches.groupBy("host", "node").agg(F.sum("labelled").alias("node_labelled"), F.sum("blocked").alias("node_blocked"))
+    branches = paths.groupBy("host", "template").agg(F.first("segs").alias("segs"), labelled, blocked)
     hosts = branches.groupBy("host").agg(F.sum("labelled").alias("host_labelled"), F.sum("blocked").alias("host_blocked"))
     every = branches.agg(F.coalesce(F.sum("labelled"), F.lit(0)).alias("all_labelled"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("all_blocked"))
-
-    b = branches.join(nodes, ["host", "node"])
-    rest_n, rest_b = F.col("node_labelled") - F.col("labelled"), F.col("node_blocked") - F.col("blocked")
-    pooled = F.col("node_blocked") / F.col("node_labelled")
-    gap = F.abs(F.col("blocked") / F.col("labelled") - rest_b / rest_n)
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("labelled") + 1 / rest_n))
-    tellable = (F.col("labelled") >= least_labelled) & (rest_n >= least_labelled)
-    # F.when guards the divisions: ANSI mode has no division by zero
-    apart = F.when(tellable, F.when(tellable, gap).otherwise(0.0) > z * F.when(tellable, spread).otherwise(0.0)).otherwise(False)
-    b = b.withColumn("apart", apart).withColumn("merged", F.when(F.col("apart"), F.col("template")).otherwise(F.col("node")))
+    b = branches.withColumn("merged", F.col("segs"))
+    for _ in range(levels):
+        b = _merged_once(b, z, least_labelled)
+    b = b.withColumn("merged", _name(F.col("merged")))
     merged = b.groupBy("host", "merged").agg(F.sum("labelled").alias("m_labelled"), F.sum("blocked").alias("m_blocked"))
     b = b.select("host", "template", "merged").join(merged, ["host", "merged"]).join(hosts, "host")
     # one number: the whole table's share
     all_share = every.select((F.col("all_blocked") + 0.0) / (F.col("all_labelled") + weight)).scalar()
     host_share = (F.col("host_blocked") + weight * all_share) / (F.col("host_labelled") + weight)
     b = b.withColumn("purity", (F.col("m_blocked") + weight * host_share) / (F.col("m_labelled") + weight))
-    verdicts = paths.select("host", "path", "template", "rule", "rule_verdict").join(b.select("host", "template", "merged", "purity"), ["host", "template"])
-    made = F.when(F.col("purity") >= reject, "block").otherwise("allow")
+    verdicts = paths.select("host", "path", "template", "rule", "rule_verdict").join(b.select("host", "template", "merged", "m_labelled", "purity"), ["host", "template"])
+    made = F.when((F.col("m_labelled") >= least_labelled) & (F.col("purity") >= reject), "block").otherwise("allow")
     verdicts = verdicts.select("host", "path", "rule", F.coalesce("rule_verdict", made).alias("verdict"), F.col("merged").alias("template"), "purity")
     return src.join(verdicts, ["host", "path"]).select(id_col, "host", "path", "rule", "verdict", "template", "purity")
+
+
+def _name(segs: Column) -> Column:
+    return F.concat(F.lit("/"), F.array_join(segs, "/"))
+
+
+def _merged_once(b: DataFrame, z: float, least_labelled: int) -> DataFrame:
+    """The branches with ``merged``, the segments of their present node, one level up the tree where the test allows it."""
+    merged = F.col("merged")
+    # the node above the last literal: that literal as a wildcard
+    last = F.size(merged) - F.array_position(F.transform(F.reverse(merged), lambda s: s != WILD), True)
+    node = F.transform(merged, lambda s, i: F.when(F.exists(merged, lambda x: x != WILD) & (i == last), F.lit(WILD)).otherwise(s))
+    now = b.groupBy("host", "merged").agg(F.sum("labelled").alias("t_labelled"), F.sum("blocked").alias("t_blocked")).withColumn("node", node)
+    nodes = now.groupBy("host", "node").agg(F.sum("t_labelled").alias("node_labelled"), F.sum("t_blocked").alias("node_blocked"))
+    own_n, own_b = F.col("t_labelled"), F.col("t_blocked")
+    rest_n, rest_b = F.col("node_labelled") - own_n, F.col("node_blocked") - own_b
+    pooled = F.col("node_blocked") / F.col("node_labelled")
+    spread = F.sqrt(pooled * (1 - pooled) * (1 / own_n + 1 / rest_n))
+    tellable = (own_n >= least_labelled) & (rest_n >= least_labelled)
+    # F.when guards the divisions: ANSI mode has no division by zero
+    alike = F.when(tellable, F.abs(own_b / own_n - rest_b / rest_n) <= z * spread).otherwise(False)
+    step = now.join(nodes, ["host", "node"]).select("host", "merged", F.when(alike, F.col("node")).otherwise(merged).alias("up"))
+    return b.join(step, ["host", "merged"]).drop("merged").withColumnRenamed("up", "merged")
