@@ -10,14 +10,16 @@ the time t where the integral of the schedule up to t is q: the cumulative
 demand is inverted in closed form.  The training position is the number of
 tokens all sources demand up to t, and the mix is range-sorted by position.
 
-Running sums inside a source are two-level: documents fall into hash buckets,
-bucket totals are summed along the source, and rows inside one bucket; no task
-ever holds a source.  One row per source goes through the driver, to lay out
+Running sums inside a source are two-level: documents fall into buckets by a
+hash of id and text, bucket totals are summed along the source, and rows inside
+one bucket; no task ever holds a source, or a hot id.  Rows without a word need
+no place in the stream and are dealt over all buckets.  One row per source goes through the driver, to lay out
 the schedule; a mix names its sources, and more than ``MOST_SOURCES`` is an error.
 
 Defined cases: null text has size 0 and is never taken; the null source is a
 source of its own and comes last; equal hash order is broken by id, then size;
-repeated rows are rows of their own; an empty table, or one without words,
+rows that repeat id and text are rows of their own, neighbours in the stream
+(one bucket, whose window spills); an empty table, or one without words,
 gives no copies.
 """
 
@@ -110,9 +112,11 @@ def mix(docs: DataFrame, schedule_of: Callable[[int], Schedule] | None = None, i
     into one row per copy in training order.
     """
     buckets = max(1, docs.count() // BUCKET_ROWS)
-    h = F.xxhash64(F.col(id_col), F.lit(0x5EED))
-    bucket = F.floor(F.shiftrightunsigned(h, 33) / F.lit(float(1 << 31)) * buckets).cast("int")
-    rows = docs.withColumns({"size": word_count(F.col(text).cast("string")), f"{_OWN}h": h, f"{_OWN}b": bucket})
+    h = F.shiftrightunsigned(F.xxhash64(F.col(id_col), F.col(text), F.lit(0x5EED)), 1)  # buckets and rows in one order
+    size = word_count(F.col(text).cast("string"))
+    hashed = F.floor(F.shiftright(h, 32) / F.lit(float(1 << 31)) * buckets).cast("int")
+    bucket = F.when(size > 0, hashed).otherwise(F.pmod(F.monotonically_increasing_id(), F.lit(buckets)).cast("int"))
+    rows = docs.withColumns({"size": size, f"{_OWN}h": h, f"{_OWN}b": bucket})
     # one row for each source and bucket
     sums = checkpointed(rows.groupBy(F.col(source).alias("source"), F.col(f"{_OWN}b").alias("b")).agg(F.sum("size").alias("size")))
     sources = plan(sums.groupBy("source").agg(F.sum("size").alias("size")), schedule_of or cycling(), most)
@@ -120,8 +124,8 @@ def mix(docs: DataFrame, schedule_of: Callable[[int], Schedule] | None = None, i
     before = sums.select(F.col("source").alias(f"{_OWN}s"), F.col("b").alias(f"{_OWN}sb"), F.coalesce(F.sum("size").over(along), F.lit(0)).alias(f"{_OWN}before"))
     inner = Window.partitionBy(source, f"{_OWN}b").orderBy(f"{_OWN}h", id_col, "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn(f"{_OWN}in", F.coalesce(F.sum("size").over(inner), F.lit(0)))
-    rows = rows.join(before, F.col(source).eqNullSafe(F.col(f"{_OWN}s")) & (F.col(f"{_OWN}b") == F.col(f"{_OWN}sb")))
-    rows = rows.withColumn(f"{_OWN}at", F.col(f"{_OWN}before") + F.col(f"{_OWN}in"))
+    rows = rows.join(before, F.col(source).eqNullSafe(F.col(f"{_OWN}s")) & (F.col(f"{_OWN}b") == F.col(f"{_OWN}sb")), "left")
+    rows = rows.withColumn(f"{_OWN}at", F.coalesce(f"{_OWN}before", F.lit(0)) + F.col(f"{_OWN}in"))
     rows = rows.join(sources, F.col(source).eqNullSafe(F.col(f"{_OWN}of")))
     c = lambda n: F.col(f"{_OWN}{n}")
     passes = F.sequence(F.lit(0), F.lit(int(most)))
