@@ -1,13 +1,16 @@
 """Substring dedup by relative Lempel-Ziv parsing against an index of reference blocks.
 
-The corpus is cut into reference blocks (documents by a hash of their id).
+The corpus is cut into reference blocks (documents by a hash of id and text).
 Every block contributes its windows of ``window`` words to an index sharded by
 content, where each window has its first place: the smallest document id, then
-the smallest offset.  A document is then factored greedily against that index:
-a factor copies consecutive words from consecutive places of one earlier
-document, and where it ends, the windows that cross the boundary are looked up
-like any other, so a passage is found even if no single source holds all of
-it.  The words of factors (each at least ``window`` long) are duplicate spans.
+the smallest offset.  A document is then factored against that index: a factor
+goes on as long as the first places of its windows are consecutive in one
+earlier document, and where it ends, the windows that cross the boundary are
+looked up like any other, so a passage is found even if no single source holds
+all of it.  Neighbouring factors of different sources may thus share words, and
+a factor is the longest of its own source, not of all documents: the index
+keeps one source for each window, which bounds it by the number of windows.  The
+words of factors (each at least ``window`` long) are duplicate spans.
 
 Shuffle volume is held down in two steps.  Any two equal windows share their
 minimiser, the smallest hash of their runs of ``SEED`` words; blocks first
@@ -20,7 +23,7 @@ Blocks recompute their entries in a fixed order, so the bits need no keys.
 
 Defined cases: null text has no words; rows with a null id are neither
 reference nor cut; rows that repeat an id are one document (they never cut each
-other); texts shorter than a window stay whole; an empty table gives no rows.
+other, and different texts of one id are dealt over the blocks); texts shorter than a window stay whole; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -286,7 +289,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     blocks = max(1, math.ceil(n / block_docs))
     shards = max(1, math.ceil(blocks / BLOCKS_PER_SHARD))
     src = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"), *([F.struct(*keep).alias("extra")] if keep else []))
-    placed = src.withColumn("block", F.pmod(F.when(F.col("id").isNull(), F.xxhash64("text")).otherwise(F.xxhash64("id")), F.lit(blocks).cast("long")))
+    # rows with a null id have no windows in the index: any block will do
+    spread = F.when(F.col("id").isNull(), F.monotonically_increasing_id()).otherwise(F.xxhash64("id", "text"))
+    placed = src.withColumn("block", F.pmod(spread, F.lit(blocks).cast("long")))
     seeds = placed.groupBy("block").applyInArrow(_seed_rows(shards), "shard int, block long, seeds binary, several binary")
     bits = seeds.groupBy("shard").applyInArrow(_shared_seeds, "shard int, block long, bits binary")
     windows = (
