@@ -18,7 +18,8 @@ whole table's), reaches ``reject``.
 Labels come from the rules: a rule is a host and a path prefix, fits the host
 and its subdomains, and the longest fitting rule decides its urls itself.
 
-DataFrame functions only.  Defined cases: a null url, or one without "://", has
+DataFrame functions only; url pairs, branches and each level are checkpointed in
+the shared folder.  Defined cases: a null url, or one without "://", has
 an empty host and path and forms a template like any other; paths without a
 segment have the template "/"; repeated rows and null ids are judged row by
 row; an empty table gives no rows.
@@ -29,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from driftgate.llm.store import checkpointed
+
 #: (verdict, rule)
 Rules = list[tuple[str, str]]
 
@@ -89,17 +92,18 @@ def judge(
     shaped = general.agg(F.sort_array(F.collect_list(F.struct("pos", F.when(F.col("literal"), F.col("value")).otherwise(WILD).alias("s")))).alias("segs"))
     shaped = shaped.select("host", "path", F.col("segs.s").alias("segs"))
     paths = paths.join(shaped, ["host", "path"], "left").withColumn("segs", F.coalesce("segs", F.array().cast("array<string>")))
-    paths = paths.withColumn("template", _name(F.col("segs")))
+    # written: branches, levels and verdicts read it, and plans stay small
+    paths = checkpointed(paths.select("host", "path", "n", "rule", "rule_verdict", "segs", _name(F.col("segs")).alias("template")))
 
     # labelled urls by branch, merged node, host and all
     labelled = F.coalesce(F.sum(F.when(F.col("rule").isNotNull(), F.col("n"))), F.lit(0)).alias("labelled")
     blocked = F.coalesce(F.sum(F.when(F.col("rule_verdict") == "block", F.col("n"))), F.lit(0)).alias("blocked")
-    branches = paths.groupBy("host", "template").agg(F.first("segs").alias("segs"), labelled, blocked)
+    branches = checkpointed(paths.groupBy("host", "template").agg(F.first("segs").alias("segs"), labelled, blocked))
     hosts = branches.groupBy("host").agg(F.sum("labelled").alias("host_labelled"), F.sum("blocked").alias("host_blocked"))
     every = branches.agg(F.coalesce(F.sum("labelled"), F.lit(0)).alias("all_labelled"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("all_blocked"))
     b = branches.withColumn("merged", F.col("segs"))
     for _ in range(levels):
-        b = _merged_once(b, z, least_labelled)
+        b = checkpointed(_merged_once(b, z, least_labelled))
     b = b.withColumn("merged", _name(F.col("merged")))
     merged = b.groupBy("host", "merged").agg(F.sum("labelled").alias("m_labelled"), F.sum("blocked").alias("m_blocked"))
     b = b.select("host", "template", "merged").join(merged, ["host", "merged"]).join(hosts, "host")
