@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql.types import StructType  # noqa: E402
 
-from driftgate.operators.alerts import check_thresholds  # noqa: E402
+from driftgate.operators.alerts import check_thresholds, digest  # noqa: E402
 from driftgate.operators.evolve import conform, evolve  # noqa: E402
-from driftgate.operators.metrics import collect_metrics, duplicate_count, null_counts, numeric_summary  # noqa: E402
+from driftgate.operators.metrics import collect_metrics, duplicate_count, metrics_json, null_counts, numeric_summary  # noqa: E402
 from driftgate.operators.rules import INFO, WARNING, Rule, RuleSet  # noqa: E402
 from driftgate.operators.schema_diff import (  # noqa: E402
     batch_compatibility,
@@ -203,7 +203,7 @@ def _cross_batch_keys(spark: SparkSession, sf: str) -> DataFrame:
 def _defective_metrics(spark: SparkSession, sf: str) -> DataFrame:
     raw = dt.defective_orders(spark, sf)
     rules = RuleSet((Rule.not_null("customer_id"), Rule.range("price", min=0), Rule.not_null("priority", severity=WARNING)))
-    return collect_metrics(raw, validate(raw, rules), "orders")
+    return collect_metrics(raw, validate(raw, rules), "orders", execution_ts=F.lit(str(O.AS_OF)).cast("timestamp"))
 
 
 def _defective_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -217,6 +217,25 @@ def _defective_alerts(spark: SparkSession, sf: str) -> DataFrame:
     return check_thresholds(_defective_metrics(spark, sf)).select("alert_type", "severity", "metric_value", "threshold_value")
 
 
+def _defective_digest(spark: SparkSession, sf: str) -> DataFrame:
+    """M7: the digest of these alerts."""
+    return digest(check_thresholds(_defective_metrics(spark, sf))).select("table_name", "subject", "body")
+
+
+def _defective_document(spark: SparkSession, sf: str) -> DataFrame:
+    """M8, M9: the metrics document, read back: its schema section and one row per rule."""
+    rule = "struct<rule_name: string, failed_count: long, total_count: long, severity: string>"
+    fields = f"table_name string, schema_info struct<columns: array<string>, column_count: int>, validation_results array<{rule}>"
+    doc = metrics_json(_defective_metrics(spark, sf)).select(F.from_json("json", fields).alias("d"))
+    about = doc.select(
+        F.col("d.table_name").alias("table_name"),
+        F.array_join("d.schema_info.columns", ",").alias("columns"),
+        F.col("d.schema_info.column_count").cast("long").alias("column_count"),
+        F.explode("d.validation_results").alias("r"),
+    )
+    return about.select("table_name", "columns", "column_count", "r.*")
+
+
 def _evolved(spark: SparkSession, sf: str, mode: str) -> DataFrame:
     incoming = dt.incoming_orders(spark, sf)
     registered = StructType.fromDDL(dt.FEED_SCHEMA)
@@ -304,6 +323,8 @@ def _reference_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "cross_batch_keys": _cross_batch_keys,
         "defective_counts": _defective_counts,
         "defective_alerts": _defective_alerts,
+        "defective_digest": _defective_digest,
+        "defective_document": _defective_document,
         "evolved_rows": _evolved_rows,
         "matched_rows": _matched_rows,
         "admitted_files": _admitted_files,

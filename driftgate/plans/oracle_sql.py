@@ -432,6 +432,21 @@ SELECT unnest(['INVALID_RECORDS_THRESHOLD_EXCEEDED', 'DUPLICATE_RECORDS_THRESHOL
        unnest([5.0::DOUBLE, 2.0::DOUBLE, 85.0::DOUBLE]) AS threshold_value
 FROM m"""
 
+ORACLE["defective_digest"] = _with(_DEFECTIVE) + """
+SELECT 'orders' AS table_name, 'Data Quality Alert - 2 Errors, 1 Warnings' AS subject,
+       'Data Quality Alerts:' || repeat(chr(10), 2) || array_to_string([
+         printf('[ERROR] INVALID_RECORDS_THRESHOLD_EXCEEDED' || chr(10) || '  Invalid records percentage (%.2f%%) exceeds threshold (5.0%%)', invalid_records / total_records * 100.0),
+         printf('[WARNING] DUPLICATE_RECORDS_THRESHOLD_EXCEEDED' || chr(10) || '  Duplicate records percentage (%.2f%%) exceeds threshold (2.0%%)', duplicate_records / total_records * 100.0),
+         '[ERROR] LOW_QUALITY_SCORE' || chr(10) || '  Data quality score (' || data_quality_score || ') is below threshold (85.0)'],
+         chr(10) || '  Timestamp: 2001-08-01 00:00:00' || repeat(chr(10), 2)) || chr(10) || '  Timestamp: 2001-08-01 00:00:00' AS body
+FROM m"""
+ORACLE["defective_document"] = _with(_DEFECTIVE) + """
+SELECT 'orders' AS table_name, 'order_id,customer_id,price,priority' AS columns, CAST(4 AS BIGINT) AS column_count,
+       unnest(['customer_id_not_null', 'price_range', 'priority_not_null']) AS rule_name,
+       unnest([null_customer_id, (SELECT CAST(SUM(CASE WHEN o_orderkey % 3 = 0 THEN 4 ELSE 1 END) AS BIGINT) FROM orders WHERE o_orderkey % 7 = 0), null_priority]) AS failed_count,
+       total_records AS total_count, unnest(['error', 'error', 'warning']) AS severity
+FROM m"""
+
 # one incoming batch conformed: registered order, casts, the lost originals, with and without its new column
 _INCOMING = """
 SELECT 'O' || o_orderkey AS order_id, CAST(o_custkey AS INTEGER) AS customer_id, CASE WHEN o_orderkey % 11 <> 0 THEN o_totalprice END AS total,
