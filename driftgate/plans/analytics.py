@@ -338,32 +338,43 @@ def customer_segments(clean: DataFrame, as_of: str | _dt.date) -> DataFrame:
 
 
 # Q20
-def product_affinity(clean: DataFrame, k: int = 20, min_count: int = 2, block_size: int = 256) -> DataFrame:
+def product_affinity(clean: DataFrame, k: int = 20, min_count: int = 2, block_size: int = 256, seeds: int = 64) -> DataFrame:
     """Pairs of products bought by the same customer, counted over row pairs.
 
     count(a, b) = sum over customers of n(c, a) * n(c, b), so the rows are
     first reduced to distinct (customer, product) with their counts -- a
     customer holding a third of the rows becomes at most one row per product.
-    Each customer's products are then cut into blocks of about
-    ``block_size`` (by hash); block i meets block j (i <= j) in its own join
-    key ``(customer, i, j)``, so no single task enumerates all pairs of a big
-    customer.  The pair rows are summed map-side in the same stage.
+
+    Products that cannot reach the report leave before any pairing.  With
+    mass(a) = sum over customers of n(c, a)^2, count(a, b) is at most
+    sqrt(mass(a) * mass(b)) (Cauchy-Schwarz).  The pairs among the ``seeds``
+    products of the largest mass are counted first; the k-th of them is a floor
+    under the k-th of all pairs, and a pair bounded below that floor, or a
+    product bounded below it beside the largest mass, is never formed.  Pairs
+    equal to the floor stay, so ties are decided as without pruning.
+
+    Customers with more than ``block_size`` products left get their products
+    cut into hash blocks; block i meets block j (i <= j) in its own join key
+    ``(customer, i, j)``, so no single task enumerates all pairs of a big
+    customer.  The pair rows are summed map-side in the same stage.  Rows
+    without a customer or a product belong to no pair.
     """
-    cp = clean.groupBy("customer_id", "product_name").agg(F.count(F.lit(1)).alias("n"))
-    # Distinct products per customer: a window over the reduced rows (at most
-    # one row per product for any customer).
-    k_c = F.count(F.lit(1)).over(Window.partitionBy("customer_id"))
-    blocks = F.greatest(F.lit(1), F.ceil(k_c / F.lit(block_size)).cast("int"))
-    cpb = (
-        cp.withColumn("nb", blocks)
-        .withColumn("blk", F.pmod(F.xxhash64("product_name"), F.col("nb")).cast("int"))
-    )
+    named = clean.where(F.col("customer_id").isNotNull() & F.col("product_name").isNotNull())
+    cp = named.groupBy("customer_id", "product_name").agg(F.count(F.lit(1)).alias("n"))
+    mass = product_mass(cp)
+    floor = affinity_floor(cp, mass, k, min_count, seeds)
+    most = mass.agg(F.max("mass")).scalar()
+    kept = cp.join(mass.where(reaches(F.col("mass"), most, floor)), "product_name")
+    big = kept.groupBy("customer_id").agg(F.count(F.lit(1)).alias("products")).where(F.col("products") > block_size)
+    blocks = F.coalesce(F.ceil(F.col("products") / F.lit(block_size)).cast("int"), F.lit(1))
+    cpb = kept.join(big, "customer_id", "left").withColumn("nb", blocks).withColumn("blk", F.pmod(F.xxhash64("product_name"), F.col("nb")).cast("int"))
     left = cpb.select(
         "customer_id",
         F.col("blk").alias("i"),
         F.explode(F.sequence(F.col("blk"), F.col("nb") - 1)).alias("j"),
         F.col("product_name").alias("pa"),
         F.col("n").alias("na"),
+        F.col("mass").alias("ma"),
     )
     right = cpb.select(
         "customer_id",
@@ -371,8 +382,10 @@ def product_affinity(clean: DataFrame, k: int = 20, min_count: int = 2, block_si
         F.col("blk").alias("j"),
         F.col("product_name").alias("pb"),
         F.col("n").alias("nb_"),
+        F.col("mass").alias("mb"),
     )
-    pairs = left.join(right, ["customer_id", "i", "j"]).filter((F.col("i") < F.col("j")) | (F.col("pa") < F.col("pb")))
+    once = (F.col("i") < F.col("j")) | (F.col("pa") < F.col("pb"))
+    pairs = left.join(right, ["customer_id", "i", "j"]).where(once & reaches(F.col("ma"), F.col("mb"), floor))
     return (
         pairs.groupBy(F.least("pa", "pb").alias("product_a"), F.greatest("pa", "pb").alias("product_b"))
         .agg(F.sum(F.col("na") * F.col("nb_")).alias("co_occurrence_count"))
@@ -382,6 +395,32 @@ def product_affinity(clean: DataFrame, k: int = 20, min_count: int = 2, block_si
     )
 
 
+def product_mass(cp: DataFrame) -> DataFrame:
+    """Per product, the sum of its squared counts over customers (double: it only bounds)."""
+    n = F.col("n").cast("double")
+    return cp.groupBy("product_name").agg(F.sum(n * n).alias("mass"))
+
+
+def affinity_floor(cp: DataFrame, mass: DataFrame, k: int, min_count: int, seeds: int) -> Column:
+    """A count that the k-th pair of all reaches: the k-th among the pairs of the ``seeds`` heaviest products, at least ``min_count``.
+
+    A customer holds at most ``seeds`` of them, so no group grows with the data.
+    """
+    heavy = mass.orderBy(F.desc("mass"), F.asc("product_name")).limit(seeds).select("product_name")
+    held = cp.join(heavy, "product_name", "left_semi")
+    left = held.select("customer_id", F.col("product_name").alias("pa"), F.col("n").alias("na"))
+    right = held.select("customer_id", F.col("product_name").alias("pb"), F.col("n").alias("nb"))
+    counts = left.join(right, "customer_id").where("pa < pb").groupBy("pa", "pb").agg(F.sum(F.col("na") * F.col("nb")).alias("c"))
+    best = counts.orderBy(F.desc("c")).limit(k)
+    kth = best.agg(F.when(F.count(F.lit(1)) == k, F.min("c")).alias("kth"))
+    return F.greatest(F.coalesce(kth.scalar(), F.lit(0)), F.lit(min_count)).cast("double")
+
+
+def reaches(a: Column, b: Column, floor: Column) -> Column:
+    """Whether two masses allow a count of ``floor`` (with room for the rounding of double sums)."""
+    return a * b * F.lit(1 + 1e-6) >= floor * floor
+
+
 # Q21 (the view S19 and its read-back)
 def daily_sales_summary_view(clean: DataFrame, approx_distinct: bool = False) -> DataFrame:
     return (

@@ -267,3 +267,51 @@ def _clean_sf001(spark):
     from driftgate.sources.driver_tables import clean_orders
 
     return clean_orders(spark, SF001)
+
+
+def _affinity_rows(spark):
+    """40 products bought together often, 2,000 products bought once each, one customer with a third of the rows, NULLs."""
+    rnd = random.Random(11)
+    rows = [(f"c{i % 200}", f"hot{rnd.randint(0, 39):02d}") for i in range(8000)]
+    rows += [("big", f"rare{i % 2000:04d}") for i in range(4000)]
+    rows += [(None, "hot00"), ("c1", None), (None, None)] * 3
+    return spark.createDataFrame(rows, "customer_id string, product_name string")
+
+
+def _affinity_brute(df, k):
+    a, b = df.alias("a"), df.alias("b")
+    same = (F.col("a.customer_id") == F.col("b.customer_id")) & (F.col("a.product_name") < F.col("b.product_name"))
+    pairs = a.join(b, same).groupBy(F.col("a.product_name").alias("pa"), F.col("b.product_name").alias("pb")).agg(F.count(F.lit(1)).alias("c"))
+    return [tuple(r) for r in pairs.where("c >= 2").orderBy(F.desc("c"), "pa", "pb").limit(k).collect()]
+
+
+def test_affinity_pruning_keeps_the_report(spark):
+    df = _affinity_rows(spark).repartition(8).cache()
+    for k, seeds in ((20, 64), (20, 7), (20, 2), (5, 64), (780, 64)):
+        # 2 and 7 seeds give few pairs or a low floor: less is pruned, the rows are the same
+        got = [tuple(r) for r in A.product_affinity(df, k=k, seeds=seeds, block_size=16).collect()]
+        assert got == _affinity_brute(df, k), (k, seeds)
+
+
+def test_affinity_prunes_products_before_pairing(spark):
+    df = _affinity_rows(spark).where("customer_id IS NOT NULL AND product_name IS NOT NULL")
+    cp = df.groupBy("customer_id", "product_name").agg(F.count(F.lit(1)).alias("n"))
+    mass = A.product_mass(cp)
+    floor = A.affinity_floor(cp, mass, 20, 2, 64)
+    kth = _affinity_brute(df, 20)[-1][2]
+    assert spark.range(1).select(floor).first()[0] == kth  # the heaviest products hold the report here
+    left = mass.where(A.reaches(F.col("mass"), mass.agg(F.max("mass")).scalar(), floor))
+    assert left.where("product_name LIKE 'rare%'").isEmpty() and left.count() == 40
+
+
+def test_affinity_ties_nulls_and_empty(spark):
+    every = [("c1", p) for p in "abcdefgh"] * 2  # each of 28 pairs counts 4
+    df = spark.createDataFrame(every, "customer_id string, product_name string")
+    assert [tuple(r) for r in A.product_affinity(df, seeds=3, block_size=2).collect()] == _affinity_brute(df, 20)
+    assert A.product_affinity(df.limit(0)).isEmpty()
+    assert A.product_affinity(df.selectExpr("CAST(NULL AS string) AS customer_id", "product_name")).isEmpty()
+
+
+def test_affinity_has_no_window(spark):
+    plan = A.product_affinity(_affinity_rows(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
