@@ -101,13 +101,13 @@ def read_run_log(spark: SparkSession, spec: TableSpec) -> DataFrame:
     return spark.read.schema(RUN_LOG_SCHEMA + ", bucket int").parquet(spec.run_log_path)
 
 
-def _write_log_row(spark: SparkSession, spec: TableSpec, row: DataFrame, batch_id: str) -> None:
+def write_log_row(spark: SparkSession, spec: TableSpec, row: DataFrame, batch_id: str) -> None:
     row.withColumn("bucket", _bucket_of(batch_id)).coalesce(1).write.mode("append").partitionBy("bucket").parquet(
         spec.run_log_path
     )
 
 
-def _committed(spark: SparkSession, spec: TableSpec, batch_id: str) -> bool:
+def committed(spark: SparkSession, spec: TableSpec, batch_id: str) -> bool:
     if not path_exists(spark, spec.run_log_path):
         return False
     log = read_run_log(spark, spec)
@@ -174,7 +174,7 @@ def run_batch(
             timings[name] = round(now - mark[0], 3)
             mark[0] = now
 
-    if _committed(spark, spec, batch_id):
+    if committed(spark, spec, batch_id):
         return BatchOutcome(batch_id, skipped=True)
     if raw.isEmpty():  # S7: no full count
         return BatchOutcome(batch_id, empty=True)
@@ -262,11 +262,9 @@ def run_batch(
                 add_catalog_columns(spark, spec.catalog_table, added)  # S13
 
         duration = time.time() - started
-        log_row = spark.createDataFrame(
-            [(spec.name, batch_id, True, None, duration, m["total_records"], m["valid_records"], m["invalid_records"], m["data_quality_score"], len(prepared.comparison.changes), len(alert_rows), None)],
-            RUN_LOG_SCHEMA,
-        ).withColumn("started_at", F.lit(started).cast("timestamp"))
-        _write_log_row(spark, spec, log_row, batch_id)  # the commit marker, written last
+        log_success(
+            spark, spec, batch_id, started, m["total_records"], m["valid_records"], m["invalid_records"], m["data_quality_score"], len(prepared.comparison.changes), len(alert_rows)
+        )
         step("logs_registry_runlog")
         return BatchOutcome(batch_id, comparison=prepared.comparison, metrics=m, alerts=alert_rows, duration_sec=duration)
     except Exception as exc:
@@ -279,12 +277,19 @@ def run_batch(
             df.unpersist()
 
 
+def log_success(spark: SparkSession, spec: TableSpec, batch_id: str, started: float, total: int, valid: int, invalid: int, score: float | None = None, changes: int = 0, alerts: int = 0) -> None:
+    """The commit marker of a batch, written last."""
+    row = (spec.name, batch_id, True, None, time.time() - started, total, valid, invalid, score, changes, alerts, None)
+    log_row = spark.createDataFrame([row], RUN_LOG_SCHEMA).withColumn("started_at", F.lit(started).cast("timestamp"))
+    write_log_row(spark, spec, log_row, batch_id)
+
+
 def log_failure(spark: SparkSession, spec: TableSpec, batch_id: str, started: float, exc: BaseException) -> None:
     fail_row = spark.createDataFrame(
         [(spec.name, batch_id, False, None, time.time() - started, None, None, None, None, None, None, str(exc))],
         RUN_LOG_SCHEMA,
     ).withColumn("started_at", F.lit(started).cast("timestamp"))
-    _write_log_row(spark, spec, fail_row, batch_id)
+    write_log_row(spark, spec, fail_row, batch_id)
 
 
 def run_summary(spark: SparkSession, spec: TableSpec) -> DataFrame:

@@ -7,16 +7,22 @@ Spark is configured with (the in-memory one in tests).
 from __future__ import annotations
 
 import datetime as _dt
+import time
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.lineage import BATCH_ID, FAILED, LINEAGE, RESCUED, VALID
 from ..operators.evolve import conform
 from ..operators.rules import RuleSet
-from ..operators.validate import VALID, validate
+from ..operators.uniqueness import with_held
+from ..operators.validate import validate
+from ..session import ensure_checkpoint_dir
 from ..settings import TableSpec
-from ..sinks.writers import BATCH_ID, rewrite_partitions, to_quarantine, with_partitions, write_partitioned
+from ..sinks.writers import delete, path_exists, remove_batch, rewrite_partitions, with_partitions, write_partitioned
+from .pipeline import committed, log_success, read_layer, read_run_log
 
 PARTITION_DDL = "year INT, month INT, day INT"
 
@@ -155,6 +161,33 @@ def apply_retention(spark: SparkSession, table: str, as_of: _dt.date, max_age_da
     return len(parts)
 
 
+def _ready(spark: SparkSession, path: str) -> list[str]:
+    """The reprocessing batch whose verdicts under ``path`` are complete, if there is one."""
+    if not path_exists(spark, f"{path}/ready"):
+        return []
+    return [r["batch_id"] for r in spark.read.schema("batch_id string").json(f"{path}/ready").collect()]  # one row
+
+
+def _judged(spark: SparkSession, spec: TableSpec, registered: StructType, rules: RuleSet, text_columns: tuple[str, ...], unique_key: str | None) -> DataFrame:
+    """Every quarantined row of a committed batch: as it would be typed now, its verdict, and ``_was``, the row as it lies there."""
+    q = spark.read.option("mergeSchema", "true").parquet(spec.quarantine_path)
+    done = read_run_log(spark, spec).where("success").select(F.col("batch_id").alias(BATCH_ID)).distinct()
+    # a written copy: UNIQUE reads its rows in several branches, which must number them alike
+    q = q.join(done, BATCH_ID, "left_semi").select(*q.columns).checkpoint(eager=True)
+    body = q.withColumn("_was", F.struct(*q.columns))
+    if RESCUED in q.columns:
+        body = body.withColumns({c: F.coalesce(F.col(c), F.col(RESCUED)[c]) for c in text_columns if c in q.columns})
+    body = body.drop(FAILED, RESCUED, BATCH_ID, "quarantine_timestamp", *spec.partition_by)
+    typed = conform(body, registered, keep_new=False, rescue=True, lineage={*LINEAGE, "_was"})
+    flagged = validate(typed, rules).flagged
+    if unique_key and path_exists(spark, spec.clean_path):
+        held = F.col("_held_before")
+        reason = F.array_union(F.col(FAILED), F.array(F.lit(f"{unique_key}_exists_in_clean")))
+        flagged = with_held(flagged, read_layer(spark, spec), unique_key, "_held_before")
+        flagged = flagged.withColumns({VALID: F.col(VALID) & ~held, FAILED: F.when(held, reason).otherwise(F.col(FAILED))}).drop("_held_before")
+    return flagged.drop(RESCUED)
+
+
 def reprocess_quarantine(
     spark: SparkSession,
     spec: TableSpec,
@@ -166,54 +199,63 @@ def reprocess_quarantine(
 ) -> DataFrame:
     """Re-type and re-validate quarantined rows; promote the ones that pass.
 
-    A key (of the UNIQUE rule, or ``unique_key``) that already exists in
-    the clean table is not promoted (left-anti
-    join on the key: shuffles both sides by key, no broadcast of the clean
-    table).  Promoted rows are appended to the clean layer; the quarantine
-    partitions that held them are rewritten without them.  Returns the
-    promoted rows (lazy)."""
-    q = (
-        spark.read.option("mergeSchema", "true")
-        .parquet(spec.quarantine_path)
-        .withColumnRenamed("quarantine_timestamp", "_quarantine_ts")
-    )
-    from ..session import ensure_checkpoint_dir
-
+    A batch of the run log like any other: a committed ``batch_id`` changes
+    nothing again, and an attempt that broke off is carried to its end.  The
+    verdicts are written beside the logs before either layer changes; a retry
+    takes them as they are, removes what the earlier attempt appended to the
+    clean layer, and does the same writes again, so no row is lost or doubled
+    wherever it stopped.  While a reprocessing is unfinished, another one is
+    refused.
+
+    Rows of batches without a commit are left alone.  Rows that stay keep every
+    column, their batch and their time; only the failed rules are the new ones.
+    Only partitions where a row leaves or its failed rules change are rewritten,
+    with the rows that came in meanwhile.  A key (of the UNIQUE rule, or
+    ``unique_key``) that the clean layer already holds is not promoted.  The run
+    log counts promoted rows as valid and no longer invalid, and none as new.
+    Returns the promoted rows, read from the clean layer.
+    """
     ensure_checkpoint_dir(spark)
-    if text_columns is None:
-        text_columns = spec.quarantine_text_columns
+    text_columns = spec.quarantine_text_columns if text_columns is None else text_columns
     if unique_key is None:  # the key of the rule set's UNIQUE rule, if it has one
         unique_key = next((r.column for r in rules if r.rule_type == "unique"), None)
-    parts = list(spec.partition_by)
-    touched = [tuple(r) for r in q.select(*parts).distinct().collect()]  # one row per day partition
-    meta = ["_failed_rules", "_rescued", BATCH_ID, *parts]
-    body = q
-    if "_rescued" in q.columns:
-        for c in text_columns:
-            body = body.withColumn(c, F.coalesce(F.col(c), F.col("_rescued")[c]))
-    body = body.drop(*[c for c in meta if c in body.columns])
-    typed = conform(body, registered, keep_new=False, rescue=True)
-    flagged = validate(typed, rules).flagged
-    if unique_key:
-        # no distinct(): semi/anti joins only test existence, and without an
-        # aggregate in between the small quarantine side can prune the clean
-        # table's key scan (runtime filter) instead of de-duplicating all keys.
-        clean_keys = spark.read.parquet(spec.clean_path).select(unique_key)
-        existing = (
-            flagged.join(clean_keys, unique_key, "left_semi")
-            .withColumn(VALID, F.lit(False))
-            .withColumn("_failed_rules", F.array_union(F.col("_failed_rules"), F.array(F.lit(f"{unique_key}_exists_in_clean"))))
-        )
-        fresh = flagged.join(clean_keys, unique_key, "left_anti")
-        flagged = fresh.unionByName(existing)
-    flagged = flagged.checkpoint(eager=True)
-    promoted = (
-        flagged.filter(F.col(VALID))
-        .drop("_failed_rules", VALID, "_rescued", "_quarantine_ts")
-        .withColumn(BATCH_ID, F.lit(batch_id))
-    )
-    write_partitioned(with_partitions(promoted, spec.date_column), spec.clean_path, spec.partition_by)
-    remaining = to_quarantine(flagged.filter(~F.col(VALID)).drop(VALID), F.col("_quarantine_ts"), text_columns)
-    remaining = with_partitions(remaining.drop("_quarantine_ts").withColumn(BATCH_ID, F.lit(batch_id)), spec.date_column)
-    rewrite_partitions(spark, spec.quarantine_path, remaining.checkpoint(eager=True), touched, parts)
-    return promoted
+    staged, parts, started = f"{spec.logs_path}/reprocess", list(spec.partition_by), time.time()
+
+    def promoted_rows() -> DataFrame:
+        return read_layer(spark, replace(spec, registered_schema=registered)).where(F.col(BATCH_ID) == batch_id)
+
+    if not path_exists(spark, spec.quarantine_path) or not path_exists(spark, spec.run_log_path):
+        return spark.createDataFrame([], registered)  # nothing was ever quarantined
+    if committed(spark, spec, batch_id):
+        return promoted_rows()
+    unfinished = _ready(spark, staged)
+    if unfinished and unfinished != [batch_id] and not committed(spark, spec, unfinished[0]):
+        raise RuntimeError(f"reprocessing {unfinished[0]!r} is unfinished: run it again first")
+    if unfinished == [batch_id]:
+        remove_batch(spark, spec.clean_path, batch_id, parts)
+    else:
+        delete(spark, staged)
+        _judged(spark, spec, registered, rules, text_columns, unique_key).write.parquet(f"{staged}/verdicts")
+        spark.range(1).select(F.lit(batch_id).alias("batch_id")).coalesce(1).write.json(f"{staged}/ready")
+
+    verdicts = spark.read.parquet(f"{staged}/verdicts")
+    promoted = verdicts.where(VALID).drop(FAILED, VALID, "_was").withColumn(BATCH_ID, F.lit(batch_id))
+    write_partitioned(with_partitions(promoted, spec.date_column), spec.clean_path, parts)
+
+    changed = F.col(VALID) | ~F.sort_array(FAILED).eqNullSafe(F.sort_array(F.col("_was")[FAILED]))
+    touched = verdicts.where(changed).select(*[F.col("_was")[c].alias(c) for c in parts]).distinct()
+    days = [tuple(r) for r in touched.collect()]  # one row per day partition
+    if days:
+        stay = verdicts.where(~F.col(VALID)).select(F.col("_was").withField(FAILED, F.col(FAILED)).alias("r")).select("r.*")
+        judged = verdicts.select(F.col("_was")[BATCH_ID].alias(BATCH_ID)).distinct()
+        table = spark.read.option("mergeSchema", "true").parquet(spec.quarantine_path)
+        others = table.join(judged, BATCH_ID, "left_anti").select(*table.columns)
+        keep = stay.unionByName(others, allowMissingColumns=True)
+        t = touched.select(*[F.col(c).alias(f"_t_{c}") for c in parts])
+        keep = keep.join(t, [keep[c].eqNullSafe(t[f"_t_{c}"]) for c in parts], "left_semi")
+        rewrite_partitions(spark, spec.quarantine_path, keep.checkpoint(eager=True), days, parts)
+
+    n = verdicts.where(VALID).count()
+    log_success(spark, spec, batch_id, started, total=0, valid=n, invalid=-n)
+    delete(spark, staged)
+    return promoted_rows()

@@ -134,6 +134,12 @@ def path_exists(spark, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def delete(spark, path: str) -> None:
+    """Delete what is at ``path``, if there is anything."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def rewrite_partitions(spark, path: str, keep: DataFrame, touched: list, partition_by=("year", "month", "day")) -> None:
     """Replace the ``touched`` partitions of ``path`` with the rows of ``keep``.
 
