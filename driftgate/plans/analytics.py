@@ -338,7 +338,7 @@ def customer_segments(clean: DataFrame, as_of: str | _dt.date) -> DataFrame:
 
 
 # Q20
-def product_affinity(clean: DataFrame, k: int = 20, min_count: int = 2, block_size: int = 256, seeds: int = 64) -> DataFrame:
+def product_affinity(clean: DataFrame, k: int = 20, min_count: int = 2, block_size: int = 256, seeds: int = 16) -> DataFrame:
     """Pairs of products bought by the same customer, counted over row pairs.
 
     count(a, b) = sum over customers of n(c, a) * n(c, b), so the rows are
