@@ -5,7 +5,7 @@ them would misread some.  Here every file is read by position, as text, in one
 scan of all files; its first line names its positions.  ``file_types`` has one
 row per file and column, which ``operators.schema_diff`` compares with the
 registered schema -- one job for thousands of files, and the only thing that is
-ever grouped is a file's header (one row) and its type masks.
+ever grouped is a file's header (one row) and the kinds of its values.
 """
 
 from __future__ import annotations

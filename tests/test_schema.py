@@ -28,6 +28,7 @@ from driftgate.operators.schema_diff import (
     detect,
     diff_batches,
     infer_batch_types,
+    infer_cell_types,
 )
 
 
@@ -172,6 +173,39 @@ def test_batch_inference_and_diff(spark):
     assert ("d1", COLUMN_ORDER_CHANGE, None) in got  # a comes last in the batch, first in the registry
 
 
+def test_inference_evaluates_each_pattern_once_a_value(spark):
+    df = spark.createDataFrame([("d", "1")], "batch string, a string")
+    plan = infer_batch_types(df, "batch")._jdf.queryExecution()
+    code = plan.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    if "matcher(" not in code:  # an adaptive plan shows its code once it has run
+        plan.toRdd().count()
+        code = plan.explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen"))
+    # a number, a date and a timestamp pattern, each at one place for the column
+    assert code.count(".matcher(") == 3 and code.count("toLongExact(") <= 2
+
+
+def test_inferred_types_of_odd_values(spark):
+    kinds = {
+        "int": ["0", "-7", "+7", "2147483647", "-2147483648", "007", "12\n", "0000000000000000000000001"],
+        "bigint": ["2147483648", "-2147483649", "9223372036854775807", "-9223372036854775808"],
+        "double": ["1.", ".5", "-1.5e-3", "1E5", "1e+05", "+.5e1", "9223372036854775808", "123e-5", "1.5\n", "12\u0085"],
+        "date": ["2024-02-29", "0001-01-01", "2024-01-01\n", "2024-01-01\r\n"],
+        "timestamp": ["2024-01-01 10:00", "2024-01-01T10:00:01", "2024-01-01 10:00:01.123456"],
+        "boolean": ["true", "FALSE", "fAlse"],
+        "string": ["", " ", ".", "+", "-", ",", "/1", ",5", "e5", "1e", "1e+", "1.2.3", "12-34", "1 2", " 1", "2024-13-01", "2024-01-01 25:00", "2024-01-01x",
+                   "tree", "False ", "nan", "\u0661", "1\u0661", "12a", "12345678-1", "TRUE\n", "2024-01-01\n\n", "0x10", "1f", "1L"],
+    }
+    one = [(f"{k}{i}", v) for k, values in kinds.items() for i, v in enumerate(values)]
+    both = [("int+bigint", "1"), ("int+bigint", "2147483648"), ("bigint+double", "2147483648"), ("bigint+double", ".5"), ("int+date", "1"), ("int+date", "2024-01-01"),
+            ("date+timestamp", "2024-01-01"), ("date+timestamp", "2024-01-01 10:00"), ("int+none", "1"), ("int+none", None), ("none", None), ("int+string", "1"), ("int+string", "x")]
+    df = spark.createDataFrame(one + both, "batch string, v string")
+    want = {f"{k}{i}": k for k, values in kinds.items() for i in range(len(values))}
+    want |= {"int+bigint": "bigint", "bigint+double": "double", "int+date": "string", "date+timestamp": "string", "int+none": "int", "none": "string", "int+string": "string"}
+    assert {r.batch: r.inferred_type for r in infer_batch_types(df, "batch").collect()} == want
+    cells = df.selectExpr("batch", "0 AS position", "'v' AS column_name", "v AS value")
+    assert {r.batch: r.inferred_type for r in infer_cell_types(cells).collect()} == want
+
+
 def test_conform_array_of_structs_and_array_type_change(spark):
     reg = S(("id", StringType()), ("items", ArrayType(S(("sku", StringType()), ("qty", IntegerType())))))
     df = spark.createDataFrame(
